@@ -18,6 +18,7 @@ def build(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSe
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in conf.items():
