@@ -1 +1,3 @@
+"""Registered queries."""
 
+from tidemark.plans import queries  # noqa: F401
