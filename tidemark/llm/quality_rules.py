@@ -98,7 +98,7 @@ def repeat_words(words: Column) -> Column:
     return F.when(F.size(words) < 3, zero).otherwise(let(trigrams, count))
 
 
-def base_stats(docs: DataFrame, stratum: str = "lang") -> DataFrame:
+def base_stats(docs: DataFrame, stratum: str = "lang", *carried: Column) -> DataFrame:
     """doc_id, stratum and the base columns of every row; one narrow pass."""
     text = text_of()
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.trim(x, F.lit(" \t\n\x0b\x0c\r"))) > 0)
@@ -117,7 +117,8 @@ def base_stats(docs: DataFrame, stratum: str = "lang") -> DataFrame:
         by_words.alias("w"),
         F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         by_lines.alias("n_dup_lines"),
-    ).select("doc_id", "stratum", "w.n_words", "w.word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words")
+        *carried,
+    ).select(*(["__row"] if carried else []), "doc_id", "stratum", "w.n_words", "w.word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return out.withColumn("base_failed", failed)
 
@@ -174,24 +175,30 @@ def thresholds(stats: DataFrame, labels: DataFrame, risk: float = RISK, level: f
     return by_stratum.select("stratum", *[strictest(r) for r in rules])
 
 
+def _verdict(judged: DataFrame, cuts: DataFrame) -> DataFrame:
+    """``judged`` (base columns and stratum) with ``kept``."""
+    cuts = cuts.select(F.col("stratum").alias("__of"), *[F.col(r).alias(f"__{r}") for r in RULES])
+    over = F.lit(False)
+    for rule, (sql, _) in RULES.items():
+        over = over | F.coalesce(F.expr(sql) > F.col(f"__{rule}"), F.lit(False))
+    joined = judged.join(cuts, F.col("stratum").eqNullSafe(F.col("__of")), "left")
+    return joined.withColumn("kept", ~F.col("base_failed") & ~over).drop(*cuts.columns)
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """Base columns, ``base_failed`` and ``kept`` for every row of ``docs``."""
     stats = materialize(base_stats(docs, stratum), "op5-stats")
-    cuts = thresholds(stats, labels)
-    cuts = cuts.select(F.col("stratum").alias("of"), *[F.col(r).alias(f"max_{r}") for r in RULES])
-    over = F.lit(False)
-    for rule, (sql, _) in RULES.items():
-        over = over | F.coalesce(F.expr(sql) > F.col(f"max_{rule}"), F.lit(False))
-    return stats.join(cuts, F.col("stratum").eqNullSafe(F.col("of")), "left").select(
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        "base_failed",
-        (~F.col("base_failed") & ~over).alias("kept"),
-    )
+    return _verdict(stats, thresholds(stats, labels)).drop("stratum")
+
+
+def quality_filter(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns as they were. Statistics
+    are computed again in the filtering pass: cheaper than to shuffle texts."""
+    cuts = thresholds(materialize(base_stats(docs, stratum), "op5-stats"), labels)
+    cuts = materialize(cuts, "op5-cuts")  # a row a stratum, so the join is a broadcast
+    whole = F.struct(*[docs[c] for c in docs.columns]).alias("__row")
+    judged = _verdict(base_stats(docs, stratum, whole), cuts)
+    return judged.filter("kept").select("__row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
