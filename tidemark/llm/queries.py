@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["quality_rules", "line_dedup", "mixing", "ngram_join", "packing", "chat", "pii", "language", "media"]
+MODULES = ["quality_rules", "line_dedup", "mixing", "ngram_join", "packing", "chat", "pii", "language", "media", "classifier"]
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
