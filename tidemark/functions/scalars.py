@@ -52,7 +52,7 @@ def days_since(day: Column, today: Column, clamp: bool = False, prefix: bool = F
     the first ten characters of a timestamp, ``clamp`` floors at 0."""
     whole = F.when(F.length(day) >= 10, F.substring(day, 1, 10)) if prefix else F.when(day.rlike(r"^\d{4}-\d{2}-\d{2}$"), day)
     days = F.datediff(today, F.try_to_timestamp(whole, F.lit("yyyy-MM-dd")).cast("date"))
-    return F.greatest(days, F.lit(0)) if clamp else days
+    return F.when(days < 0, 0).otherwise(days) if clamp else days
 
 
 def days_since_epoch_ms(millis: Column, now: Column) -> Column:
