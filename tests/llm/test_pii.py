@@ -1,0 +1,113 @@
+import hashlib
+import math
+import re
+from collections import defaultdict
+
+from pyspark.sql import functions as F
+
+from tidemark.llm import pii as p
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        total += int(c) if i % 2 == 0 else (2 * int(c) - 9 if int(c) > 4 else 2 * int(c))
+    return total % 10 == 0
+
+
+def brute(text):
+    out = []
+    for k, (name, pattern) in enumerate(PLAIN.items()):
+        for x in re.finditer(pattern, text or ""):
+            d = re.sub("[^0-9]", "", x[0])
+            if name == "email" or name == "ip" and all(int(q) <= 255 for q in x[0].split(".")) or name == "card" and 12 <= len(d) <= 19 and luhn(d) or name == "phone" and 9 <= len(d) <= 15:
+                out.append((x.start(), k, x.end()))
+    return sorted(out)
+
+
+TEXTS = [
+    None, "", "a@b.c", "a@b.cX@d.ef x_y%z+1@-.-.-", "a@b@c.d", "@@a@b.c..", "é🙂 a.b@c.de, f@g", "a@b.c_d@e.f", "1.2.3.4", "1.2.3.4.5.6.7.8", "999.1.1.1 00255.0.0.1 256.1.1.1",
+    "4111 1111 1111 1111", "4111-1111-1111-1111-9", "4111111111111112", "0000 0000 0000", "+49 (30) 1234-567", "+1", "+1 2 3 4 5 6 7 8 9)(", "+12345678901234567", "+49 170 1234567 and +49 170 1234567",
+    "x" * 30_000, "1" * 30_000, "9 " * 20_000, "a." * 20_000 + "@", "1.1.1.1" * 2000, "+1" * 5000,
+]
+
+
+def test_pattern_spans(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
+    for r in p.base_spans(df).collect():
+        assert [(s.start, s.kind, s.end) for s in r.base] == brute(TEXTS[r.doc_id]), (r.doc_id, (TEXTS[r.doc_id] or "")[:50])
+        assert all(s.text == TEXTS[r.doc_id][s.start : s.end] for s in r.base)
+
+
+def brute_terms(docs):
+    """Disclosing terms by the formula, from plain strings."""
+    words = lambda t: re.findall(r"[^\W\d_][^\W_]*", t.lower())
+    at, near, both, everywhere = defaultdict(set), defaultdict(set), defaultdict(set), defaultdict(set)
+    for n, text in docs:
+        for w in set(words(text)):
+            everywhere[w].add(n)
+        for a, k, b in brute(text):
+            e = (k, text[a:b].lower())
+            at[e].add(n)
+            lo, hi = max(a - p.WINDOW, 0), b + p.WINDOW
+            before, after = words(text[lo:a]), words(text[b:hi])
+            for w in (before if lo == 0 else before[1:]) + (after if hi >= len(text) else after[:-1]):
+                both[e, w].add(n)
+                near[w].add(n)
+    found = {}
+    for (e, w), docs_te in both.items():
+        ic = -math.log(len(at[e]) / len(docs))
+        if len(docs_te) >= p.SUPPORT and ic > 0:
+            ratio = 1 + math.log(len(docs_te) / len(everywhere[w])) / ic
+            if ratio >= p.DISCLOSURE:
+                found[w] = max(found.get(w, 0), ratio)
+    return found
+
+
+DOCS = [(i, f"filler {i} common words here and there, nothing else at all") for i in range(40)]
+DOCS += [(100 + i, f"common start. Zaphod of Betelgeuse writes: zaphod@heart.gold about words {i}; Zaphod signs here") for i in range(4)]
+DOCS += [(200, "Betelgeuse alone, far away"), (201, "ZAPHOD without address"), (202, "a lone one@two.three with singular words")]
+
+
+def test_disclosing_terms(spark):
+    df = spark.createDataFrame([(i, t, "x", "y") for i, t in DOCS], "doc_id long, text string, term string, base string")
+    base = p.base_spans(df)
+    terms, holders = p.disclosing_terms(df, base)
+    want = brute_terms(DOCS)
+    assert {r.term: round(r.ratio, 9) for r in terms.collect()} == {w: round(r, 9) for w, r in want.items()}
+    assert {"writes", "signs", "about"} <= set(want) and not {"common", "words", "singular"} & set(want)
+    for r in p.spans(df).collect():
+        text = dict(DOCS)[r.doc_id]
+        assert {text[s.start : s.end].lower() for s in r.terms} == set(want) & set(re.findall(r"[^\W\d_][^\W_]*", text.lower()))
+    assert holders.count() >= 4
+
+
+def test_sanitise(spark):
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in DOCS] + [(900, None, 0)], "doc_id long, text string, n_chars int")
+    out = {r.doc_id: r for r in p.sanitise(df).collect()}
+    assert out[202].text == "a lone [EMAIL] with singular words" and out[202].n_chars == len(out[202].text)
+    assert "[EMAIL]" in out[100].text and "writes" not in out[100].text and "[TERM]" in out[100].text
+    assert out[1].text == DOCS[1][1] and out[900].text is None
+    assert p.sanitise(df).columns == df.columns
+
+
+def test_odd_rows(spark):
+    df = spark.createDataFrame([(7, "a@b.c"), (7, "a@b.c"), (None, "a@b.c"), (None, None)], "doc_id long, text string")
+    assert len(p.spans(df).collect()) == 4
+    assert p.spans(df.limit(0)).count() == 0
+
+
+def test_query_strings(spark, sf001):
+    r = p.query(spark, sf001).filter("n_email + n_ip + n_card + n_phone > 0").first()
+    text = spark.read.parquet(f"{sf001}/documents.parquet").filter(F.col("doc_id") == r.doc_id).first().text
+    told = ",".join(f"{p.KINDS[k]}:{a}:{b}" for a, k, b in brute(text))
+    assert r.base_sha256 == hashlib.sha256(told.encode()).hexdigest() and set(told.split(",")) <= set(r.spans.split(","))
+    plan = p.base_spans(spark.createDataFrame([(1, "x")], "doc_id long, text string"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -239,13 +239,12 @@ def sanitise(docs: DataFrame) -> DataFrame:
     )
     same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__th"))
     new = F.when(F.col("__spans").isNull() | F.col("text").isNull(), F.col("text")).otherwise(clean)
-    columns = {c: F.col(c) for c in docs.columns}
-    columns["text"] = new
+    out = docs.join(found, same, "left").select(docs["*"], F.col("__spans").isNotNull().alias("__hit"), new.alias("__new"))
+    columns = {c: F.col(c) for c in docs.columns} | {"text": F.col("__new")}
     if "n_chars" in columns:
-        columns["n_chars"] = F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(
-            F.char_length(new).cast(docs.schema["n_chars"].dataType)
-        )
-    return docs.join(found, same, "left").select(*[c.alias(n) for n, c in columns.items()])
+        length = F.char_length("__new").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(F.col("__hit"), length).otherwise(F.col("n_chars"))
+    return out.select(*[c.alias(n) for n, c in columns.items()])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
