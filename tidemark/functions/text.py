@@ -165,3 +165,15 @@ def plain_terms(text: Column, vocabulary: Vocabulary) -> Column:
         for name, terms in sorted(by_name.items())
     ]
     return F.filter(F.array(*hits), lambda x: x.isNotNull()) if hits else F.array().cast("array<string>")
+
+
+def load_vocabulary(path: str | None = None) -> Vocabulary:
+    """A vocabulary from YAML: kinds with their names, and ``excluded``."""
+    from pathlib import Path
+
+    import yaml
+
+    where = Path(path) if path else Path(__file__).parent.parent / "rules" / "vocabulary.yaml"
+    doc = yaml.safe_load(where.read_text(encoding="utf-8"))
+    excluded = doc.pop("excluded", [])
+    return Vocabulary({kind: {str(k): v for k, v in names.items()} for kind, names in doc.items()}, excluded)
