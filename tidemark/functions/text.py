@@ -1,8 +1,6 @@
 """Dictionary matching in free text.
 
 Terms are normalised on both sides (Unicode NFKC, blanks, decoration, case).
-NFKC has no built-in, so it is one Arrow UDF that plans apply only to rows with
-non-ASCII text; everything else is regular expressions with Unicode classes.
 """
 
 from __future__ import annotations
@@ -31,29 +29,28 @@ def _fold(text: pd.Series) -> pd.Series:
     return text.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
 
-@F.pandas_udf(StringType())
-def _casefold(text: pd.Series) -> pd.Series:
-    return text.map(lambda x: None if x is None else x.casefold())
-
-
 def nfkc(text: Column) -> Column:
     """NFKC form; newlines and case are kept."""
     return _fold(text)
 
 
-def normalise(tag: Column) -> Column:
-    """A tag without blanks, decoration and case; '' for null."""
-    folded = F.trim(F.regexp_replace(_fold(F.coalesce(tag, F.lit(""))), r"(?U)\s+", " "))
-    bare = F.regexp_replace(F.regexp_replace(folded, f"(?U){LEAD}", ""), f"(?U){TRAIL}", "")
-    return F.trim(_casefold(bare))
-
-
 def normalise_value(tag: str | None) -> str:
     """The same for one Python value, as rule tables are loaded on the driver."""
     text = re.sub(r"\s+", " ", unicodedata.normalize("NFKC", tag or "")).strip()
     return re.sub(TRAIL, "", re.sub(LEAD, "", text)).casefold().strip()
 
 
+@F.pandas_udf(StringType())
+def _normalise(tag: pd.Series) -> pd.Series:
+    return tag.map(normalise_value)
+
+
+def normalise(tag: Column) -> Column:
+    """A tag without blanks, decoration and case; '' for null. One Arrow hop:
+    NFKC and case folding have no built-in."""
+    return _normalise(tag)
+
+
 def scannable(term: str) -> bool:
     """Whether a normalised term may be searched in running text."""
     return term not in EXACT_ONLY and (len(term) >= 3 or any(c in term for c in "+#."))
