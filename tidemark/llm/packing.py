@@ -9,7 +9,7 @@ that fits nowhere near the lowest cost is cut at the lowest. The number of open
 sequences is the least possible, so a batch leaves under one sequence of padding.
 
 Words are tokenised once and remembered: the tokenizer never joins what white
-space separates. The memory is dropped when it reaches ``WORDS`` entries.
+space separates. The memory is bounded: words not seen for ``WORDS`` new ones are forgotten.
 
 Cases: null or empty text is the end id alone; a null doc_id is carried; ties
 keep the order in which rows are read; repeated rows are packed separately;
@@ -20,8 +20,9 @@ runs again gives the same rows, as ids come from its partition and order.
 from __future__ import annotations
 
 import heapq
-import os
+import json
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ from tidemark.llm.common import table
 
 QUERY = "op6_packing"
 LENGTH, END = 2048, 1
-HELD, WORDS = 4_000_000, 400_000
+HELD, WORDS = 4_000_000, 300_000
 
 #: Cost of a piece of n tokens: n + n * n / QUADRATIC.
 QUADRATIC = 1024.0
@@ -47,34 +48,87 @@ SCHEMA = (
 )
 
 
+class Memory:
+    """A bounded map: entries not asked for while ``limit`` others came are forgotten."""
+
+    def __init__(self, limit: int):
+        self.limit, self.new, self.old = limit, {}, {}
+
+    def get(self, key):
+        found = self.new.get(key)
+        if found is None and self.old and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= self.limit:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
+
+
+#: The pre-tokenizer's pattern and normalizer for which words can be cut here.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+
+
 class WordTokenizer:
-    """Little-endian uint32 ids of texts, by a tokenizer whose tokens never span white space."""
+    """Little-endian uint32 ids of texts, by a tokenizer whose tokens never span white space.
+
+    Unknown words are normalised, cut and given to the tokenizer's model piece
+    by piece. Words of printable Latin letters (up to U+024F, where NFC changes
+    nothing) are cut with the tokenizer's own pattern; others go to it whole."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.many = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        self.known: dict[bytes, bytes] = {}
-
-    def _learn(self, words: list[bytes]) -> None:
-        if len(self.known) + len(words) > WORDS:
-            self.known = {}
-        found = self.many([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        for word, e in zip(words, found, strict=True):
-            self.known[word] = np.array(e.ids, "<u4").tobytes()
+        with open(path, encoding="utf-8") as f:
+            setup = json.load(f)
+        normal, cut = setup.get("normalizer") or {}, (setup.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.plain = [n["type"] for n in normal.get("normalizers", [])] == _NORMALIZERS and [c.get("type") for c in cut] == ["Split", "ByteLevel"]
+        self.plain = self.plain and cut[0]["pattern"] == {"Regex": _PATTERN}
+        self.special = [t["content"] for t in setup.get("added_tokens", [])]
+        self.cut = regex.compile(_PATTERN).findall
+        # the byte-level alphabet, in which printable ASCII stands for itself
+        seen = iter(range(256, 512))
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.letters = [chr(b) if b in shown else chr(next(seen)) for b in range(256)]
+        self.words, self.pieces = Memory(WORDS), Memory(WORDS)
+
+    def _piece(self, piece: str) -> bytes:
+        found = self.pieces.get(piece)
+        if found is None:
+            spelled = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+            found = array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
+            self.pieces.put(piece, found)
+        return found
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if not self.plain or "<|" in text and any(s in text for s in self.special) or not (text.isprintable() and max(text) <= "\u024f"):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        text = text.lower()
+        if text.isalpha():
+            return self._piece(text)
+        if text[-1] in ".,;:!?" and text[:-1].isalpha():
+            return self._piece(text[:-1]) + self._piece(text[-1])
+        return b"".join(map(self._piece, self.cut(text)))
 
     def ids(self, text: str | None) -> bytes:
         words = (text or "").encode("utf-8", "replace").split()  # ASCII white space only
-        got = list(map(self.known.get, words))
-        if None in got:
-            missing = list({w for w, g in zip(words, got, strict=True) if g is None})
-            if len(self.known) + len(missing) > WORDS:
-                missing = list(set(words))  # all that this text needs, as the memory starts anew
-            self._learn(missing)
-            got = list(map(self.known.__getitem__, words))
-        return b"".join(got)
+        got, at = list(map(self.words.new.get, words)), -1
+        try:
+            while True:
+                at = got.index(None, at + 1)
+                word = words[at]
+                found = self.words.get(word)
+                if found is None:
+                    found = self._word(word)
+                    self.words.put(word, found)
+                got[at] = found
+        except ValueError:  # no word is missing
+            return b"".join(got)
 
 
 def assign(lengths: list[int], room: int = LENGTH) -> list[tuple[int, int, int, int, int]]:
