@@ -43,7 +43,7 @@ NUM, DEN = 75, 100
 
 #: Packed shingles held before they are handed on; sets in one trie; probes of
 #: one trie in one task.
-FLUSH, STORED, PROBES = 3_000_000, 1_000, 5_000
+FLUSH, STORED, PROBES = 1_500_000, 1_000, 5_000
 
 _U64, _U32, _U8, _I64, _I32 = np.dtype("<u8"), np.dtype("<u4"), np.dtype("u1"), np.dtype("<i8"), np.dtype("<i4")
 
@@ -80,8 +80,8 @@ def _postings(parts: int):
     def flush(ids, sets):
         sizes = np.fromiter(map(len, sets), _I64, len(sets))
         keys = np.concatenate(sets)
-        doc = np.repeat(np.arange(len(sets)), sizes)
-        part = ((keys >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
+        doc = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
+        part = ((keys >> np.uint64(40)) % np.uint64(parts)).astype(np.int32)
         order = np.argsort(part, kind="stable")
         part, keys, doc = part[order], keys[order], doc[order]
         cuts = np.searchsorted(part, np.arange(parts + 1))
@@ -134,11 +134,14 @@ def _shared(parts: int, buckets: int):
         part = t.column("part")[0].as_py()
         ids, ns, counts = _join(t.column("ids"), _I64), _join(t.column("ns"), _I32), _join(t.column("counts"), _I32)
         keys = _join(t.column("lo"), _U32).astype(_U64) | (_join(t.column("hi"), _U8).astype(_U64) << np.uint64(32))
-        _, inverse, df = np.unique(keys, return_inverse=True, return_counts=True)
-        df = df[inverse]
-        of = np.repeat(np.arange(len(ids)), counts)
+        order = np.argsort(keys)
+        keys = keys[order]
+        run = np.cumsum(np.r_[False, keys[1:] != keys[:-1]], dtype=np.int32)
+        df = np.bincount(run).astype(np.int32)[run]
         keep = df >= 2
-        of, keys, df = of[keep], keys[keep], df[keep]
+        of = np.repeat(np.arange(len(ids), dtype=np.int32), counts)[order[keep]]
+        keys, df = keys[keep], df[keep]
+        del order, run, keep
         keys = (np.minimum(df, 255).astype(_U64) << np.uint64(55)) | (keys << np.uint64(15)) | np.uint64(part % 32768)
         bucket = ids[of] % buckets
         order = np.argsort(bucket, kind="stable")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 SIZE = 5
-_CHUNK = 4 << 20
+_CHUNK = 2 << 20
 _RNG = np.random.default_rng(20_011)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _RNG.integers(1, 1 << 63, 2 * SIZE + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
