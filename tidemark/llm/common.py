@@ -46,3 +46,14 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(
         F.translate(text, upper, lower)
     )
+
+
+def hash_sample(rows: DataFrame, bound: int, seed: int, doc_id: str = "doc_id") -> DataFrame:
+    """At most ``bound`` rows, those of smallest id hash. All but about ``bound``
+    rows are filtered out where they are before the rest is ordered, so no task
+    gathers a top list of every other."""
+    at = F.xxhash64(F.lit(seed), F.col(doc_id))
+    share = min(1.0, bound / max(1, rows.count()))
+    spread = 1 << 31
+    kept = rows if share == 1.0 else rows.filter(F.pmod(at, F.lit(spread)) < F.lit(int(share * spread)))
+    return kept.withColumn("__at", at).orderBy(F.pmod("__at", F.lit(spread)), "__at").limit(bound).drop("__at")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold_of, held_out, table
+from tidemark.llm.common import fold_of, hash_sample, held_out, table
 
 QUERY = "op9_language_id"
 DIM, SEED, SAMPLE, CHUNK = 1024, 20_023, 20_000, 64
@@ -119,17 +119,18 @@ def _bundle(dim: int, seed: int):
 
 def train(docs: DataFrame, sample: int = SAMPLE, dim: int = DIM, seed: int = SEED) -> tuple[list[str], np.ndarray]:
     """(languages, unit prototypes). At most ``sample`` documents teach."""
-    at = F.xxhash64(F.lit(seed), "doc_id")
     labelled = docs.filter(F.col("lang").isNotNull() & F.coalesce(fold_of() != 0, F.lit(False)))
-    last = labelled.select(at.alias("at")).orderBy("at").limit(sample).agg(F.max("at")).first()[0]
-    if last is None:
-        return [], np.zeros((0, dim))
-    chosen = labelled.filter(at <= F.lit(last)).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    ids = hash_sample(labelled.select("doc_id"), sample, seed).select(F.col("doc_id").alias("__id")).distinct()
+    chosen = labelled.join(F.broadcast(ids), F.col("doc_id") == F.col("__id"), "left_semi").select(
+        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.xxhash64("doc_id").alias("at")
+    )
     sums: dict[str, np.ndarray] = {}
     for lang, part in (
-        chosen.repartition(12, F.xxhash64("text")).mapInArrow(_bundle(dim, seed), "lang string, sum binary").orderBy("lang", "sum").collect()
+        chosen.repartition(12, "at").mapInArrow(_bundle(dim, seed), "lang string, sum binary").orderBy("lang", "sum").collect()
     ):
         sums[lang] = sums.get(lang, 0.0) + np.frombuffer(part, np.float64)
+    if not sums:
+        return [], np.zeros((0, dim))
     langs = sorted(sums)
     unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
     prototypes = unit(np.array([sums[x] for x in langs]))
