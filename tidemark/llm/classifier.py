@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, fold_of, held_out, let, table, text_of, words_of
+from tidemark.llm.common import WORD, fold_of, hash_sample, held_out, let, table, text_of, words_of
 from tidemark.session import materialize
 
 QUERY = "op3_quality_classifier"
@@ -199,14 +199,12 @@ def fit(x: np.ndarray, y: np.ndarray, seed: int = SEED) -> Model:
 
 def train(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     known = labels.groupBy(F.col("doc_id").alias("label_id")).agg(F.min("quality").alias("quality")).filter(F.col("quality").isNotNull())
-    rows = (
+    labelled = (
         stats.filter(~F.col("held_out") & F.coalesce(fold_of() != 0, F.lit(False)))
         .join(known, F.col("doc_id") == F.col("label_id"))
-        .select(F.xxhash64(F.lit(SEED), "doc_id").alias("at"), "quality", *STATISTICS)
-        .orderBy("at", *STATISTICS)
-        .limit(sample)
-        .toPandas()
+        .select("doc_id", "quality", *STATISTICS)
     )
+    rows = hash_sample(labelled, sample, SEED).toPandas().sort_values(["doc_id", *STATISTICS])
     return fit(rows[STATISTICS].to_numpy(float), (rows["quality"].to_numpy(float) >= 1).astype(int))
 
 
