@@ -111,3 +111,17 @@ def test_query_strings(spark, sf001):
     assert r.base_sha256 == hashlib.sha256(told.encode()).hexdigest() and set(told.split(",")) <= set(r.spans.split(","))
     plan = p.base_spans(spark.createDataFrame([(1, "x")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_terms_far_from_their_entity(spark):
+    gap = "and so on " * 40
+    rows = [(i, f"plain words {i} {gap}") for i in range(40)]
+    rows += [(100 + i, f"Trillian{'é' if i else ''} {gap} t{i}@heart.gold {gap} Marvin waits, heart {i}") for i in range(2)]
+    rows += [(110 + i, f"{gap} ford@prefect.org {gap} Towel {'prefect ' * i}x{i}") for i in range(2)]
+    rows += [(120 + i, f"Slarti {gap} é5fjord@coast.linesé {gap}") for i in range(2)]
+    rows += [(130 + i, f"{gap} 10.9.8.7 {gap} bistro") for i in range(3)] + [(131, f"{gap} 10.9.8.7 {gap} bistro")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    terms, _ = p.disclosing_terms(df, p.base_spans(df))
+    got = {r.term: round(r.ratio, 9) for r in terms.collect()}
+    # a term only inside its entity is none; "prefect" stands outside in one document alone
+    assert got == {w: 1.0 for w in ("towel", "slarti", "é5fjord", "linesé", "bistro")}

@@ -2,21 +2,22 @@
 
 Pattern spans (email, ip, card, phone) come from built-in regular expressions;
 offsets from the lengths of what lies between matches. Each pattern match is a
-protected entity. A term (a word of letters and digits) in the ``WINDOW``
-characters around an entity is scored by how much of the entity's information
-it gives away, from counts over all documents:
+protected entity. A term (a word of letters and digits) in a document with an
+entity, not only inside the entity's one occurrence there, is scored by how much
+of the entity's information it gives away, from counts over all documents:
 
     PMI(term; entity) / IC(entity) = 1 + ln p(entity | term) / -ln p(entity)
 
-Terms with a ratio of at least ``DISCLOSURE`` that stand by the entity in at
+Terms with a ratio of at least ``DISCLOSURE`` that stand with the entity in at
 least ``SUPPORT`` documents are spans too, wherever they occur in a document;
 ``sanitise`` replaces entities and disclosing terms by their kind, and removes
 terms that never occur without their entity.
 
-Counting is pre-aggregated. Terms that cannot reach the ratio even if they
-occurred in no other document are dropped before the corpus is scanned for
-them, which keeps common words out. Text is joined only where a document holds
-a disclosing term.
+Counting is pre-aggregated: copies of a text are one row with a weight, and an
+entity meets only the terms that can reach support and ratio at
+n_te <= min(n_e, n_t), which loses none. Terms that cannot reach the ratio even
+if they occurred in no other document are dropped before the corpus is scanned
+for them. Text is joined only where a document holds a disclosing term.
 
 Cases: null or empty text has no spans; equal spans of two kinds both stay;
 rows of one id and text are one document to the counts, and all returned; a
@@ -34,7 +35,10 @@ from tidemark.session import materialize
 
 QUERY = "op8_pii"
 KINDS = ["email", "ip", "card", "phone", "term"]
-WINDOW, SUPPORT, DISCLOSURE = 80, 2, 0.95
+SUPPORT, DISCLOSURE = 2, 0.95
+
+#: Characters before and after an entity in which terms count: the whole document.
+WINDOW = 1 << 31
 
 #: Candidate rows up to which a side is broadcast; a shuffle join beyond.
 SMALL = 200_000
@@ -50,6 +54,7 @@ PATTERNS = {
 }
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 TERM = r"\p{L}[\p{L}\p{N}]*+"
+_OPEN_TERM = r"(?<![\p{L}\p{N}])\p{N}*+\p{L}[\p{L}\p{N}]*+$"
 SPAN = "struct<start:long,kind:int,end:long,text:string>"
 
 
@@ -76,8 +81,9 @@ def _test(kind: str):
     return lambda span: _valid(kind, span["text"])
 
 
-def _located(text: Column, pattern: str, kind: int) -> Column:
-    """array<SPAN> of all matches: offsets in code points, end exclusive."""
+def _located(text: Column, pattern: str, kind: int, keep=None) -> Column:
+    """array<SPAN> of all matches (that ``keep`` holds for): offsets in code
+    points, end exclusive."""
     none = F.array().cast(f"array<{SPAN}>")
 
     def place(found: Column) -> Column:
@@ -88,7 +94,10 @@ def _located(text: Column, pattern: str, kind: int) -> Column:
             first = acc["at"] + F.char_length(pair["gap"])
             last = first + F.char_length(pair["text"])
             span = F.struct(first.alias("start"), F.lit(kind).alias("kind"), last.alias("end"), pair["text"].alias("text"))
-            return F.struct(last.alias("at"), F.concat(acc["spans"], F.array(span)).cast(f"array<{SPAN}>").alias("spans"))
+            spans = F.concat(acc["spans"], F.array(span)).cast(f"array<{SPAN}>")
+            if keep:
+                spans = F.when(keep(pair["text"]), spans).otherwise(acc["spans"])
+            return F.struct(last.alias("at"), spans.alias("spans"))
 
         pairs = F.zip_with(
             F.slice(between, 1, F.size(found)), found, lambda g, m: F.struct(g.alias("gap"), m.alias("text"))
@@ -114,20 +123,24 @@ def _terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
-def _context(text: Column, span: Column) -> Column:
-    """Distinct whole terms in the window before and after a span."""
-    begin = F.greatest(span["start"] - WINDOW, F.lit(0))
-    before = let(
-        _terms(F.substr(text, (begin + 1).cast("int"), (span["start"] - begin).cast("int"))),
-        lambda t: F.when(begin == 0, t).otherwise(F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0)))),
-    )
-    after = let(
-        _terms(F.substr(text, (span["end"] + 1).cast("int"), F.lit(WINDOW))),
-        lambda t: F.when(span["end"] + WINDOW >= F.char_length(text), t).otherwise(
-            F.slice(t, 1, F.greatest(F.size(t) - 1, F.lit(0)))
-        ),
-    )
-    return F.array_distinct(F.concat(before, after))
+def _own(text: Column, span: Column) -> Column:
+    """The terms of ``text`` that lie inside a span, repeats included. A term
+    that goes on before or after the span is not one of them."""
+    def inside(own: Column) -> Column:
+        before = F.lower(F.substr(text, span["start"].cast("int"), F.lit(1)))
+        opened = (
+            (span["start"] > 0)
+            & F.lower(span["text"]).rlike(r"^\p{N}*+\p{L}")
+            & before.rlike(r"[\p{L}\p{N}]$")
+            & F.lower(F.substr(text, F.lit(1), span["start"].cast("int"))).rlike(_OPEN_TERM)
+        )
+        after = F.lower(F.substr(text, (span["end"] + 1).cast("int"), F.lit(1)))
+        goes_on = F.lower(span["text"]).rlike(_OPEN_TERM) & after.rlike(r"^[\p{L}\p{N}]")
+        first = F.when(opened, 2).otherwise(1)
+        last = F.size(own) - F.when(goes_on, 1).otherwise(0)
+        return F.when(last < first, F.array().cast("array<string>")).otherwise(F.slice(own, first, last - first + 1))
+
+    return let(_terms(span["text"]), lambda own: F.when(F.size(own) == 0, own).otherwise(inside(own)))
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
@@ -138,7 +151,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
         "base",
         lambda s: F.struct(
             F.concat(s["kind"].cast("string"), F.lit(":"), F.lower(s["text"])).alias("entity"),
-            _context(F.col("text"), s).alias("terms"),
+            _own(F.col("text"), s).alias("own"),
         ),
     )
     return found.select("doc_id", "th", "base", context.alias("context"))
@@ -152,32 +165,58 @@ def _near(left: DataFrame, right: DataFrame, on) -> DataFrame:
 def disclosing_terms(docs: DataFrame, base: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(term, ratio) of the disclosing terms, and (doc_id, th, terms) of the
     documents that hold them."""
-    stands = (
-        base.filter(F.size("context") > 0)
-        .select("doc_id", "th", F.explode("context").alias("c"))
-        .select("doc_id", "th", F.col("c.entity").alias("entity"), F.explode_outer("c.terms").alias("term"))
-        .distinct()
-    )
-    stands = materialize(stands, "op8-stands")
     known = base.select("doc_id", "th").distinct().count()
-    entities = stands.select("doc_id", "th", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    seen = (
-        stands.filter(F.col("term").isNotNull())
-        .select("doc_id", "th", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
+    copies = base.filter(F.size("context") > 0).groupBy("th", "doc_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.first("context").alias("context")
     )
-    pairs = (
-        stands.filter(F.col("term").isNotNull())
-        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).filter(F.col("n_te") >= SUPPORT)
+    copies = copies.groupBy("th").agg(
+        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("docs"), F.first("context").alias("context")
     )
+    stands = (
+        copies.select("th", "rows", "docs", F.explode("context").alias("c"))
+        .groupBy("th", F.col("c.entity").alias("entity"))
+        .agg(
+            F.first("rows").alias("rows"), F.first("docs").alias("docs"),
+            F.count(F.lit(1)).alias("times"), F.first("c.own").alias("own"),
+        )
+    )
+    stands = materialize(stands, "op8-stands")
     information = -F.log(F.col("n_e") / F.lit(max(known, 1)))
 
     def ratio(of: str) -> Column:
         return F.when(information > 0, 1 + F.log(F.col("n_te") / F.col(of)) / information).otherwise(F.lit(0.0))
 
-    scored = pairs.join(entities, "entity").join(seen, "term").filter(ratio("n_near") >= DISCLOSURE)
+    # n_te <= min(n_e, n_t): an entity needs SUPPORT documents, a term at most ``cap``
+    cap = F.col("n_e") * F.exp((1 - DISCLOSURE) * information) * (1 + 1e-9)
+    entities = (
+        stands.groupBy("entity").agg(F.sum("docs").alias("n_e"))
+        .filter((F.col("n_e") >= SUPPORT) & (F.col("n_e") < known)).withColumn("cap", cap)
+    )
+    repeated = materialize(stands.join(entities, "entity"), "op8-repeated")
+    texts = repeated.groupBy("th").agg(F.first("rows").alias("rows"), F.first("docs").alias("docs"), F.max("cap").alias("most"))
+    texts = materialize(texts, "op8-texts")
+    text = text_of()
+    words = (
+        _near(docs.select(F.xxhash64(text).alias("th"), text.alias("text")), texts, "th")
+        .select("th", "rows", "docs", "most", F.explode(_terms(F.col("text"))).alias("term"))
+        .groupBy("th", "term")
+        .agg(F.count(F.lit(1)).alias("all"), *[F.first(c).alias(c) for c in ("rows", "docs", "most")])
+        .select("th", "term", "docs", "most", (F.col("all") / F.col("rows")).alias("all"))
+    )
+    words = materialize(words, "op8-words")
+    seen = words.groupBy("term").agg(F.sum("docs").alias("n_near"), F.max("most").alias("top"))
+    seen = seen.filter((F.col("n_near") >= SUPPORT) & (F.col("n_near") <= F.col("top"))).drop("top")
+    rare = words.join(seen, "term").filter(F.col("n_near") <= F.col("most")).select("th", "term", "all", "n_near")
+    inside = (F.col("times") == 1) & (F.size(F.filter("own", lambda t: t == F.col("term"))) == F.col("all"))
+    pairs = (
+        repeated.join(rare, "th").filter((F.col("n_near") <= F.col("cap")) & ~inside)
+        .groupBy("entity", "term")
+        .agg(F.sum("docs").alias("n_te"), F.first("n_e").alias("n_e"), F.first("n_near").alias("n_near"))
+        .filter(F.col("n_te") >= SUPPORT)
+    )
+    scored = pairs.filter(ratio("n_near") >= DISCLOSURE)
     scored = materialize(scored, "op8-scored")
     wanted = scored.select("term").distinct()
-    text = text_of()
     held = _near(
         docs.select("doc_id", F.xxhash64(text).alias("th"), F.explode(F.array_distinct(_terms(text))).alias("term")), wanted, "term"
     )
@@ -199,9 +238,7 @@ def spans(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("th")).alias("d")
     holders = holders.select(F.col("doc_id").alias("h_id"), F.col("th").alias("h_th"), F.col("terms").alias("held"))
     same = F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("th") == F.col("h_th"))
-    term = F.filter(
-        _located(F.col("text"), TERM, 4), lambda s: F.array_contains(F.col("held"), F.lower(s["text"]))
-    )
+    term = _located(F.col("text"), TERM, 4, lambda t: F.array_contains(F.col("held"), F.lower(t)))
     placed = _near(texts, holders, same).select("h_id", "h_th", term.alias("terms")).distinct()
     placed = materialize(placed, "op8-placed")
     none = F.array().cast(f"array<{SPAN}>")
