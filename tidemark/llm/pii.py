@@ -10,8 +10,7 @@ of the entity's information it gives away, from counts over all documents:
 
 Terms with a ratio of at least ``DISCLOSURE`` that stand with the entity in at
 least ``SUPPORT`` documents are spans too, wherever they occur in a document;
-``sanitise`` replaces entities and disclosing terms by their kind, and removes
-terms that never occur without their entity.
+``sanitise`` replaces entities and disclosing terms by their kind.
 
 Counting is pre-aggregated: copies of a text are one row with a weight, and an
 entity meets only the terms that can reach support and ratio at
