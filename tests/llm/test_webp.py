@@ -70,3 +70,30 @@ def test_damage_is_an_error():
     for bad in (b"", b"RIFF", good[:20], good[:40], b"JUNK" + good[4:]):
         with pytest.raises(webp.WebPError):
             webp.decode(bad)
+
+
+def test_grey_samples_by_the_named_method(monkeypatch):
+    from tidemark.llm import media
+
+    text = b"the quick brown fox jumps over the lazy dog, again and again; " * 40
+    words = b" ".join(RNG.choice([b"alpha", b"beta", b"gamma", b"delta", b"epsilon"], 900).tolist())
+    smooth = (np.cumsum(RNG.integers(-1, 2, 192 * 30)) & 255).astype(np.uint8)
+    runs = np.repeat(RNG.integers(0, 256, 3000), RNG.integers(1, 5, 3000)).astype(np.uint8)
+    noise = RNG.integers(0, 256, 192 * 600).astype(np.uint8)
+    seen = []
+    for data in (b"", b"a", text, words, smooth.tobytes(), runs.tobytes(), noise.tobytes(), b"ab" * 5000, bytes(192), bytes(20_000)):
+        payload = data + b" " * (-len(data) % 192 or 192 * (not data))
+        stored = media.store(payload)
+        assert media.load(stored).tobytes() == payload
+        seen.append(len(stored) / len(payload))
+    assert seen[2] < 0.1 and seen[3] < 0.45 and seen[4] < 0.4
+    for shape in ((1, 1), (1, 5), (7, 1), (3, 9), (600, 7)):
+        samples = RNG.integers(0, 20, shape).astype(np.uint8)
+        assert (webp.samples_of(webp.decode(webp.encode_grey(samples))) == samples).all()
+    far = np.concatenate([noise[:1920], RNG.integers(0, 256, 192 * 5600).astype(np.uint8), noise[:1920]])  # beyond the format's distances
+    assert media.load(media.store(far.tobytes())).tobytes() == far.tobytes()
+    # codes of several lengths and copies are what a text is read by
+    codes, plain = [], webp._green_pixels
+    monkeypatch.setattr(webp, "_green_pixels", lambda bits, green, *rest: codes.append(green.lengths) or plain(bits, green, *rest))
+    media.load(media.store(media.payload_of(words.decode())[0]))
+    assert len({n for n in codes[0] if n}) > 1 and any(codes[0][256:280])

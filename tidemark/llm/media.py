@@ -1,8 +1,8 @@
 """Media columns: payloads as lossless WebP, and features of their pixels.
 
 The payload of a text (UTF-8, padded with spaces to a positive multiple of 192)
-is stored as rows of 192 grey samples; more than 16,384 rows make further files,
-one behind the other. Rows are handled where they are read, one at a time.
+is stored as rows of 192 grey samples (``webp.encode_grey``); more than 16,384
+rows make further files, one behind the other. Rows are handled where they are read, one at a time.
 
 Cases: null or empty text is a payload of 192 spaces; a null doc_id is carried;
 equal texts give equal values; repeated rows are all returned; an empty table
@@ -35,7 +35,7 @@ def payload_of(text: str | None) -> tuple[bytes, int]:
 
 def store(payload: bytes) -> bytes:
     rows = np.frombuffer(payload, np.uint8).reshape(-1, ROW)
-    return b"".join(webp.encode_samples(rows[k : k + webp.MAX_SIDE]) for k in range(0, len(rows), webp.MAX_SIDE))
+    return b"".join(webp.encode_grey(rows[k : k + webp.MAX_SIDE]) for k in range(0, len(rows), webp.MAX_SIDE))
 
 
 def load(media: bytes) -> np.ndarray:

@@ -3,8 +3,10 @@
 Pixels are uint32 ARGB arrays of shape (height, width). Decoding covers prefix
 codes (simple and normal, with groups chosen by an entropy image), literals,
 back-references, the colour cache, and the predictor, cross-colour,
-subtract-green and palette transforms. Where every pixel takes a prefix code of
-one length (as ``encode_samples`` writes), pixels are decoded together.
+subtract-green and palette transforms. Where green alone has more than one
+symbol and there is no cache (grey samples after subtract-green), runs of symbols
+are read from one window; where every pixel takes a prefix code of one length (as
+``encode_samples`` writes), pixels are decoded together.
 """
 
 from __future__ import annotations
@@ -69,13 +71,11 @@ class Writer:
 
 def _codes(lengths: list[int]) -> dict[int, tuple[int, int]]:
     """symbol -> (bits in stream order, length) of the canonical code."""
-    code, out = 0, {}
-    for n in range(1, 16):
-        for symbol, length in enumerate(lengths):
-            if length == n:
-                out[symbol] = (int(format(code, f"0{n}b")[::-1], 2), n)
-                code += 1
-        code <<= 1
+    code, last, out = 0, 0, {}
+    for n, symbol in sorted((n, symbol) for symbol, n in enumerate(lengths) if n):
+        code <<= n - last
+        out[symbol] = (int(format(code, f"0{n}b")[::-1], 2), n)
+        code, last = code + 1, n
     return out
 
 
@@ -94,8 +94,7 @@ class Code:
         self.depth = max(lengths)
         self.table: list[tuple[int, int]] = [(0, 0)] * (1 << self.depth)
         for symbol, (bits, n) in _codes(lengths).items():
-            for x in range(bits, 1 << self.depth, 1 << n):
-                self.table[x] = (symbol, n)
+            self.table[bits :: 1 << n] = [(symbol, n)] * (1 << (self.depth - n))
         if len({lengths[s] for s in used}) == 1:
             self.uniform = self.depth
             self.symbols = np.array([s for s, _ in self.table], np.uint32)
@@ -186,9 +185,11 @@ def _read_pixels(bits: Reader, width: int, height: int, main: bool) -> np.ndarra
         of_block = ((image >> 8) & 0xFFFF).tolist()
     groups = [_read_group(bits, len(cache)) for _ in range(1 + max(map(max, of_block)) if of_block else 1)]
     n = width * height
-    green, red, blue, alpha, _ = groups[0]
+    green, red, blue, alpha, distance = groups[0]
     if len(groups) == 1 and not cache and green.uniform and max(s for s, x in enumerate(green.lengths) if x) < 256 and None not in (red.only, blue.only, alpha.only):
         return _uniform(bits, green, n, (alpha.only << 24) | (red.only << 16) | blue.only).reshape(height, width)
+    if len(groups) == 1 and not cache and green.only is None and None not in (red.only, blue.only, alpha.only):
+        return _green_pixels(bits, green, distance, n, width, (alpha.only << 24) | (red.only << 16) | blue.only).reshape(height, width)
     out = [0] * n
     at = 0
     while at < n:
@@ -223,6 +224,63 @@ def _read_pixels(bits: Reader, width: int, height: int, main: bool) -> np.ndarra
     return np.array(out, np.uint32).reshape(height, width)
 
 
+def _green_pixels(bits: Reader, green: Code, distance: Code, n: int, width: int, rest: int) -> np.ndarray:
+    """Pixels of which only green has a code of more than one symbol."""
+    data, table, depth, full = bits.data, green.table, green.depth, (1 << green.depth) - 1
+    far_table = None if distance.only is not None else distance.table
+    out, at, pos = bytearray(n), 0, bits.at
+    while at < n:
+        if pos > bits.end:
+            raise WebPError("the stream ends early")
+        window, left, s = int.from_bytes(data[pos >> 3 : (pos >> 3) + 8], "little") >> (pos & 7), 57, 0
+        while left >= depth and at < n:
+            s, size = table[window & full]
+            window >>= size
+            left -= size
+            if s > 255:
+                break
+            out[at] = s
+            at += 1
+        pos += 57 - left
+        if s < 256:
+            continue
+        window = int.from_bytes(data[pos >> 3 : (pos >> 3) + 10], "little") >> (pos & 7)
+        values = []
+        for k in (0, 1):
+            if not k:
+                prefix = s - 256
+            elif far_table is None:
+                prefix = distance.only
+            else:
+                prefix, size = far_table[window & ((1 << distance.depth) - 1)]
+                window >>= size
+                pos += size
+            if prefix < 4:
+                values.append(prefix + 1)
+            else:
+                extra = (prefix - 2) >> 1
+                values.append(((2 + (prefix & 1)) << extra) + (window & ((1 << extra) - 1)) + 1)
+                window >>= extra
+                pos += extra
+        fresh, far = values
+        if far > 120:
+            far -= 120
+        else:
+            x, y = NEAR[far - 1]
+            far = max(1, x + y * width)
+        if far > at or at + fresh > n:
+            raise WebPError("a back-reference leaves the image")
+        if far >= fresh:
+            out[at : at + fresh] = out[at - far : at - far + fresh]
+        else:
+            out[at : at + fresh] = (out[at - far : at] * (fresh // far + 1))[:fresh]
+        at += fresh
+    if pos > bits.end:
+        raise WebPError("the stream ends early")
+    bits.at = pos
+    return (np.frombuffer(out, np.uint8).astype(np.uint32) << 8) | np.uint32(rest)
+
+
 def _uniform(bits: Reader, green: Code, n: int, rest: int) -> np.ndarray:
     k = green.uniform
     if bits.at + k * n > bits.end:
@@ -411,21 +469,26 @@ def _huffman(counts: Counter, limit: int) -> dict[int, int]:
     """symbol -> code length, at most ``limit``; counts are flattened until it fits."""
     counts = dict(counts)
     while True:
-        heap = [(c, i, (s,)) for i, (s, c) in enumerate(sorted(counts.items()))]
+        symbols = sorted(counts)
+        heap = [(counts[s], i) for i, s in enumerate(symbols)]
         heapq.heapify(heap)
-        depth = Counter()
-        k = len(heap)
+        above = [0] * (2 * len(symbols))
+        k = len(symbols)
         while len(heap) > 1:
-            (c, _, a), (d, _, b) = heapq.heappop(heap), heapq.heappop(heap)
-            depth.update(a + b)
-            heapq.heappush(heap, (c + d, k, a + b))
+            (c, a), (d, b) = heapq.heappop(heap), heap[0]
+            above[a] = above[b] = k
+            heapq.heapreplace(heap, (c + d, k))
             k += 1
+        far = [0] * k
+        for i in range(k - 2, -1, -1):
+            far[i] = far[above[i]] + 1
+        depth = dict(zip(symbols, far, strict=False)) if len(symbols) > 1 else {}
         if not depth or max(depth.values()) <= limit:
             return dict(depth)
         counts = {s: (c + 1) // 2 for s, c in counts.items()}
 
 
-def _write_code(w: Writer, counts: Counter, size: int) -> dict[int, tuple[int, int]]:
+def _write_code(w: Writer, counts: Counter, size: int, limit: int = 15) -> dict[int, tuple[int, int]]:
     """Writes a code for the counted symbols; symbol -> (bits, length)."""
     used = sorted(counts) or [0]
     if len(used) <= 2 and used[-1] < 256:
@@ -439,7 +502,7 @@ def _write_code(w: Writer, counts: Counter, size: int) -> dict[int, tuple[int, i
         return {used[0]: (0, 0)}
     if len(used) == 1:  # beyond 255: two symbols, of which one stays unused
         counts = counts + Counter({0: 1})
-    depth = _huffman(counts, 15)
+    depth = _huffman(counts, limit)
     lengths = [depth.get(s, 0) for s in range(size)]
     tokens, at = [], 0
     while at < size:
@@ -671,6 +734,174 @@ def encode_samples(samples: np.ndarray) -> bytes:
     return _file(w.bytes() + body.tobytes())
 
 
+#: Shortest copy that is worth its length and distance.
+COPY = 6
+
+#: The format's largest distance; 120 codes are for near ones.
+FARTHEST = (1 << 20) - 120
+
+
+def _copies(data: np.ndarray) -> tuple[list[int], list[int], list[int]]:
+    """(starts, lengths, distances) of back-references in ``data``: each position
+    not yet covered copies from the last place with the same ``COPY`` values."""
+    n = len(data)
+    starts, runs, fars = [], [], []
+    if n <= COPY:
+        return starts, runs, fars
+    m = n - COPY + 1
+    key = np.zeros(m, np.uint64)
+    for k in range(COPY):
+        key |= data[k : k + m].astype(np.uint64) << np.uint64(8 * k)
+    # a hash above the position: sorted, equal hashes are neighbours in order
+    low = max(1, (m - 1).bit_length())
+    mixed = np.sort(((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(low)) << np.uint64(low) | np.arange(m, dtype=np.uint64))
+    place = (mixed & np.uint64((1 << low) - 1)).astype(np.int64)
+    equal = (mixed[1:] >> np.uint64(low)) == (mixed[:-1] >> np.uint64(low))
+    before = np.full(m, -1, np.int64)
+    equal[equal] = np.diff(place)[equal] <= FARTHEST
+    before[place[1:][equal]] = place[:-1][equal]
+    sources = np.flatnonzero(before >= 0)
+    following = np.searchsorted(sources, np.arange(m)).tolist()
+    sources, before, text = sources.tolist(), before.tolist(), data.tobytes()
+    at = 0
+    while at < m and following[at] < len(sources):
+        at = sources[following[at]]
+        source, most, run, step = before[at], min(4096, n - at), 0, 24
+        while run < most:
+            differ = int.from_bytes(text[at + run : at + run + step], "little") ^ int.from_bytes(text[source + run : source + run + step], "little")
+            if differ:
+                run += ((differ & -differ).bit_length() - 1) >> 3
+                break
+            run += step
+            step = min(4 * step, 1024)
+        run = min(run, most)
+        if run < COPY:  # equal hashes of different values
+            at += 1
+            continue
+        starts.append(at)
+        runs.append(run)
+        fars.append(at - source)
+        at += run
+    return starts, runs, fars
+
+
+def _cost(symbols: np.ndarray) -> float:
+    """Estimated bits of ``symbols`` and of the code for them."""
+    counts = np.bincount(symbols)
+    counts = counts[counts > 0]
+    return float((counts * np.log2(len(symbols) / counts)).sum()) + 5 * len(counts)
+
+
+def _prefixes_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``_prefixed`` of each value."""
+    v = values - 1
+    extra = np.maximum(np.frexp(np.maximum(v, 1).astype(float))[1].astype(np.int64) - 2, 0)
+    return np.where(v < 4, v, 2 * extra + (v >> extra)), np.where(v < 4, 0, v & ((1 << extra) - 1)), np.where(v < 4, 0, extra)
+
+
+def encode_grey(samples: np.ndarray) -> bytes:
+    """A WebP file of 8-bit grey samples (height, width): subtract-green, prefix
+    codes by frequency and back-references; the left or upper predictor and the
+    colour cache where they cost fewer bits by estimate, a packed palette where
+    that makes the file smaller. Cross-colour has nothing to take away: red and
+    blue are zero once green is subtracted."""
+    height, width = samples.shape
+    w = Writer()
+    w.put(0x2F, 8)
+    w.put(width - 1, 14)
+    w.put(height - 1, 14)
+    w.put(0, 4)
+    w.put(1 | GREEN << 1, 3)
+    left, upper = np.diff(samples, axis=1, prepend=samples[:, :1]), np.diff(samples, axis=0, prepend=samples[:1])
+    left[1:, 0], upper[0] = upper[1:, 0], left[0]
+    left[0, 0] = upper[0, 0] = samples[0, 0]
+    choices = [(_cost(samples.ravel()), 0, samples), (_cost(left.ravel()) + 300, 1, left), (_cost(upper.ravel()) + 300, 2, upper)]
+    _, mode, chosen = min(choices, key=lambda c: c[:2])
+    if mode:
+        w.put(1 | PREDICTOR << 1, 3)
+        w.put(7, 3)
+        _write_pixels(w, np.full((-(-height >> 9), -(-width >> 9)), mode << 8, np.uint32), False)
+    w.put(0, 1)
+    data, alpha = np.ascontiguousarray(chosen).ravel(), 0 if mode else 255
+    starts, runs, fars = (np.array(x, np.int64) for x in _copies(data))
+    covered = np.zeros(len(data) + 1, np.int64)
+    covered[starts] += 1
+    np.subtract.at(covered, starts + runs, 1)
+    literal = np.cumsum(covered[:-1]) == 0
+    symbols, cache_bits = data.astype(np.int64), 0
+    best = _cost(symbols[literal]) if literal.any() else 0.0
+    for trial in (1, 2, 4):
+        keys = np.array([_cache_key((alpha << 24) | (v << 8), trial) for v in range(256)] if (alpha, trial) not in _KEYS else _KEYS[alpha, trial], np.uint8)
+        _KEYS[alpha, trial] = keys
+        key = keys[data]
+        order = np.argsort(key, kind="stable")
+        hit = np.zeros(len(data), bool)
+        hit[order[1:]] = data[order[1:]] == data[order[:-1]]
+        cached = np.where(hit, 280 + key.astype(np.int64), data)
+        cost = _cost(cached[literal]) + 4 if literal.any() else best
+        if cost < best:
+            best, symbols, cache_bits = cost, cached, trial
+    w.put(int(cache_bits > 0), 1)
+    if cache_bits:
+        w.put(cache_bits, 4)
+    w.put(0, 1)
+    near = np.arange(121, 121 + 8 * width + 16)
+    for k, (x, y) in reversed(list(enumerate(NEAR))):
+        if x + y * width >= 1:
+            near[x + y * width - 1] = k + 1
+    code = fars + 120
+    close = fars <= len(near)
+    code[close] = near[fars[close] - 1]
+    length, distance = _prefixes_of(runs), _prefixes_of(code)
+    symbols[starts] = 256 + length[0]
+    heads = literal.copy()
+    heads[starts] = True
+    used = np.bincount(symbols[heads])
+    size = ALPHABETS[0] + (1 << cache_bits if cache_bits else 0)
+    green = _write_code(w, Counter({s: c for s, c in enumerate(used.tolist()) if c}), size, 12)
+    for value in (0, 0, alpha):
+        _write_code(w, Counter({value: 1}), 256)
+    far = _write_code(w, Counter(distance[0].tolist()), ALPHABETS[4], 12)
+    head, tail = _arrays(green, size), _arrays(far, ALPHABETS[4])
+    items, bits = np.zeros((len(data), 2), np.int64), np.zeros((len(data), 2), np.int64)
+    items[:, 0], bits[:, 0] = head[0][symbols], head[1][symbols]
+    items[starts, 0] |= length[1] << bits[starts, 0]
+    bits[starts, 0] += length[2]
+    items[starts, 1] = tail[0][distance[0]] | distance[1] << tail[1][distance[0]]
+    bits[starts, 1] = tail[1][distance[0]] + distance[2]
+    file = _file(_joined(w, items[heads].ravel(), bits[heads].ravel()))
+    if not width % 8 and np.count_nonzero(np.bincount(samples.ravel(), minlength=256)) <= 16:
+        file = min(file, encode_samples(samples), key=len)
+    return file
+
+
+_KEYS: dict = {}
+
+
+def _arrays(code: dict[int, tuple[int, int]], size: int) -> tuple[np.ndarray, np.ndarray]:
+    bits, lengths = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    for symbol, (b, n) in code.items():
+        bits[symbol], lengths[symbol] = b, n
+    return bits, lengths
+
+
+def _joined(w: Writer, items: np.ndarray, bits: np.ndarray) -> bytes:
+    """What ``w`` holds and the items behind it, each of up to 49 bits
+    with its offset in a word (sums are exact below 2**53)."""
+    ends = w.n + np.cumsum(bits)
+    at = ends - bits
+    total = int(ends[-1])
+    out = np.zeros((total >> 4) + 5)
+    shifted = items << (at & 15)
+    for k in range(4):  # no two items share a bit: sums are unions
+        out += np.bincount((at >> 4) + k, weights=(shifted >> (16 * k)) & 0xFFFF, minlength=len(out))[: len(out)]
+    start = w.bytes() + b"\0"
+    joined = bytearray(out.astype("<u2").tobytes())
+    for k, b in enumerate(start[: len(joined)]):
+        joined[k] |= b
+    return bytes(joined[: (total + 7) >> 3])
+
+
 def _green_only(k: int) -> tuple[int, int]:
     if ("green", k) not in _HEADERS:
         w = Writer()
