@@ -72,3 +72,18 @@ def test_pieces_of_a_table(spark):
         assert whole == words.ids(d.text) + array("I", [1]).tobytes() and pieces[0].doc_tokens == len(whole) // 4
     assert [(r.start, r.length) for r in by_doc[-1]] == [(0, 1)] and len(by_doc[-2]) == 2 and len(by_doc[None]) >= 1
     assert p.pack(docs.limit(0), p.default_tokenizer()).count() == 0
+
+
+def test_remainders_are_cut_only_where_none_has_room():
+    rng = random.Random(7)
+    for lengths in ([900] * 30 + [600] * 30 + [200] * 60 + [40] * 100, [rng.randrange(1, 2048) for _ in range(1500)]):
+        pieces = p.assign(lengths)
+        total = sum(lengths)
+        used, cost = [0] * -(-total // p.LENGTH), [0.0] * -(-total // p.LENGTH)
+        for item, start, size, s, offset in pieces:  # in the order of placing
+            left = lengths[item] - start
+            roomy = [(c, k) for k, (u, c) in enumerate(zip(used, cost)) if p.LENGTH - u >= left]
+            open_ = roomy or [(c, k) for k, (u, c) in enumerate(zip(used, cost)) if u < p.LENGTH]
+            assert s == min(open_)[1] and offset == used[s] and size == min(left, p.LENGTH - used[s])
+            used[s] += size
+            cost[s] += size + size * size / p.QUADRATIC

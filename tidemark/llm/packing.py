@@ -5,8 +5,8 @@ and a task holds at most ``HELD`` tokens (or one document) at a time. Of what is
 held, full-length pieces make their own sequences; the remainders go in
 descending order to the sequence of lowest estimated cost (linear in tokens plus
 quadratic in each piece, for attention within it) that has room. A remainder
-that fits nowhere near the lowest cost is cut at the lowest. The number of open
-sequences is the least possible, so a batch leaves under one sequence of padding.
+that fits into no sequence is cut at the lowest. The number of open sequences is
+the least possible, so a batch leaves under one sequence of padding.
 
 Words are tokenised once and remembered: the tokenizer never joins what white
 space separates. The memory is bounded: words not seen for ``WORDS`` new ones are forgotten.
@@ -40,9 +40,6 @@ HELD, WORDS = 4_000_000, 300_000
 #: Cost of a piece of n tokens: n + n * n / QUADRATIC.
 QUADRATIC = 1024.0
 
-#: Sequences beyond the cheapest that are tried before a remainder is cut.
-TRIES = 8
-
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 )
@@ -144,23 +141,51 @@ def assign(lengths: list[int], room: int = LENGTH) -> list[tuple[int, int, int,
     rest.sort(key=lambda r: (-r[0], r[1]))
     total = sum(r[0] for r in rest)
     used = [0] * (-(-total // room))
-    heap = [(0.0, s) for s in range(len(used))]
+    # ``open_`` has the sequences of each free space by cost, ``tree`` the least
+    # (cost, sequence) of the free spaces below each node
+    width = 1 << room.bit_length()
+    none = (float("inf"), -1)
+    open_: list[list[tuple[float, int]]] = [[] for _ in range(room + 1)]
+    tree = [none] * (2 * width)
+
+    def refresh(space: int) -> None:
+        k = width + space
+        tree[k] = open_[space][0] if open_[space] else none
+        while k > 1:
+            k >>= 1
+            a, b = tree[2 * k], tree[2 * k + 1]
+            best = a if a <= b else b
+            if best is tree[k]:
+                break
+            tree[k] = best
+
+    def cheapest(size: int) -> tuple[float, int]:
+        """Of the sequences with at least ``size`` free."""
+        best, k = none, width + size
+        if tree[k] < best:
+            best = tree[k]
+        while k > 1:
+            if not k & 1 and tree[k + 1] < best:
+                best = tree[k + 1]
+            k >>= 1
+        return best
+
+    open_[room] = [(0.0, s) for s in range(len(used))]
+    refresh(room)
     for size, item, start in rest:
         while size:
-            tried = []
-            while heap and len(tried) < TRIES:
-                tried.append(heapq.heappop(heap))
-                if room - used[tried[-1][1]] >= size:
-                    break
-            cost, s = tried[-1] if room - used[tried[-1][1]] >= size else tried[0]
-            take = min(size, room - used[s])
+            cost, s = cheapest(size)
+            if s < 0:
+                cost, s = tree[1]
+            space = room - used[s]
+            take = min(size, space)
             pieces.append((item, start, take, n + s, used[s]))
             used[s] += take
-            for old in tried:
-                if old[1] != s:
-                    heapq.heappush(heap, old)
-            if used[s] < room:
-                heapq.heappush(heap, (cost + take + take * take / QUADRATIC, s))
+            heapq.heappop(open_[space])  # the cheapest of its space
+            refresh(space)
+            if take < space:
+                heapq.heappush(open_[space - take], (cost + take + take * take / QUADRATIC, s))
+                refresh(space - take)
             start, size = start + take, size - take
     return pieces
 
