@@ -90,6 +90,13 @@ def test_keep_one_carries_columns(spark):
     assert sorted((r.doc_id, r.rep) for r in nj.keep_one(df).collect()) == [(5, 1), (7, 3)]
 
 
+def test_keep_one_row_of_each_class(spark):
+    text, other = "a b c d e f g h", "q r s t u v w x"
+    rows = [(5, text), (5, text), (9, text), (None, text), (9, other), (None, "i j k l m"), (None, "I j k l m"), (3, ""), (3, None), (4, ""), (None, ""), (None, " ")]
+    got = [(r.doc_id, r.text) for r in nj.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted((i or 0, " ".join((t or "").lower().split())) for i, t in got) == [(0, ""), (0, "i j k l m"), (3, ""), (4, ""), (5, text), (9, other)]
+
+
 @pytest.mark.parametrize("a", range(1, 30))
 def test_bounds(a):
     for b in range(1, 30):

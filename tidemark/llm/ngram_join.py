@@ -380,10 +380,22 @@ def ngram_join(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class: the one with its smallest id.
-    Rows without an id stay."""
-    joined = ngram_join(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct().hint("shuffle_hash")
-    return docs.join(joined, docs["doc_id"] == F.col("__gone"), "left_anti")
+    """``docs`` with one row of each class: the one with its smallest id, a row
+    without an id only where no other has one. Classes are of rows, so repeated
+    rows and two texts of one id are told apart. Rows without words are a class
+    for each id, those without an id one more."""
+    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "op2-rows")
+    ids = rows.select("__row", F.col("doc_id").alias("__id"))
+    joined = ngram_join(rows.select(F.col("__row").alias("doc_id"), "text")).join(ids, F.col("doc_id") == F.col("__row"))
+    words = F.col("n_shingles") > 0
+    first = F.min(F.struct(F.col("__id").isNull(), F.col("__id"), F.col("__row").alias("row")))
+    stay = (
+        joined.groupBy(F.when(words, F.col("component_id")).alias("class"), F.when(~words, F.col("__id")).alias("id"))
+        .agg(first.alias("first"))
+        .select(F.col("first.row").alias("__stay"))
+        .hint("shuffle_hash")
+    )
+    return rows.join(stay, F.col("__row") == F.col("__stay"), "left_semi").drop("__row")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
