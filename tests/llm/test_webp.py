@@ -53,7 +53,7 @@ def test_samples(n):
     values = RNG.permutation(256)[:n].astype(np.uint8)
     for shape in ((1, 192), (3, 8), (40, 192)):
         samples = values[RNG.integers(0, n, shape)]
-        assert (webp.samples_of(webp.decode(webp.encode_samples(samples))) == samples).all()
+        assert (webp.samples_of(webp.decode(webp.encode_grey(samples))) == samples).all()
 
 
 def test_the_predictor_rule_by_hand():
@@ -94,6 +94,111 @@ def test_grey_samples_by_the_named_method(monkeypatch):
     assert media.load(media.store(far.tobytes())).tobytes() == far.tobytes()
     # codes of several lengths and copies are what a text is read by
     codes, plain = [], webp._green_pixels
-    monkeypatch.setattr(webp, "_green_pixels", lambda bits, green, *rest: codes.append(green.lengths) or plain(bits, green, *rest))
+
+    def spied(bits, green, *rest):
+        codes.append(dict(zip(green.symbols.tolist(), green.sizes.tolist(), strict=True)))
+        return plain(bits, green, *rest)
+
+    monkeypatch.setattr(webp, "_green_pixels", spied)
     media.load(media.store(media.payload_of(words.decode())[0]))
-    assert len({n for n in codes[0] if n}) > 1 and any(codes[0][256:280])
+    assert len(set(codes[0].values())) > 1 and any(256 <= s < 280 for s in codes[0])
+
+
+def test_each_transform_is_chosen_where_it_pays(monkeypatch):
+    from tidemark.llm import media
+
+    ran = set()
+    for name in ("_unpredict", "_unbundle", "_add_green", "_with_cache", "_green_pixels"):
+        plain = getattr(webp, name)
+        monkeypatch.setattr(webp, name, lambda *a, plain=plain, name=name: ran.add(name) or plain(*a))
+    ramp = (np.cumsum(RNG.integers(0, 3, 192 * 40)) & 255).astype(np.uint8)
+    two = np.array([[0, 1, 1, 0, 1, 0, 0, 0], [1, 1, 0, 1, 0, 0, 1, 1], [0, 0, 0, 1, 0, 1, 1, 1]], np.uint8)[RNG.integers(0, 3, 480)] * 100
+    pairs = RNG.integers(32, 232, (1440, 2)).astype(np.uint8)
+    pairs = pairs[:, [0, 0, 1, 1, 0, 0, 1, 1]].ravel()  # a colour seen just before comes again, not the difference to it
+    for payload in (ramp.tobytes(), two.tobytes(), pairs.tobytes()):
+        stored = media.store(payload)
+        assert media.load(stored).tobytes() == payload and len(stored) < 0.8 * len(payload)
+    assert ran == {"_unpredict", "_unbundle", "_add_green", "_with_cache", "_green_pixels"}
+
+
+class Bits:
+    """A stream written by hand: (value, bits) pairs lowest bit first, and codes as they stand."""
+
+    def __init__(self):
+        self.text = ""
+
+    def put(self, *pairs):
+        for p in pairs:
+            self.text += p if isinstance(p, str) else format(p[0], f"0{p[1]}b")[::-1]
+        return self
+
+    def file(self):
+        text = self.text + "0" * (-len(self.text) % 8)
+        body = bytes(int(text[k : k + 8][::-1], 2) for k in range(0, len(text), 8))
+        chunk = b"VP8L" + len(body).to_bytes(4, "little") + body + b"\0" * (len(body) % 2)
+        return b"RIFF" + (len(chunk) + 4).to_bytes(4, "little") + b"WEBP" + chunk
+
+
+def one(symbol):  # a simple code of one symbol, eight bits wide
+    return [(1, 1), (0, 1), (1, 1), (symbol, 8)]
+
+
+def two(a, b):  # a simple code of two symbols: a is bit 0, b is bit 1
+    return [(1, 1), (1, 1), (1, 1), (a, 8), (b, 8)]
+
+
+def head(width, height):
+    return Bits().put((0x2F, 8), (width - 1, 14), (height - 1, 14), (0, 1), (0, 3))
+
+
+def test_a_file_by_hand_literals():
+    bits = head(3, 1).put((0, 1))  # no transform
+    bits.put((0, 1), (0, 1))  # no cache, one group
+    bits.put(*two(10, 200), *one(7), *two(1, 2), *one(255), *one(0))
+    bits.put("10" "01" "11")  # (green, blue) of each pixel
+    assert webp.decode(bits.file()).tolist() == [[0xFF07C801, 0xFF070A02, 0xFF07C802]]
+
+
+def test_a_file_by_hand_palette():
+    # two colours, eight indices to a byte: 0b101 is colours 1, 0, 1
+    bits = head(3, 1).put((1, 1), (webp.PALETTE, 2), (1, 8))
+    bits.put((0, 1), *one(0), *two(5, 9), *one(0), *two(0, 255), *one(0))  # no cache; deltas of (red, alpha)
+    bits.put("01" "10")  # 0xFF050000, then 0x00090000 more
+    bits.put((0, 1), (0, 1), (0, 1), *one(5), *one(0), *one(0), *one(0), *one(0))
+    assert webp.decode(bits.file()).tolist() == [[0xFF0E0000, 0xFF050000, 0xFF0E0000]]
+
+
+def test_a_file_by_hand_green():
+    # green 3 comes back to red (1) and blue (254)
+    bits = head(1, 1).put((1, 1), (webp.GREEN, 2), (0, 1), (0, 1), (0, 1), *one(3), *one(1), *one(254), *one(255), *one(0))
+    assert webp.decode(bits.file()).tolist() == [[0xFF040301]]
+
+
+def test_a_file_by_hand_predictor():
+    # mode 2 (above) in one block of four: the first row adds to the left, the second to what stands above
+    bits = head(2, 2).put((1, 1), (webp.PREDICTOR, 2), (0, 3))
+    bits.put((0, 1), *one(2), *one(0), *one(0), *one(255), *one(0), (0, 1))
+    bits.put((0, 1), (0, 1), *two(1, 4), *one(0), *one(0), *one(0), *one(0), "0110")
+    assert webp.decode(bits.file()).tolist() == [[0xFF000100, 0xFF000500], [0xFF000500, 0xFF000600]]
+
+
+def test_a_file_by_hand_cross_colour():
+    # green 8: red gains (16 * 8) >> 5 = 4, blue (-32 * 8) >> 5 = -8 and (32 * 5) >> 5 = 5 for the new red
+    bits = head(1, 1).put((1, 1), (webp.CROSS, 2), (0, 3))
+    bits.put((0, 1), *one(256 - 32), *one(32), *one(16), *one(255), *one(0), (0, 1))
+    bits.put((0, 1), (0, 1), *one(8), *one(1), *one(10), *one(255), *one(0))
+    assert webp.decode(bits.file()).tolist() == [[0xFF050807]]
+
+
+@pytest.mark.parametrize("green", [8, 9])
+def test_a_file_by_hand_copies_and_cache(green):
+    # green codes: 0 is 0, ``green`` is 10, 258 (a copy of three) is 110, 281 (cache entry 1) is 111
+    bits = head(9, 1).put((0, 1), (1, 1), (1, 4), (0, 1))  # a cache of two colours, one group
+    # the code for code lengths: 1, 2 and 3 have two bits, short (17) and long (18) runs of zeros three
+    bits.put((0, 1), (2, 4), (3, 3), (3, 3), (0, 3), (2, 3), (2, 3), (2, 3), (0, 1))
+    bits.put("00", "110", (green - 4, 3), "01", "111", (127, 7), "111", (108 - green, 7), "10", "111", (11, 7), "10")
+    bits.put(*one(0), *one(0), *one(255), *one(1))  # distance prefix 1: near code 2, the pixel before
+    bits.put("0", "10", "110", "0", "111", "10", "10")  # black, green, a copy, black, by the cache, green, green
+    black, lit = 0xFF000000, 0xFF000000 | green << 8
+    cached = lit if green == 8 else 0  # 8 falls to entry 1; 9 falls to entry 0, and entry 1 is as it began
+    assert webp.decode(bits.file()).tolist() == [[black, lit, lit, lit, lit, black, cached | black, lit, lit]]

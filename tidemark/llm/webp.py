@@ -3,16 +3,17 @@
 Pixels are uint32 ARGB arrays of shape (height, width). Decoding covers prefix
 codes (simple and normal, with groups chosen by an entropy image), literals,
 back-references, the colour cache, and the predictor, cross-colour,
-subtract-green and palette transforms. Where green alone has more than one
-symbol and there is no cache (grey samples after subtract-green), runs of symbols
-are read from one window; where every pixel takes a prefix code of one length (as
-``encode_samples`` writes), pixels are decoded together.
+subtract-green and palette transforms. Pixels are read one by one, but for main
+images of which only green has more than one symbol (grey samples after
+subtract-green): there the token that would begin at each bit is looked up for
+a stretch of the stream at once, and the tokens that do begin are the chain from
+its first bit.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections import Counter
+from itertools import groupby
 
 import numpy as np
 
@@ -27,6 +28,7 @@ ALPHABETS = [256 + 24, 256, 256, 256, 40]
 NEAR = sorted(
     ((x, y) for y in range(8) for x in range(-7, 9) if y or x > 0), key=lambda p: (p[0] ** 2 + p[1] ** 2, abs(p[0]), p[0] < 0)
 )
+_NEAR_XY = np.array(NEAR)
 BLACK = 0xFF000000
 MAX_SIDE = 1 << 14
 
@@ -69,42 +71,58 @@ class Writer:
 # --- prefix codes ------------------------------------------------------------
 
 
-def _codes(lengths: list[int]) -> dict[int, tuple[int, int]]:
-    """symbol -> (bits in stream order, length) of the canonical code."""
-    code, last, out = 0, 0, {}
-    for n, symbol in sorted((n, symbol) for symbol, n in enumerate(lengths) if n):
-        code <<= n - last
-        out[symbol] = (int(format(code, f"0{n}b")[::-1], 2), n)
-        code, last = code + 1, n
-    return out
+def _reversed(depth: int) -> np.ndarray:
+    """Every number of ``depth`` bits with its bits in reverse order."""
+    if depth not in _REVERSED:
+        order = np.zeros(1, np.intp)
+        for _ in range(depth):
+            order = np.concatenate([2 * order, 2 * order + 1])
+        _REVERSED[depth] = order
+    return _REVERSED[depth]
+
+
+_REVERSED: dict[int, np.ndarray] = {}
+
+
+def _canonical(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """(symbols by code, how many slots of a table each fills, table depth)."""
+    used = np.flatnonzero(lengths)
+    used = used[np.argsort(lengths[used], kind="stable")]
+    depth = int(lengths[used[-1]])
+    return used, np.left_shift(1, depth - lengths[used].astype(np.intp)), depth
 
 
 class Code:
-    """A prefix code for reading: a table over ``depth`` bits. ``only`` is the
-    symbol of a code without bits; ``uniform`` the one length of all codes."""
+    """A prefix code for reading: a table over ``depth`` bits, by the bits as
+    they stand in the stream. ``only`` is the symbol of a code without bits."""
 
     def __init__(self, lengths: list[int]):
-        used = [s for s, n in enumerate(lengths) if n]
-        self.lengths, self.only, self.uniform, self.depth = lengths, None, 0, 0
-        if len(used) < 2:
-            self.only = used[0] if used else 0
+        self.only, self.depth, self._lists = None, 0, None
+        if lengths.count(0) > len(lengths) - 2:
+            self.only = lengths.index(max(lengths))
             return
-        if sum(2.0 ** -lengths[s] for s in used) != 1.0:
+        sizes = np.array(lengths, np.uint8)
+        used, slots, self.depth = _canonical(sizes)
+        if int(slots.sum()) != 1 << self.depth:
             raise WebPError("a prefix code is incomplete or overfull")
-        self.depth = max(lengths)
-        self.table: list[tuple[int, int]] = [(0, 0)] * (1 << self.depth)
-        for symbol, (bits, n) in _codes(lengths).items():
-            self.table[bits :: 1 << n] = [(symbol, n)] * (1 << (self.depth - n))
-        if len({lengths[s] for s in used}) == 1:
-            self.uniform = self.depth
-            self.symbols = np.array([s for s, _ in self.table], np.uint32)
+        order = _reversed(self.depth)
+        self.symbols = np.repeat(used.astype(np.uint16), slots)[order]
+        self.sizes = np.repeat(sizes[used], slots)[order]
+
+    def lists(self) -> tuple[list[int], list[int]]:
+        if self._lists is None:
+            self._lists = (self.symbols.tolist(), self.sizes.tolist())
+        return self._lists
 
     def read(self, bits: Reader) -> int:
         if self.only is not None:
             return self.only
-        symbol, n = self.table[bits.peek(self.depth)]
-        bits.read(n)
-        return symbol
+        symbols, sizes = self.lists()
+        at = bits.peek(self.depth)
+        bits.at += sizes[at]
+        if bits.at > bits.end:
+            raise WebPError("the stream ends early")
+        return symbols[at]
 
 
 def _read_code(bits: Reader, size: int) -> Code:
@@ -123,40 +141,35 @@ def _read_code(bits: Reader, size: int) -> Code:
     left = size
     if bits.read(1):
         left = 2 + bits.read(2 + 2 * bits.read(3))
-    at, last = 0, 8
+    symbols, sizes = ([of.only], [0]) if of.only is not None else of.lists()
+    mask, at, last, window, have = (1 << of.depth) - 1, 0, 8, 0, 0
     while at < size and left:
         left -= 1
-        n = of.read(bits)
+        if have < 14:  # a symbol and what it may take with it
+            window, have = bits.peek(600), 600
+        slot = window & mask
+        n, taken = symbols[slot], sizes[slot]
         if n < 16:
             lengths[at] = n
             last, at = n or last, at + 1
-            continue
-        value, count = (last, 3 + bits.read(2)) if n == 16 else (0, 3 + bits.read(3)) if n == 17 else (0, 11 + bits.read(7))
-        if at + count > size:
-            raise WebPError("code lengths overrun their alphabet")
-        lengths[at : at + count] = [value] * count
-        at += count
+        else:
+            more, least, value = ((2, 3, last), (3, 3, 0), (7, 11, 0))[n - 16]
+            count = least + ((window >> taken) & ((1 << more) - 1))
+            taken += more
+            if at + count > size:
+                raise WebPError("code lengths overrun their alphabet")
+            lengths[at : at + count] = [value] * count
+            at += count
+        window >>= taken
+        have -= taken
+        bits.at += taken
+    if bits.at > bits.end:
+        raise WebPError("the stream ends early")
     return Code(lengths)
 
 
-#: Groups read before: (cache size, bits of the description) -> group. The same
-#: description means the same codes; parsing one takes longer than small images.
-_SEEN: dict[int, list[tuple[int, int, list[Code]]]] = {}
-
-
 def _read_group(bits: Reader, cache: int) -> list[Code]:
-    seen = _SEEN.setdefault(cache, [])
-    for n, value, group in seen:
-        if bits.at + n <= bits.end and bits.peek(n) == value:
-            bits.at += n
-            return group
-    start = bits.at
-    group = [_read_code(bits, size + (cache if not k else 0)) for k, size in enumerate(ALPHABETS)]
-    n, bits.at = bits.at - start, start
-    if len(seen) < 16:
-        seen.append((n, bits.peek(n), group))
-    bits.at += n
-    return group
+    return [_read_code(bits, size + (cache if not k else 0)) for k, size in enumerate(ALPHABETS)]
 
 
 def _length(bits: Reader, prefix: int) -> int:
@@ -186,10 +199,16 @@ def _read_pixels(bits: Reader, width: int, height: int, main: bool) -> np.ndarra
     groups = [_read_group(bits, len(cache)) for _ in range(1 + max(map(max, of_block)) if of_block else 1)]
     n = width * height
     green, red, blue, alpha, distance = groups[0]
-    if len(groups) == 1 and not cache and green.uniform and max(s for s, x in enumerate(green.lengths) if x) < 256 and None not in (red.only, blue.only, alpha.only):
-        return _uniform(bits, green, n, (alpha.only << 24) | (red.only << 16) | blue.only).reshape(height, width)
-    if len(groups) == 1 and not cache and green.only is None and None not in (red.only, blue.only, alpha.only):
-        return _green_pixels(bits, green, distance, n, width, (alpha.only << 24) | (red.only << 16) | blue.only).reshape(height, width)
+    if len(groups) == 1 and None not in (red.only, blue.only, alpha.only):
+        rest = (alpha.only << 24) | (red.only << 16) | blue.only
+        if green.only is not None and green.only < 256:
+            return np.full((height, width), rest | (green.only << 8), np.uint32)
+        if main and green.only is None:
+            start = bits.at
+            out = _green_pixels(bits, green, distance, n, width, rest, cache_bits)
+            if out is not None:
+                return out.reshape(height, width)
+            bits.at = start
     out = [0] * n
     at = 0
     while at < n:
@@ -224,73 +243,130 @@ def _read_pixels(bits: Reader, width: int, height: int, main: bool) -> np.ndarra
     return np.array(out, np.uint32).reshape(height, width)
 
 
-def _green_pixels(bits: Reader, green: Code, distance: Code, n: int, width: int, rest: int) -> np.ndarray:
-    """Pixels of which only green has a code of more than one symbol."""
-    data, table, depth, full = bits.data, green.table, green.depth, (1 << green.depth) - 1
-    far_table = None if distance.only is not None else distance.table
-    out, at, pos = bytearray(n), 0, bits.at
-    while at < n:
-        if pos > bits.end:
-            raise WebPError("the stream ends early")
-        window, left, s = int.from_bytes(data[pos >> 3 : (pos >> 3) + 8], "little") >> (pos & 7), 57, 0
-        while left >= depth and at < n:
-            s, size = table[window & full]
-            window >>= size
-            left -= size
-            if s > 255:
-                break
-            out[at] = s
-            at += 1
-        pos += 57 - left
-        if s < 256:
-            continue
-        window = int.from_bytes(data[pos >> 3 : (pos >> 3) + 10], "little") >> (pos & 7)
-        values = []
-        for k in (0, 1):
-            if not k:
-                prefix = s - 256
-            elif far_table is None:
-                prefix = distance.only
-            else:
-                prefix, size = far_table[window & ((1 << distance.depth) - 1)]
-                window >>= size
-                pos += size
-            if prefix < 4:
-                values.append(prefix + 1)
+#: Bytes of the stream whose tokens are looked up together.
+STRETCH = 1 << 15
+
+
+def _values(prefix: np.ndarray, window: np.ndarray) -> np.ndarray:
+    """Lengths or distances of prefixes, with extra bits from ``window``."""
+    extra = np.where(prefix < 4, 0, (prefix - 2) >> 1)
+    large = ((2 + (prefix & 1)) << extra) + (window & ((1 << extra) - 1)) + 1
+    return np.where(prefix < 4, prefix + 1, large)
+
+
+#: Extra bits of each prefix of a length or distance.
+EXTRA = np.array([max(0, p - 2) >> 1 for p in range(40)], np.uint8)
+
+
+def _green_pixels(bits: Reader, green: Code, distance: Code, n: int, width: int, rest: int, cache_bits: int) -> np.ndarray | None:
+    """Pixels of which only green has a code of more than one symbol; None where
+    the cache gives a colour that was not put there."""
+    whole = len(bits.data) - 8
+    words = np.ndarray((whole,), "<u8", bits.data, 0, (1,))  # at each byte, what follows it
+
+    def window(at: np.ndarray) -> np.ndarray:
+        return (words[np.minimum(at >> 3, whole - 1)] >> (at & 7).astype(np.uint64)).astype(np.int64)
+
+    def far_of(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(symbol, length) of the distance codes that begin at bits ``at``."""
+        if distance.only is not None:
+            return np.full(len(at), distance.only, np.uint16), np.zeros(len(at), np.uint8)
+        slot = window(at) & ((1 << distance.depth) - 1)
+        return distance.symbols[slot], distance.sizes[slot]
+
+    # what a token takes, without its distance; copies have the highest bit
+    copying = (green.symbols > 255) & (green.symbols < 280)
+    table = green.sizes + np.where(copying, 128 + EXTRA[(green.symbols - 256) * copying], 0).astype(np.uint8)
+    kinds, places, made, at = np.arange(8, dtype=np.uint32), [], 0, bits.at
+    mask, shorts = np.uint32((1 << green.depth) - 1), np.ndarray((whole,), "<u4", bits.data, 0, (1,))
+    while made < n and at < bits.end:
+        first = at >> 3
+        slot = ((shorts[first : first + STRETCH, None] >> kinds) & mask).astype(np.intp).ravel()
+        size = table[slot]
+        copies = np.flatnonzero(size & 128)
+        if len(copies):  # a copy takes its length's extra bits and a distance with it
+            taken = size[copies] & 127
+            far, more = far_of(copies + 8 * first + taken)
+            size[copies] = taken + more + EXTRA[far]
+        # two tokens a step: the second adds nothing where it begins beyond the stretch
+        step = np.concatenate([size, np.zeros(256, np.uint8)])
+        pairs = (size + step[np.arange(len(size)) + size]).tobytes()
+        here, p, limit = [], at - 8 * first, min(len(size), bits.end - 8 * first)
+        add = here.append
+        while p < limit:
+            add(p)
+            p += pairs[p]
+        here = np.array(here)
+        here = np.stack([here, here + size[here]], 1).ravel()
+        here = here[here < limit]
+        places.append(here + 8 * first)
+        at = p + 8 * first
+        made += len(here)  # at least: a copy makes more than one
+    if not places:
+        raise WebPError("the stream ends early")
+    place = np.concatenate(places)
+    slot = window(place) & ((1 << green.depth) - 1)
+    symbol = green.symbols[slot].astype(np.int64)
+    fresh, copy = np.ones(len(symbol), np.int64), np.flatnonzero((symbol > 255) & (symbol < 280))
+    after = place[copy] + green.sizes[slot[copy]]
+    prefix = symbol[copy] - 256
+    fresh[copy] = _values(prefix, window(after))
+    ends = np.cumsum(fresh)
+    last = int(np.searchsorted(ends, n))
+    if last == len(ends) or ends[last] != n:
+        raise WebPError("a back-reference leaves the image" if last < len(ends) else "the stream ends early")
+    copy, after, prefix = (x[: np.searchsorted(copy, last, "right")] for x in (copy, after, prefix))
+    after = after + EXTRA[prefix]
+    far, more = far_of(after)
+    far = _values(far.astype(np.int64), window(after + more))
+    far = np.where(far > 120, far - 120, np.maximum(1, _NEAR_XY @ (1, width))[np.minimum(far, 120) - 1])
+    begins = ends[: last + 1] - fresh[: last + 1]
+    if (far > begins[copy]).any():
+        raise WebPError("a back-reference leaves the image")
+    symbol = symbol[: last + 1]
+    out = bytearray(n)
+    if cache_bits:
+        back = np.zeros(last + 1, np.int64)
+        back[copy] = far
+        if not _with_cache(out, symbol.tolist(), fresh.tolist(), back.tolist(), rest, cache_bits):
+            return None
+    else:
+        literal = symbol < 256
+        np.frombuffer(out, np.uint8)[begins[literal]] = symbol[literal]
+        for to, length, back in zip(begins[copy].tolist(), fresh[copy].tolist(), far.tolist(), strict=True):
+            if back >= length:
+                out[to : to + length] = out[to - back : to - back + length]
             else:
-                extra = (prefix - 2) >> 1
-                values.append(((2 + (prefix & 1)) << extra) + (window & ((1 << extra) - 1)) + 1)
-                window >>= extra
-                pos += extra
-        fresh, far = values
-        if far > 120:
-            far -= 120
-        else:
-            x, y = NEAR[far - 1]
-            far = max(1, x + y * width)
-        if far > at or at + fresh > n:
-            raise WebPError("a back-reference leaves the image")
-        if far >= fresh:
-            out[at : at + fresh] = out[at - far : at - far + fresh]
-        else:
-            out[at : at + fresh] = (out[at - far : at] * (fresh // far + 1))[:fresh]
-        at += fresh
-    if pos > bits.end:
+                out[to : to + length] = (out[to - back : to] * (length // back + 1))[:length]
+    bits.at = int(place[last]) + int(green.sizes[slot[last]])
+    if len(copy) and copy[-1] == last:
+        bits.at = int(after[-1] + more[-1]) + int(EXTRA[far_of(after[-1:])[0][0]])
+    if bits.at > bits.end:
         raise WebPError("the stream ends early")
-    bits.at = pos
     return (np.frombuffer(out, np.uint8).astype(np.uint32) << 8) | np.uint32(rest)
 
 
-def _uniform(bits: Reader, green: Code, n: int, rest: int) -> np.ndarray:
-    k = green.uniform
-    if bits.at + k * n > bits.end:
-        raise WebPError("the stream ends early")
-    data = np.frombuffer(bits.data, np.uint8)
-    first = bits.at + k * np.arange(n, dtype=np.int64)
-    byte = first >> 3
-    pair = data[byte].astype(np.uint32) | (data[byte + 1].astype(np.uint32) << 8) | (data[byte + 2].astype(np.uint32) << 16)
-    bits.at += k * n
-    return (green.symbols[(pair >> (first & 7).astype(np.uint32)) & ((1 << k) - 1)] << 8) | np.uint32(rest)
+def _with_cache(out: bytearray, symbols: list[int], fresh: list[int], back: list[int], rest: int, cache_bits: int) -> bool:
+    """Fills ``out`` from tokens; False where a cache entry still is as it began."""
+    keys = [_cache_key(rest | g << 8, cache_bits) for g in range(256)]
+    cache: list[int | None] = [None] * (1 << cache_bits)
+    at = 0
+    for s, n, far in zip(symbols, fresh, back, strict=False):
+        if s < 256:
+            out[at] = s
+            cache[keys[s]] = s
+        elif far:
+            same = (out[at - far : at] * (n // far + 1))[:n]
+            out[at : at + n] = same
+            for s in same[-far:]:
+                cache[keys[s]] = s
+        else:
+            s = cache[s - 280]
+            if s is None:
+                return False
+            out[at] = s
+        at += n
+    return True
 
 
 # --- transforms, inverted ----------------------------------------------------
@@ -306,9 +382,11 @@ def _merge(a, r, g, b) -> np.ndarray:
 
 
 def _add_green(argb: np.ndarray, sign: int = 1) -> np.ndarray:
-    a, r, g, b = _split(argb)
-    shift = g if sign > 0 else (0 - g).astype(np.uint8)
-    return _merge(a, r + shift, g, b + shift)
+    green = (argb >> 8) & np.uint32(0xFF)
+    both = green | (green << 16)
+    if sign < 0:
+        both = np.uint32(0x01000100) - both
+    return (((argb & np.uint32(0x00FF00FF)) + both) & np.uint32(0x00FF00FF)) | (argb & np.uint32(0xFF00FF00))
 
 
 def _spread(image: np.ndarray, block: int, shape: tuple[int, int]) -> np.ndarray:
@@ -388,12 +466,27 @@ def _predictions(pixels: list[int], width: int, at: int, mode: int) -> int:
 
 
 def _unpredict(argb: np.ndarray, modes: np.ndarray, block: int) -> np.ndarray:
+    """Rows of one mode that looks only left or only up are summed at once."""
     height, width = argb.shape
-    mode = ((_spread(modes, block, argb.shape) >> 8) & 15).ravel().tolist()
-    pixels = argb.ravel().tolist()
-    for at in range(len(pixels)):
-        pixels[at] = _add(pixels[at], _predictions(pixels, width, at, mode[at]))
-    return np.array(pixels, np.uint32).reshape(height, width)
+    modes = (modes >> 8) & 15
+    channels = argb.astype("<u4").view(np.uint8).reshape(height, width, 4).copy()
+    for y in range(height):
+        own = modes[y >> block]
+        mode = 1 if not y else int(own[0]) if (own == own[0]).all() else -1
+        if mode == 1:
+            channels[y, 0] += channels[y - 1, 0] if y else np.array([0, 0, 0, 255], np.uint8)
+            channels[y] = np.cumsum(channels[y], axis=0, dtype=np.uint8)
+        elif mode == 2:
+            channels[y] += channels[y - 1]
+        else:
+            pixels = channels[y - 1 : y + 1].view("<u4").ravel().tolist()
+            for x in range(width):
+                at = width + x
+                # above the last column's right neighbour stands the current row's first pixel
+                guess = _predict(int(own[x >> block]), pixels[at - 1], pixels[x], pixels[x + 1], pixels[x - 1]) if x else pixels[0]
+                pixels[at] = _add(pixels[at], guess)
+            channels[y] = np.array(pixels[width:], "<u4").view(np.uint8).reshape(width, 4)
+    return channels.view("<u4").reshape(height, width).astype(np.uint32)
 
 
 # --- files -------------------------------------------------------------------
@@ -465,74 +558,86 @@ def _file(bits: bytes) -> bytes:
 # --- encoding ----------------------------------------------------------------
 
 
-def _huffman(counts: Counter, limit: int) -> dict[int, int]:
-    """symbol -> code length, at most ``limit``; counts are flattened until it fits."""
-    counts = dict(counts)
+def _huffman(counts: list[tuple[int, int]], limit: int) -> list[tuple[int, int]]:
+    """(symbol, code length) of (symbol, count) pairs, at most ``limit`` long;
+    counts are flattened until it fits. Leaves and joined nodes each come in
+    order of weight, so the two lightest are at the heads of two queues."""
     while True:
-        symbols = sorted(counts)
-        heap = [(counts[s], i) for i, s in enumerate(symbols)]
-        heapq.heapify(heap)
-        above = [0] * (2 * len(symbols))
-        k = len(symbols)
-        while len(heap) > 1:
-            (c, a), (d, b) = heapq.heappop(heap), heap[0]
-            above[a] = above[b] = k
-            heapq.heapreplace(heap, (c + d, k))
-            k += 1
-        far = [0] * k
-        for i in range(k - 2, -1, -1):
-            far[i] = far[above[i]] + 1
-        depth = dict(zip(symbols, far, strict=False)) if len(symbols) > 1 else {}
-        if not depth or max(depth.values()) <= limit:
-            return dict(depth)
-        counts = {s: (c + 1) // 2 for s, c in counts.items()}
-
-
-def _write_code(w: Writer, counts: Counter, size: int, limit: int = 15) -> dict[int, tuple[int, int]]:
-    """Writes a code for the counted symbols; symbol -> (bits, length)."""
-    used = sorted(counts) or [0]
+        counts = sorted(counts, key=lambda c: c[1])
+        weights = [c for _, c in counts]
+        n = len(weights)
+        above, leaf, node = [0] * (2 * n), 0, n
+        for k in range(n, 2 * n - 1):
+            total = 0
+            for _ in (0, 1):
+                if leaf < n and (node >= k or weights[leaf] <= weights[node]):
+                    least, leaf = leaf, leaf + 1
+                else:
+                    least, node = node, node + 1
+                above[least] = k
+                total += weights[least]
+            weights.append(total)
+        far = [0] * (2 * n)
+        for k in range(2 * n - 3, -1, -1):
+            far[k] = far[above[k]] + 1
+        if max(far[:n]) <= limit:
+            return [(s, far[k]) for k, (s, _) in enumerate(counts)]
+        counts = [(s, (c + 1) // 2) for s, c in counts]
+
+
+def _put_code(w: Writer, counts: list[tuple[int, int]], size: int, limit: int = 15) -> tuple[np.ndarray, np.ndarray]:
+    """Writes a code for the counted symbols; bits and lengths by symbol."""
+    codes, sizes = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    used = sorted(s for s, _ in counts) or [0]
     if len(used) <= 2 and used[-1] < 256:
-        w.put(1, 1)
-        w.put(len(used) - 1, 1)
-        w.put(int(used[0] > 1), 1)
+        w.put(1 | (len(used) - 1) << 1 | int(used[0] > 1) << 2, 3)
         w.put(used[0], 8 if used[0] > 1 else 1)
         if len(used) == 2:
             w.put(used[1], 8)
-            return {used[0]: (0, 1), used[1]: (1, 1)}
-        return {used[0]: (0, 0)}
+            codes[used[1]] = 1
+            sizes[used] = 1
+        return codes, sizes
     if len(used) == 1:  # beyond 255: two symbols, of which one stays unused
-        counts = counts + Counter({0: 1})
-    depth = _huffman(counts, limit)
-    lengths = [depth.get(s, 0) for s in range(size)]
-    tokens, at = [], 0
-    while at < size:
-        run = 1
-        while at + run < size and lengths[at + run] == lengths[at]:
-            run += 1
-        if not lengths[at] and run >= 3:
-            run = min(run, 138)
-            tokens.append((18, run - 11, 7) if run >= 11 else (17, run - 3, 3))
-        elif lengths[at] and run >= 4:
-            run = min(run, 7)
-            tokens += [(lengths[at], 0, 0), (16, run - 4, 2)]
-        else:
-            run = 1
-            tokens.append((lengths[at], 0, 0))
-        at += run
+        counts = [*counts, (0, 1)]
+    for s, n in _huffman(counts, limit):
+        sizes[s] = n
+    lengths = sizes.tolist()
+    tokens = []
+    for n, same in groupby(lengths):
+        run = len(list(same))
+        if n:  # the first as it is, then repeats of it by three to six
+            tokens.append((n, 0, 0))
+            run -= 1
+        most, least = (6, 3) if n else (138, 3)
+        while run >= least:
+            k = min(run, most)
+            tokens.append((16, k - 3, 2) if n else (18, k - 11, 7) if k >= 11 else (17, k - 3, 3))
+            run -= k
+        tokens += [(n, 0, 0)] * run
     of = Counter(t[0] for t in tokens)
     if len(of) == 1:
         of[0 if 0 not in of else 1] += 1
-    of_depth = _huffman(of, 7)
-    w.put(0, 1)
-    w.put(15, 4)
+    of_sizes = [0] * 19
+    for s, n in _huffman(list(of.items()), 7):
+        of_sizes[s] = n
+    w.put(15 << 1, 5)
     for k in LENGTH_ORDER:
-        w.put(of_depth.get(k, 0), 3)
+        w.put(of_sizes[k], 3)
     w.put(0, 1)
-    codes = _codes([of_depth.get(k, 0) for k in range(19)])
-    for symbol, extra, n in tokens:
-        w.put(*codes[symbol])
-        w.put(extra, n)
-    return _codes(lengths)
+    of_codes = _stream_codes(np.array(of_sizes)).tolist()
+    own = Writer()
+    for s, extra, n in tokens:
+        own.put(of_codes[s] | extra << of_sizes[s], of_sizes[s] + n)
+    w.put(own.value, own.n)
+    return _stream_codes(sizes), sizes
+
+
+def _stream_codes(sizes: np.ndarray) -> np.ndarray:
+    """The canonical code of each symbol, first bit lowest."""
+    used, slots, depth = _canonical(sizes)
+    codes = np.zeros(len(sizes), np.int64)
+    codes[used] = _reversed(depth)[np.cumsum(slots) - slots]  # only the first bits of a slot's number are set
+    return codes
 
 
 def _prefixed(value: int) -> tuple[int, int, int]:
@@ -605,10 +710,11 @@ def _write_pixels(w: Writer, image: np.ndarray, main: bool, cache_bits: int = 0,
         for which, s in symbols:
             counts[group][which][s] += 1
     cache = 1 << cache_bits if cache_bits else 0
-    codes = [[_write_code(w, c, ALPHABETS[k] + (cache if not k else 0)) for k, c in enumerate(g)] for g in counts]
+    codes = [[_put_code(w, list(c.items()), ALPHABETS[k] + (cache if not k else 0)) for k, c in enumerate(g)] for g in counts]
     for group, symbols, extras in coded:
         for k, (which, s) in enumerate(symbols):
-            w.put(*codes[group][which][s])
+            bits, sizes = codes[group][which]
+            w.put(int(bits[s]), int(sizes[s]))
             if extras:
                 w.put(*extras[k])
 
@@ -666,248 +772,220 @@ def encode(
     return _file(w.bytes())
 
 
-_HEADERS: dict = {}
-
-
-def _uniform_header(k: int) -> tuple[int, int]:
-    """Bits that describe a group whose green code gives the first 2**k symbols
-    k bits each and whose other codes have one symbol, 0."""
-    if k not in _HEADERS:
-        w = Writer()
-        _write_code(w, Counter({s: 1 for s in range(1 << k)}), ALPHABETS[0])
-        for size in ALPHABETS[1:]:
-            _write_code(w, Counter({0: 1}), size)
-        _HEADERS[k] = (w.value, w.n, np.array([b for _, (b, _) in sorted(_codes([k] * (1 << k)).items())] if k else [0], np.uint64))
-    return _HEADERS[k]
-
-
-def encode_samples(samples: np.ndarray) -> bytes:
-    """A WebP file of 8-bit grey samples (height, width): subtract-green and a
-    palette of the values that occur, then one fixed-length code a pixel."""
-    height, width = samples.shape
-    if width % 8:
-        raise ValueError("rows must be a multiple of 8 samples")
-    seen = np.flatnonzero(np.bincount(samples.ravel(), minlength=256))
-    pack = 3 if len(seen) <= 2 else 2 if len(seen) <= 4 else 1 if len(seen) <= 16 else 0
-    rank = np.zeros(256, np.uint64)
-    rank[seen] = np.arange(len(seen))
-    index = rank[samples].reshape(height, -1, 1 << pack)
-    index = (index << ((8 >> pack) * np.arange(1 << pack, dtype=np.uint64))).sum(2, dtype=np.uint64).ravel() if pack else index.ravel()
-    k = 8 if pack else (len(seen) - 1).bit_length()
-    w = Writer()
-    w.put(0x2F, 8)
-    w.put(width - 1, 14)
-    w.put(height - 1, 14)
-    w.put(0, 4)
-    w.put(1 | GREEN << 1, 3)
-    w.put(1 | PALETTE << 1, 3)
-    w.put(len(seen) - 1, 8)
-    # the palette as deltas: one opaque step, then green alone
-    w.put(0, 1)
-    value, n, order = _uniform_header(8)
-    steps = np.diff(seen, prepend=0).tolist()
-    green_bits = _green_only(8)
-    w.put(*green_bits[:2])
-    for size in ALPHABETS[1:3]:
-        _write_code(w, Counter({0: 1}), size)
-    _write_code(w, Counter({0: 1, 255: 1}), 256)
-    _write_code(w, Counter({0: 1}), 40)
-    for at, step in enumerate(steps):
-        w.put(int(order[step]) | (int(not at) << 8), 9)
-    w.put(0, 1)
-    w.put(0, 2)
-    value, n, order = _uniform_header(k)
-    w.put(value, n)
-    # eight codes of k bits are k bytes
-    codes = order[index]
-    codes = np.pad(codes, (0, -len(codes) % 8)).reshape(-1, 8)
-    joined = (codes << (np.uint64(k) * np.arange(8, dtype=np.uint64))).sum(1, dtype=np.uint64)
-    body = joined.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :k].ravel()
-    shift = w.n & 7
-    if shift:
-        wide = np.zeros(len(body) + 1, np.uint16)
-        wide[:-1] = body.astype(np.uint16) << shift
-        wide[1:] |= body.astype(np.uint16) >> (8 - shift)
-        head = w.bytes()
-        wide[0] |= head[-1]
-        return _file(head[:-1] + (wide & 0xFF).astype(np.uint8).tobytes())
-    return _file(w.bytes() + body.tobytes())
+#: Shortest copy that is worth its length and distance.
+COPY = 8
 
+#: Longest copy, and the format's largest distance; 120 codes are for near ones.
+LONGEST, FARTHEST = 4096, (1 << 20) - 120
 
-#: Shortest copy that is worth its length and distance.
-COPY = 6
+#: Longest prefix code that is written: tables of readers stay small.
+DEEPEST = 10
 
-#: The format's largest distance; 120 codes are for near ones.
-FARTHEST = (1 << 20) - 120
+#: Share of pixels equal to the one before them above which the cache is tried.
+ALIKE = 0.2
 
 
-def _copies(data: np.ndarray) -> tuple[list[int], list[int], list[int]]:
-    """(starts, lengths, distances) of back-references in ``data``: each position
-    not yet covered copies from the last place with the same ``COPY`` values."""
+def _copies(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, lengths, distances) of back-references in ``data``. Each position
+    refers to the last place with the same ``COPY`` values; where the next ones
+    refer as far, one copy covers them all."""
     n = len(data)
-    starts, runs, fars = [], [], []
-    if n <= COPY:
-        return starts, runs, fars
     m = n - COPY + 1
-    key = np.zeros(m, np.uint64)
-    for k in range(COPY):
-        key |= data[k : k + m].astype(np.uint64) << np.uint64(8 * k)
+    if m < 2:
+        return (np.zeros(0, np.int64),) * 3
+    key = np.ndarray((m,), "<u8", data.tobytes() + bytes(8), 0, (1,)) & np.uint64((1 << 8 * COPY) - 1)
     # a hash above the position: sorted, equal hashes are neighbours in order
-    low = max(1, (m - 1).bit_length())
-    mixed = np.sort(((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(low)) << np.uint64(low) | np.arange(m, dtype=np.uint64))
-    place = (mixed & np.uint64((1 << low) - 1)).astype(np.int64)
-    equal = (mixed[1:] >> np.uint64(low)) == (mixed[:-1] >> np.uint64(low))
-    before = np.full(m, -1, np.int64)
-    equal[equal] = np.diff(place)[equal] <= FARTHEST
-    before[place[1:][equal]] = place[:-1][equal]
-    sources = np.flatnonzero(before >= 0)
-    following = np.searchsorted(sources, np.arange(m)).tolist()
-    sources, before, text = sources.tolist(), before.tolist(), data.tobytes()
-    at = 0
-    while at < m and following[at] < len(sources):
-        at = sources[following[at]]
-        source, most, run, step = before[at], min(4096, n - at), 0, 24
-        while run < most:
-            differ = int.from_bytes(text[at + run : at + run + step], "little") ^ int.from_bytes(text[source + run : source + run + step], "little")
-            if differ:
-                run += ((differ & -differ).bit_length() - 1) >> 3
+    low = np.uint64(max(1, (m - 1).bit_length()))
+    mixed = ((key * np.uint64(0x9E3779B97F4A7C15)) >> low) << low
+    mixed |= np.arange(m, dtype=np.uint64)
+    mixed.sort()
+    place = (mixed & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+    step = np.diff(place)
+    mixed >>= low
+    hit = np.flatnonzero(mixed[1:] == mixed[:-1])
+    to = place[hit + 1]
+    far = np.zeros(m + 1, np.int64)
+    far[to] = np.where((step[hit] <= FARTHEST) & (key[to] == key[place[hit]]), step[hit], 0)
+    # the run of equal distances that a position is in ends at ``end``
+    turns = np.flatnonzero(far[1:] != far[:-1]) + 1
+    if not len(turns):
+        return (np.zeros(0, np.int64),) * 3
+    heads = np.r_[0, turns]
+    far_of, ends = far[heads], np.r_[turns, m + 1] + COPY - 1
+    some = far_of > 0
+    heads, ends, far_of = heads[some].tolist(), ends[some].tolist(), far_of[some].tolist()
+    starts, runs, fars, at = [], [], [], 0
+    for head, end, back in zip(heads, ends, far_of, strict=True):
+        if at > head:
+            if end - at < COPY:
+                continue
+            head = at
+        while head < end:
+            run = min(end - head, LONGEST)
+            if run < COPY:
                 break
-            run += step
-            step = min(4 * step, 1024)
-        run = min(run, most)
-        if run < COPY:  # equal hashes of different values
-            at += 1
-            continue
-        starts.append(at)
-        runs.append(run)
-        fars.append(at - source)
-        at += run
-    return starts, runs, fars
+            starts.append(head)
+            runs.append(run)
+            fars.append(back)
+            head += run
+        at = head
+    return np.array(starts, np.int64), np.array(runs, np.int64), np.array(fars, np.int64)
 
 
-def _cost(symbols: np.ndarray) -> float:
-    """Estimated bits of ``symbols`` and of the code for them."""
-    counts = np.bincount(symbols)
+def _cost(counts: np.ndarray) -> float:
+    """Estimated bits of symbols with these counts and of the code for them."""
     counts = counts[counts > 0]
-    return float((counts * np.log2(len(symbols) / counts)).sum()) + 5 * len(counts)
+    return float((counts * np.log2(counts.sum() / counts)).sum()) + 5 * len(counts) if len(counts) else 0.0
 
 
-def _prefixes_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _prefix_table(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``_prefixed`` of each value."""
     v = values - 1
     extra = np.maximum(np.frexp(np.maximum(v, 1).astype(float))[1].astype(np.int64) - 2, 0)
     return np.where(v < 4, v, 2 * extra + (v >> extra)), np.where(v < 4, 0, v & ((1 << extra) - 1)), np.where(v < 4, 0, extra)
 
 
+_SMALL = _prefix_table(np.arange(1 << 13))
+
+
+def _prefixes_of(values: np.ndarray) -> tuple[np.ndarray, ...]:
+    if len(values) and values.max() >= len(_SMALL[0]):
+        return _prefix_table(values)
+    return tuple(of[values] for of in _SMALL)
+
+
+def _residues(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the left and the upper predictor leave of grey samples."""
+    flat, width = samples.ravel(), samples.shape[1]
+    left, upper = flat.copy(), flat.copy()
+    left[1:] -= flat[:-1]
+    upper[width:] -= flat[:-width]
+    upper[1:width] = left[1:width]
+    left[width::width] = upper[width::width]
+    return left, upper
+
+
+def _cached(data: np.ndarray, literal: np.ndarray, alpha: int) -> tuple[float, np.ndarray, int]:
+    """The least (cost, symbols, bits) of literals with a colour cache or without."""
+    best = (_cost(np.bincount(data[literal])), data.astype(np.int64), 0)
+    if np.count_nonzero(data[1:] == data[:-1]) <= ALIKE * len(data):
+        return best
+    for trial in (1, 2, 4):
+        if (alpha, trial) not in _KEYS:
+            _KEYS[alpha, trial] = np.array([_cache_key((alpha << 24) | (v << 8), trial) for v in range(256)], np.uint8)
+        key = _KEYS[alpha, trial][data]
+        order = np.argsort(key, kind="stable")
+        hit = np.zeros(len(data), bool)
+        hit[order[1:]] = data[order[1:]] == data[order[:-1]]  # a key's last colour is this one
+        symbols = np.where(hit, 280 + key.astype(np.int64), data)
+        cost = _cost(np.bincount(symbols[literal])) + 4
+        if cost < best[0]:
+            best = (cost, symbols, trial)
+    return best
+
+
+_KEYS: dict[tuple[int, int], np.ndarray] = {}
+_NEAR: dict[int, np.ndarray] = {}
+
+
+def _distance_codes(fars: np.ndarray, width: int) -> np.ndarray:
+    if width not in _NEAR:
+        _NEAR.clear()
+        of = np.arange(121, 121 + 8 * width + 16)
+        for k, (x, y) in reversed(list(enumerate(NEAR))):
+            if x + y * width >= 1:
+                of[x + y * width - 1] = k + 1
+        _NEAR[width] = of
+    of = _NEAR[width]
+    return np.where(fars <= len(of), of[np.minimum(fars, len(of)) - 1], fars + 120)
+
+
 def encode_grey(samples: np.ndarray) -> bytes:
     """A WebP file of 8-bit grey samples (height, width): subtract-green, prefix
-    codes by frequency and back-references; the left or upper predictor and the
-    colour cache where they cost fewer bits by estimate, a packed palette where
-    that makes the file smaller. Cross-colour has nothing to take away: red and
-    blue are zero once green is subtracted."""
+    codes by frequency and back-references; the left or upper predictor, a packed
+    palette (of at most 16 values) and the colour cache where they cost fewer bits
+    by estimate. Cross-colour has nothing to take away: red and blue are zero once
+    green is subtracted."""
     height, width = samples.shape
     w = Writer()
-    w.put(0x2F, 8)
-    w.put(width - 1, 14)
-    w.put(height - 1, 14)
-    w.put(0, 4)
+    w.put(0x2F | (width - 1) << 8 | (height - 1) << 22, 40)
     w.put(1 | GREEN << 1, 3)
-    left, upper = np.diff(samples, axis=1, prepend=samples[:, :1]), np.diff(samples, axis=0, prepend=samples[:1])
-    left[1:, 0], upper[0] = upper[1:, 0], left[0]
-    left[0, 0] = upper[0, 0] = samples[0, 0]
-    choices = [(_cost(samples.ravel()), 0, samples), (_cost(left.ravel()) + 300, 1, left), (_cost(upper.ravel()) + 300, 2, upper)]
-    _, mode, chosen = min(choices, key=lambda c: c[:2])
-    if mode:
+    left, upper = _residues(samples)
+    plain = np.ascontiguousarray(samples).ravel()
+    counts = [np.bincount(x, minlength=256) for x in (plain, left, upper)]
+    costs = [_cost(c) + 300 * bool(k) for k, c in enumerate(counts)]
+    if min(costs) < costs[0]:  # against a predictor stands what the cache could do without one
+        costs[0] = _cached(plain, np.ones(len(plain), bool), 255)[0]
+    kind = costs.index(min(costs))
+    data, alpha, pixels_wide = (plain, left, upper)[kind], 0 if kind else 255, width
+    seen = np.flatnonzero(counts[0])
+    pack = 3 if len(seen) <= 2 else 2 if len(seen) <= 4 else 1 if len(seen) <= 16 else 0
+    if pack:
+        rank = np.zeros(256, np.uint8)
+        rank[seen] = np.arange(len(seen))
+        index = np.pad(rank[samples], ((0, 0), (0, -width % (1 << pack)))).reshape(height, -1, 1 << pack)
+        packed = (index << ((8 >> pack) * np.arange(1 << pack, dtype=np.uint8))).sum(2, dtype=np.uint8)
+        if _cost(np.bincount(packed.ravel())) + 16 * len(seen) < costs[kind]:
+            kind, data, alpha, pixels_wide = 3, packed.ravel(), 0, packed.shape[1]
+    if kind == 3:
+        w.put(1 | PALETTE << 1, 3)
+        w.put(len(seen) - 1, 8)
+        colors = np.uint32(BLACK) | seen.astype(np.uint32) << 8
+        _write_pixels(w, _merge(*[np.diff(c, prepend=np.uint8(0)) for c in _split(colors)])[None], False)
+    elif kind:
         w.put(1 | PREDICTOR << 1, 3)
         w.put(7, 3)
-        _write_pixels(w, np.full((-(-height >> 9), -(-width >> 9)), mode << 8, np.uint32), False)
+        _write_pixels(w, np.full((-(-height >> 9), -(-width >> 9)), kind << 8, np.uint32), False)
     w.put(0, 1)
-    data, alpha = np.ascontiguousarray(chosen).ravel(), 0 if mode else 255
-    starts, runs, fars = (np.array(x, np.int64) for x in _copies(data))
+    starts, runs, fars = _copies(data)
     covered = np.zeros(len(data) + 1, np.int64)
-    covered[starts] += 1
-    np.subtract.at(covered, starts + runs, 1)
+    covered[starts] = 1
+    covered[starts + runs] -= 1
     literal = np.cumsum(covered[:-1]) == 0
-    symbols, cache_bits = data.astype(np.int64), 0
-    best = _cost(symbols[literal]) if literal.any() else 0.0
-    for trial in (1, 2, 4):
-        keys = np.array([_cache_key((alpha << 24) | (v << 8), trial) for v in range(256)] if (alpha, trial) not in _KEYS else _KEYS[alpha, trial], np.uint8)
-        _KEYS[alpha, trial] = keys
-        key = keys[data]
-        order = np.argsort(key, kind="stable")
-        hit = np.zeros(len(data), bool)
-        hit[order[1:]] = data[order[1:]] == data[order[:-1]]
-        cached = np.where(hit, 280 + key.astype(np.int64), data)
-        cost = _cost(cached[literal]) + 4 if literal.any() else best
-        if cost < best:
-            best, symbols, cache_bits = cost, cached, trial
+    _, symbols, cache_bits = _cached(data, literal, alpha)
     w.put(int(cache_bits > 0), 1)
     if cache_bits:
         w.put(cache_bits, 4)
     w.put(0, 1)
-    near = np.arange(121, 121 + 8 * width + 16)
-    for k, (x, y) in reversed(list(enumerate(NEAR))):
-        if x + y * width >= 1:
-            near[x + y * width - 1] = k + 1
-    code = fars + 120
-    close = fars <= len(near)
-    code[close] = near[fars[close] - 1]
-    length, distance = _prefixes_of(runs), _prefixes_of(code)
+    length, distance = _prefixes_of(runs), _prefixes_of(_distance_codes(fars, pixels_wide))
     symbols[starts] = 256 + length[0]
-    heads = literal.copy()
-    heads[starts] = True
-    used = np.bincount(symbols[heads])
+    literal[starts] = True
+    tokens = symbols[literal]
     size = ALPHABETS[0] + (1 << cache_bits if cache_bits else 0)
-    green = _write_code(w, Counter({s: c for s, c in enumerate(used.tolist()) if c}), size, 12)
-    for value in (0, 0, alpha):
-        _write_code(w, Counter({value: 1}), 256)
-    far = _write_code(w, Counter(distance[0].tolist()), ALPHABETS[4], 12)
-    head, tail = _arrays(green, size), _arrays(far, ALPHABETS[4])
-    items, bits = np.zeros((len(data), 2), np.int64), np.zeros((len(data), 2), np.int64)
-    items[:, 0], bits[:, 0] = head[0][symbols], head[1][symbols]
-    items[starts, 0] |= length[1] << bits[starts, 0]
-    bits[starts, 0] += length[2]
-    items[starts, 1] = tail[0][distance[0]] | distance[1] << tail[1][distance[0]]
-    bits[starts, 1] = tail[1][distance[0]] + distance[2]
-    file = _file(_joined(w, items[heads].ravel(), bits[heads].ravel()))
-    if not width % 8 and np.count_nonzero(np.bincount(samples.ravel(), minlength=256)) <= 16:
-        file = min(file, encode_samples(samples), key=len)
-    return file
-
-
-_KEYS: dict = {}
-
-
-def _arrays(code: dict[int, tuple[int, int]], size: int) -> tuple[np.ndarray, np.ndarray]:
-    bits, lengths = np.zeros(size, np.int64), np.zeros(size, np.int64)
-    for symbol, (b, n) in code.items():
-        bits[symbol], lengths[symbol] = b, n
-    return bits, lengths
-
-
-def _joined(w: Writer, items: np.ndarray, bits: np.ndarray) -> bytes:
-    """What ``w`` holds and the items behind it, each of up to 49 bits
-    with its offset in a word (sums are exact below 2**53)."""
-    ends = w.n + np.cumsum(bits)
-    at = ends - bits
-    total = int(ends[-1])
-    out = np.zeros((total >> 4) + 5)
-    shifted = items << (at & 15)
-    for k in range(4):  # no two items share a bit: sums are unions
-        out += np.bincount((at >> 4) + k, weights=(shifted >> (16 * k)) & 0xFFFF, minlength=len(out))[: len(out)]
-    start = w.bytes() + b"\0"
-    joined = bytearray(out.astype("<u2").tobytes())
-    for k, b in enumerate(start[: len(joined)]):
-        joined[k] |= b
-    return bytes(joined[: (total + 7) >> 3])
-
-
-def _green_only(k: int) -> tuple[int, int]:
-    if ("green", k) not in _HEADERS:
-        w = Writer()
-        _write_code(w, Counter({s: 1 for s in range(1 << k)}), ALPHABETS[0])
-        _HEADERS["green", k] = (w.value, w.n)
-    return _HEADERS["green", k]
+    used = np.bincount(tokens, minlength=size)
+    seen = np.flatnonzero(used)
+    bits, sizes = _put_code(w, list(zip(seen.tolist(), used[seen].tolist(), strict=True)), size, DEEPEST)
+    w.put(0b00010001, 8)  # red and blue: simple codes of one symbol, 0
+    w.put(alpha << 3 | 5 if alpha else 1, 11 if alpha else 4)
+    far_bits, far_sizes = _put_code(w, list(Counter(distance[0].tolist()).items()), ALPHABETS[4], DEEPEST)
+    # two items a copy: its length and its distance, each with extra bits
+    copying = (tokens > 255) & (tokens < 280)
+    copy = np.flatnonzero(copying)
+    values, widths = bits[tokens], sizes[tokens]
+    values[copy] |= length[1] << widths[copy]
+    widths[copy] += length[2]
+    values, widths = np.repeat(values, copying + 1), np.repeat(widths, copying + 1)
+    second = copy + np.arange(1, len(copy) + 1)
+    values[second] = far_bits[distance[0]] | distance[1] << far_sizes[distance[0]]
+    widths[second] = far_sizes[distance[0]] + distance[2]
+    return _file(_joined(w, values, widths))
+
+
+def _joined(w: Writer, items: np.ndarray, sizes: np.ndarray) -> bytes:
+    """What ``w`` holds and the items behind it, each of at most 31 bits."""
+    head = w.value >> (w.n & ~31), w.n & 31
+    ends = head[1] + np.cumsum(sizes)
+    at = ends - sizes
+    total, word = int(ends[-1]) if len(ends) else head[1], at >> 5
+    items = items << (at & 31)
+    # no two items share a bit, so sums are unions, and exact below 2**53
+    out = np.zeros((total >> 5) + 2)
+    low = np.bincount(word, (items & 0xFFFFFFFF).astype(float), len(out))
+    high = np.bincount(word + 1, (items >> 32).astype(float), len(out))
+    out = (low[: len(out)] + high[: len(out)]).astype("<u4")
+    out[0] |= np.uint32(head[0])
+    start = (w.value & ((1 << (w.n & ~31)) - 1)).to_bytes((w.n & ~31) >> 3, "little")
+    return start + out.tobytes()[: (total + 7) >> 3]
 
 
 def samples_of(argb: np.ndarray) -> np.ndarray:
