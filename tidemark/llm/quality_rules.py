@@ -1,18 +1,22 @@
 """Quality rules with risk-controlled thresholds.
 
-Base statistics are computed row by row with built-in functions. For each
-statistic and stratum a cutoff is chosen on labelled rows: walking a fixed grid
-from the loosest to the strictest cutoff, a cutoff is admitted while the exact
-binomial test rejects "more than ``risk / rules`` of the clean documents of
-this stratum fall to it". The walk is a fixed sequence, so it costs no level;
-the level is divided by strata times rules (Bonferroni). With confidence
-``1 - level`` no stratum then loses more than ``risk`` of its clean documents
-to the learned rules. A stratum with too few labels gets no cutoff.
+Base statistics are computed row by row with built-in functions. The rules are
+a fixed path of steps, each of which tightens the cutoff of one statistic by one
+notch; a document has a first step that rejects it, or none. Along the path ever
+more is rejected, so "the rules up to step t reject more than ``RISK`` of the
+clean documents" is tested in this fixed sequence by the exact binomial tail of
+the labelled clean documents rejected so far, and the walk ends at the first
+test that does not reject: no level is spent on the steps, and the risk is that
+of all rules together. The level is divided by the number of strata (Bonferroni).
+With confidence ``1 - LEVEL`` no stratum then loses more than ``RISK`` of its
+clean documents to the rules. Strata with fewer than ``POOL`` clean labels are
+one stratum together, as are those without any; the promise is then the pool's.
 
 Cases: null text counts as no words (base_failed); a null stratum is a stratum
 of its own; repeated rows are each judged, and a repeated label row counts
-once; an empty table gives an empty result; columns other than id, text and
-stratum are ignored.
+once; without labels no step is admitted; an empty table gives an empty result;
+columns other than id, text and stratum are ignored (``quality_filter`` carries
+them).
 """
 
 from __future__ import annotations
@@ -35,7 +39,10 @@ RULES: dict[str, tuple[str, list[float]]] = {
     "repeated_share": ("n_repeat_words / greatest(n_words, 1)", [0.5, 0.45, 0.4, 0.35, 0.3]),
     "dup_lines_per_word": ("n_dup_lines / greatest(n_words, 1)", [0.2, 0.1, 0.05, 0.03, 0.02]),
 }
-RISK, LEVEL = 0.02, 0.05
+RISK, LEVEL, POOL = 0.02, 0.05, 500
+
+#: The steps, in order: the loosest notch of every rule, then the next ones.
+PATH = [(rule, cuts[k]) for k in range(max(len(c) for _, c in RULES.values())) for rule, (_, cuts) in RULES.items() if k < len(cuts)]
 
 #: Above so many words positions no longer fit beside 48 hash bits in a long.
 PACKED_WORDS = 65_536
@@ -90,11 +97,26 @@ def repeat_words(words: Column) -> Column:
             lambda acc: acc["n"],
         )
 
-    def count(tri: Column) -> Column:
-        return F.when(F.size(F.array_distinct(tri)) == F.size(tri), zero).otherwise(
-            covered(F.when(F.size(tri) <= PACKED_WORDS, _positions_packed(tri)).otherwise(_positions_wide(tri)))
+    def same(positions: Column) -> Column:
+        """Of windows with equal hashes, those whose words are equal."""
+        at = lambda i, k: F.get(words, (i + k).cast("int"))
+        windows = F.transform(
+            positions, lambda i: F.struct(F.concat_ws(" ", at(i, 0), at(i, 1), at(i, 2)).alias("g"), i.alias("i"))
         )
 
+        def repeated(s: Column) -> Column:
+            return F.filter(
+                s,
+                lambda x, k: F.coalesce(x["g"] == F.get(s, k - 1)["g"], F.lit(False))
+                | F.coalesce(x["g"] == F.get(s, k + 1)["g"], F.lit(False)),
+            )
+
+        return F.transform(let(F.sort_array(windows), repeated), lambda x: x["i"])
+
+    def count(tri: Column) -> Column:
+        found = F.when(F.size(tri) <= PACKED_WORDS, _positions_packed(tri)).otherwise(_positions_wide(tri))
+        return F.when(F.size(F.array_distinct(tri)) == F.size(tri), zero).otherwise(covered(same(found)))
+
     return F.when(F.size(words) < 3, zero).otherwise(let(trigrams, count))
 
 
@@ -111,94 +133,101 @@ def base_stats(docs: DataFrame, stratum: str = "lang", *carried: Column) -> Data
         ),
     )
     by_lines = let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))
-    out = docs.select(
-        "doc_id",
-        F.col(stratum).cast("string").alias("stratum"),
-        by_words.alias("w"),
-        F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        by_lines.alias("n_dup_lines"),
-        *carried,
-    ).select(*(["__row"] if carried else []), "doc_id", "stratum", "w.n_words", "w.word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words")
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return out.withColumn("base_failed", failed)
+    return (
+        docs.select(
+            F.col("doc_id").alias("doc_id"),
+            F.col(stratum).cast("string").alias("stratum"),
+            by_words.alias("w"),
+            F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
+            by_lines.alias("n_dup_lines"),
+            *carried,
+        )
+        .select(*(["__row"] if carried else []), "doc_id", "stratum", "w.n_words", "w.word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words")
+        .withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
+        .withColumn("first_step", F.expr(_first_step()))
+    )
+
+
+def _first_step(prefix: str = "") -> str:
+    """The first step of the path that rejects a row, as SQL of both dialects;
+    beyond the last where none does."""
+    value = {rule: sql.replace("n_", f"{prefix}n_").replace("word_chars", f"{prefix}word_chars") for rule, (sql, _) in RULES.items()}
+    whens = " ".join(f"when ({value[rule]}) > {cut!r} then {step}" for step, (rule, cut) in enumerate(PATH))
+    return f"case {whens} else {len(PATH)} end"
+
+
+def _ln_gamma(x: Column) -> Column:
+    """Stirling's series twelve places up, where it is exact to about 1e-13."""
+    y = x + 12
+    series = (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y)
+    for k in range(12):
+        series = series - F.log(x + k)
+    return series
 
 
 def _tail(n: Column, k: Column, p: float) -> Column:
-    """P(X <= k) for X ~ Binomial(n, p), term by term from k = 0; 1 where k is
-    so large that no level could admit it (the loop is then not run)."""
-    step = math.log(p / (1 - p))
-    first = n * F.lit(math.log1p(-p))
+    """P(X <= k) for X ~ Binomial(n, p); 1 where k is at the mean or above, where
+    no level could admit it. Below the mean the terms fall from k down, so those
+    beyond many deviations are nothing and the sum has few."""
+    x, size = k.cast("double"), n.cast("double")
+    last = (
+        _ln_gamma(size + 1) - _ln_gamma(x + 1) - _ln_gamma(size - x + 1) + x * math.log(p) + (size - x) * math.log1p(-p)
+    )
+    terms = F.least(x, F.ceil(60 * F.sqrt(size * p)) + 200).cast("int")
     total = F.aggregate(
-        F.sequence(F.lit(1).cast("long"), F.greatest(k, F.lit(1).cast("long"))),
-        F.struct(first.alias("t"), F.exp(first).alias("s")),
-        lambda acc, j: let(
-            acc["t"] + F.log((n - j + 1) / j) + F.lit(step),
-            lambda t: F.struct(t.alias("t"), (acc["s"] + F.exp(t)).alias("s")),
+        F.sequence(F.lit(0), terms),
+        F.struct(F.lit(1.0).alias("t"), F.lit(0.0).alias("s")),
+        lambda acc, j: F.struct(
+            (acc["t"] * (x - j) * (1 - p) / ((size - x + j + 1) * p)).alias("t"), (acc["s"] + acc["t"]).alias("s")
         ),
         lambda acc: acc["s"],
     )
-    return F.when(k >= n * p, F.lit(1.0)).when(k == 0, F.exp(first)).otherwise(total)
+    return F.when(x >= size * p, F.lit(1.0)).otherwise(F.exp(last) * total)
 
 
-def thresholds(stats: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL) -> DataFrame:
-    """(stratum, rule columns): the strictest admitted cutoff, or null.
+def thresholds(stats: DataFrame, labels: DataFrame, risk: float = RISK, level: float = LEVEL, pool: int = POOL) -> DataFrame:
+    """(stratum, pooled, steps): how many steps of the path each stratum admits;
+    the pool has one row, without a stratum.
 
     Counts come from all labelled rows outside the held-out fold. Rows that the
-    base check drops are not the learned rules' to lose and are left out."""
-    rules = list(RULES)
+    base check drops are not the rules' to lose and are left out."""
     clean = labels.filter(F.col("quality") == 1).select(F.col("doc_id").alias("label_id")).distinct()
-    known = (
-        stats.filter(~F.col("base_failed") & ~held_out())
-        .join(clean, F.col("doc_id") == F.col("label_id"), "left_semi")
-        .select("stratum", *[F.expr(sql).cast("double").alias(rule) for rule, (sql, _) in RULES.items()])
+    known = stats.filter(~F.col("base_failed") & ~held_out()).join(clean, F.col("doc_id") == F.col("label_id"), "left_semi")
+    lost = [F.count_if(F.col("first_step") <= step).alias(f"k{step}") for step in range(len(PATH))]
+    by_stratum = known.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *lost)  # partial sums first: a hot stratum is a few rows
+    small = F.col("n") < pool
+    grouped = (
+        by_stratum.groupBy(F.when(~small, F.col("stratum")).alias("stratum"), small.alias("pooled"))
+        .agg(F.sum("n").alias("n"), F.array(*[F.sum(f"k{step}") for step in range(len(PATH))]).alias("lost"))
+        .withColumn("tests", F.count(F.lit(1)).over(Window.partitionBy()))  # a row a stratum of at least ``pool`` labels
     )
-    counts = [F.count(F.lit(1)).alias("n")] + [
-        F.count_if(F.col(rule) > F.lit(cut)).alias(f"{rule}_{rank}")
-        for rule, (_, cuts) in RULES.items()
-        for rank, cut in enumerate(cuts)
-    ]
-    by_stratum = known.groupBy("stratum").agg(*counts)  # partial sums first: a hot stratum is a few rows
-    by_stratum = by_stratum.withColumn("n_strata", F.count(F.lit(1)).over(Window.partitionBy()))  # a row a stratum
-    tests = F.lit(level) / (F.col("n_strata") * len(rules))
-
-    def strictest(rule: str) -> Column:
-        admitted = F.array(
-            *[
-                F.when(
-                    _tail(F.col("n"), F.col(f"{rule}_{rank}"), risk / len(rules)) <= tests, F.lit(float(cut))
-                )
-                for rank, cut in enumerate(RULES[rule][1])
-            ]
-        )
-        return F.array_min(admitted).alias(rule)  # counts only grow along the grid, so the walk never skips
-
-    return by_stratum.select("stratum", *[strictest(r) for r in rules])
+    admitted = F.filter("lost", lambda k: _tail(F.col("n"), k, risk) <= F.lit(level) / F.col("tests"))
+    return grouped.select("stratum", "pooled", F.size(admitted).alias("steps"))  # losses only grow, so none is skipped
 
 
 def _verdict(judged: DataFrame, cuts: DataFrame) -> DataFrame:
     """``judged`` (base columns and stratum) with ``kept``."""
-    cuts = cuts.select(F.col("stratum").alias("__of"), *[F.col(r).alias(f"__{r}") for r in RULES])
-    over = F.lit(False)
-    for rule, (sql, _) in RULES.items():
-        over = over | F.coalesce(F.expr(sql) > F.col(f"__{rule}"), F.lit(False))
-    joined = judged.join(cuts, F.col("stratum").eqNullSafe(F.col("__of")), "left")
-    return joined.withColumn("kept", ~F.col("base_failed") & ~over).drop(*cuts.columns)
+    cuts = materialize(cuts, "op5-cuts")  # a row a stratum, so the join is a broadcast
+    pooled = cuts.filter("pooled").agg(F.coalesce(F.max("steps"), F.lit(0))).first()[0]
+    own = cuts.filter("not pooled").select(F.col("stratum").alias("__of"), F.col("steps").alias("__steps"))
+    joined = judged.join(own, F.col("stratum").eqNullSafe(F.col("__of")), "left")
+    over = F.col("first_step") < F.coalesce("__steps", F.lit(pooled))
+    return joined.withColumn("kept", ~F.col("base_failed") & ~over).drop("__of", "__steps")
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """Base columns, ``base_failed`` and ``kept`` for every row of ``docs``."""
     stats = materialize(base_stats(docs, stratum), "op5-stats")
-    return _verdict(stats, thresholds(stats, labels)).drop("stratum")
+    return _verdict(stats, thresholds(stats, labels)).drop("stratum", "first_step")
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns as they were. Statistics
-    are computed again in the filtering pass: cheaper than to shuffle texts."""
-    cuts = thresholds(materialize(base_stats(docs, stratum), "op5-stats"), labels)
-    cuts = materialize(cuts, "op5-cuts")  # a row a stratum, so the join is a broadcast
+    """The rows of ``docs`` that are kept, all columns as they were. Rows that
+    pass the base check are written with their statistics, so that texts are
+    read once; the thresholds read the statistics alone."""
     whole = F.struct(*[docs[c] for c in docs.columns]).alias("__row")
-    judged = _verdict(base_stats(docs, stratum, whole), cuts)
-    return judged.filter("kept").select("__row.*")
+    passed = materialize(base_stats(docs, stratum, whole).filter("not base_failed"), "op5-passed")
+    return _verdict(passed, thresholds(passed, labels)).filter("kept").select("__row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,18 +235,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    n_rules = len(RULES)
-    p = RISK / n_rules
-    each = [(rule, cut) for rule, (_, cuts) in RULES.items() for cut in cuts]
-    grid = ", ".join(f"('{rule}', {cut!r}::double)" for rule, cut in each)
-    stat_rows = " union all ".join(
-        f"select stratum, '{rule}' as rule, ({sql})::double as v from known" for rule, (sql, _) in RULES.items()
-    )
-    over = " or ".join(
-        f"coalesce(({sql.replace('n_', 'b.n_').replace('word_chars', 'b.word_chars')}) > "
-        f"(select min(cutoff) from cuts c where c.rule = '{rule}' and c.stratum is not distinct from b.stratum), false)"
-        for rule, (sql, _) in RULES.items()
-    )
     return f"""
 with d as (
   select row_number() over () as rid, doc_id, lang as stratum, coalesce(text, '') as t,
@@ -240,20 +257,22 @@ s as (
          coalesce(n_repeat_words, 0)::bigint as n_repeat_words
   from d left join lines using (rid) left join cov using (rid)),
 b as (select *, (n_words < 50 or 100 * n_repeat_words > 50 * n_words) as base_failed from s),
-known as (select * from b where not base_failed
+f as (select *, coalesce('of ' || stratum, 'null') as of, {_first_step()} as first_step from b),
+known as (select * from f where not base_failed
           and doc_id in (select doc_id from labels where quality = 1) and {_CRC} % 5 <> 0),
-strata as (select count(distinct coalesce(stratum, '')) as n_strata from known),
-stat as ({stat_rows}),
-grid as (select * from (values {grid}) g(rule, cutoff)),
-k as (select stratum, grid.rule, cutoff, count(*) as n, count(*) filter (v > cutoff) as k
-      from stat join grid using (rule) group by all),
-cuts as (
-  select stratum, rule, cutoff from k, strata
-  where k < n * {p!r} and list_sum(list_transform(range(0, k + 1), lambda j:
-    exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({p!r}) + (n - j) * ln(1 - {p!r}))))
-    <= {LEVEL!r} / (n_strata * {n_rules}))
+own as (select of from known group by of having count(*) >= {POOL}),
+grouped as (select coalesce(own.of, 'pool') as of, first_step from known left join own using (of)),
+tests as (select count(distinct of) as n_tests from grouped),
+k as (select of, step, count(*) as n, count(*) filter (first_step <= step) as k
+      from grouped, (select unnest(range({len(PATH)})) as step) group by all),
+admitted as (
+  select of, count(*) filter (k < n * {RISK!r} and list_sum(list_transform(range(0, k + 1), lambda j:
+    exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RISK!r}) + (n - j) * ln(1 - {RISK!r}))))
+    <= {LEVEL!r} / n_tests) as steps
+  from k, tests group by of)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       (not base_failed and not ({over})) as kept from b
+       (not base_failed and first_step >= coalesce(a.steps, 0)) as kept
+from f left join own using (of) left join admitted a on a.of = coalesce(own.of, 'pool')
 """
 
 
