@@ -22,7 +22,7 @@ def test_ids_equal_the_tokenizer(spark):
 
 def test_forgetting_changes_nothing():
     full, small = p.WordTokenizer(p.default_tokenizer()), p.WordTokenizer(p.default_tokenizer())
-    small.words, small.pieces = p.Memory(3), p.Memory(2)
+    small.seen = p.Memory(1000)
     rng = random.Random(5)
     for _ in range(200):
         text = " ".join(rng.choices(["alpha", "beta", "gamma,", "delta", "Alpha", "zeta", "eta"], k=9))
@@ -50,6 +50,38 @@ def test_assign_covers_every_token_once():
         assert used < p.LENGTH  # under one sequence of padding
 
 
+def plainly(lengths, room=p.LENGTH):
+    """Each remainder, longest first, to the cheapest sequence with room for all of it, else cut at the cheapest."""
+    out, rest, n = [], [], 0
+    for item, size in enumerate(lengths):
+        for k in range(size // room):
+            out.append((item, k * room, room, n, 0))
+            n += 1
+        if size % room:
+            rest.append((-(size % room), item, size // room * room))
+    used = [0] * (-(-sum(-r[0] for r in rest) // room))
+    cost = [0.0] * len(used)
+    for size, item, start in sorted(rest):
+        size = -size
+        while size:
+            roomy = [s for s in range(len(used)) if room - used[s] >= size] or [s for s in range(len(used)) if used[s] < room]
+            s = min(roomy, key=lambda s: (cost[s], s))
+            take = min(size, room - used[s])
+            out.append((item, start, take, n + s, used[s]))
+            used[s] += take
+            cost[s] += take + take * take / p.QUADRATIC
+            start, size = start + take, size - take
+    return out
+
+
+def test_assign_is_the_plain_rule():
+    rng = random.Random(11)
+    for trial in range(60):
+        top = rng.choice([5, 60, 700, 2500, 9000])
+        lengths = [rng.randrange(0, top) for _ in range(rng.choice([0, 1, 2, 9, 80, 250]))]
+        assert p.assign(lengths) == plainly(lengths), trial
+
+
 def test_costs_are_balanced():
     lengths = [1500] * 20 + [400] * 40
     cost = defaultdict(float)

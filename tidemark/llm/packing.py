@@ -1,15 +1,17 @@
 """Cost-balanced packing of documents into fixed-length token sequences.
 
 Documents are tokenised and packed where they are read: nothing is shuffled,
-and a task holds at most ``HELD`` tokens (or one document) at a time. Of what is
+and a task holds at most ``held`` tokens (or one document) at a time. Of what is
 held, full-length pieces make their own sequences; the remainders go in
 descending order to the sequence of lowest estimated cost (linear in tokens plus
 quadratic in each piece, for attention within it) that has room. A remainder
 that fits into no sequence is cut at the lowest. The number of open sequences is
-the least possible, so a batch leaves under one sequence of padding.
+the least possible, so what is held leaves under one sequence of padding: under
+one for each ``held`` tokens, and one more for each task.
 
 Words are tokenised once and remembered: the tokenizer never joins what white
-space separates. The memory is bounded: words not seen for ``WORDS`` new ones are forgotten.
+space separates. The memory is bounded by bytes: of two generations of ``memory``
+bytes the older is forgotten when the newer is full.
 
 Cases: null or empty text is the end id alone; a null doc_id is carried; ties
 keep the order in which rows are read; repeated rows are packed separately;
@@ -35,7 +37,7 @@ from tidemark.llm.common import table
 
 QUERY = "op6_packing"
 LENGTH, END = 2048, 1
-HELD, WORDS = 4_000_000, 300_000
+HELD, MEMORY = 4_000_000, 96 << 20
 
 #: Cost of a piece of n tokens: n + n * n / QUADRATIC.
 QUADRATIC = 1024.0
@@ -46,10 +48,11 @@ SCHEMA = (
 
 
 class Memory:
-    """A bounded map: entries not asked for while ``limit`` others came are forgotten."""
+    """A map of two generations, each of at most ``limit`` bytes by estimate:
+    what is not asked for while a generation fills is forgotten."""
 
     def __init__(self, limit: int):
-        self.limit, self.new, self.old = limit, {}, {}
+        self.limit, self.size, self.new, self.old = limit, 0, {}, {}
 
     def get(self, key):
         found = self.new.get(key)
@@ -58,8 +61,9 @@ class Memory:
         return found
 
     def put(self, key, value) -> None:
-        if len(self.new) >= self.limit:
-            self.old, self.new = self.new, {}
+        self.size += 200 + len(key) + len(value)  # two objects and their slot
+        if self.size > self.limit:
+            self.old, self.new, self.size = self.new, {}, 0
         self.new[key] = value
 
 
@@ -75,7 +79,7 @@ class WordTokenizer:
     by piece. Words of printable Latin letters (up to U+024F, where NFC changes
     nothing) are cut with the tokenizer's own pattern; others go to it whole."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = MEMORY):
         import regex
         from tokenizers import Tokenizer
 
@@ -91,14 +95,14 @@ class WordTokenizer:
         seen = iter(range(256, 512))
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.letters = [chr(b) if b in shown else chr(next(seen)) for b in range(256)]
-        self.words, self.pieces = Memory(WORDS), Memory(WORDS)
+        self.seen = Memory(memory)  # words as bytes, pieces of words as strings
 
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
+        found = self.seen.get(piece)
         if found is None:
             spelled = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
             found = array("I", [t.id for t in self.tokenizer.model.tokenize(spelled)]).tobytes()
-            self.pieces.put(piece, found)
+            self.seen.put(piece, found)
         return found
 
     def _word(self, word: bytes) -> bytes:
@@ -114,15 +118,15 @@ class WordTokenizer:
 
     def ids(self, text: str | None) -> bytes:
         words = (text or "").encode("utf-8", "replace").split()  # ASCII white space only
-        got, at = list(map(self.words.new.get, words)), -1
+        got, at = list(map(self.seen.new.get, words)), -1
         try:
             while True:
                 at = got.index(None, at + 1)
                 word = words[at]
-                found = self.words.get(word)
+                found = self.seen.get(word)
                 if found is None:
                     found = self._word(word)
-                    self.words.put(word, found)
+                    self.seen.put(word, found)
                 got[at] = found
         except ValueError:  # no word is missing
             return b"".join(got)
@@ -190,9 +194,15 @@ def assign(lengths: list[int], room: int = LENGTH) -> list[tuple[int, int, int,
     return pieces
 
 
-def _packer(path: str, room: int, end: int, with_ids: bool):
+def _binary(parts: list[memoryview]) -> pa.Array:
+    """The parts as one Arrow buffer: joined once."""
+    ends = np.cumsum([0, *map(len, parts)]).astype("<i4")
+    return pa.Array.from_buffers(pa.binary(), len(parts), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(parts))])
+
+
+def _packer(path: str, room: int, end: int, with_ids: bool, held_tokens: int, memory: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, tail = WordTokenizer(path), np.array([end], "<u4").tobytes()
+        tokenizer, tail = WordTokenizer(path, memory), np.array([end], "<u4").tobytes()
         base = TaskContext.get().partitionId() << 40
         names, held, size, first = [], [], 0, 0
 
@@ -209,7 +219,7 @@ def _packer(path: str, room: int, end: int, with_ids: bool):
                 pa.array([lengths[r[0]] for r in rows], pa.int64()),
                 pa.array([base + first + r[3] for r in rows], pa.int64()),
                 pa.array([r[4] for r in rows], pa.int64()),
-                pa.array([bytes(c) for c in cut] if with_ids else [None] * len(rows), pa.binary()),
+                _binary(cut) if with_ids else pa.nulls(len(rows), pa.binary()),
             ]
             first += 1 + max((r[3] for r in rows), default=-1)
             names, held, size = [], [], 0
@@ -220,7 +230,7 @@ def _packer(path: str, room: int, end: int, with_ids: bool):
                 held.append(tokenizer.ids(text) + tail)
                 names.append(doc_id)
                 size += len(held[-1]) // 4
-                if size >= HELD:
+                if size >= held_tokens:
                     yield flush()
         if held:
             yield flush()
@@ -228,10 +238,19 @@ def _packer(path: str, room: int, end: int, with_ids: bool):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END, with_ids: bool = True) -> DataFrame:
-    """A row for each piece; ``ids`` (uint32, little-endian) with ``with_ids``."""
+def pack(
+    docs: DataFrame,
+    tokenizer: str,
+    length: int = LENGTH,
+    end: int = END,
+    with_ids: bool = True,
+    held: int = HELD,
+    memory: int = MEMORY,
+) -> DataFrame:
+    """A row for each piece; ``ids`` (uint32, little-endian) with ``with_ids``.
+    ``held`` tokens are balanced together, ``memory`` bounds what a worker remembers."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = texts.mapInArrow(_packer(tokenizer, length, end, with_ids), SCHEMA)
+    out = texts.mapInArrow(_packer(tokenizer, length, end, with_ids, held, memory), SCHEMA)
     return out if with_ids else out.drop("ids")
 
 
