@@ -32,7 +32,8 @@ def _mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of fixed-length sequences, with their token ids."""
-    return packing.pack(docs, packing.default_tokenizer())
+    # rows carry their ids here, and workers that earlier stages used are used again
+    return packing.pack(docs, packing.default_tokenizer(), held=1_000_000, memory=32 << 20)
 
 
 STAGES = [
