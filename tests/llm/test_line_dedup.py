@@ -30,8 +30,8 @@ ROWS += [(100, None), (101, ""), (102, "\n\n"), (103, "shared  line"), (104, " 
 
 def got(spark, rows, **options):
     df = spark.createDataFrame([(i, t, "a", 7) for i, t in rows], "doc_id long, text string, h string, pos int")
-    out = d._apply(df, d.drop_bitmaps(df, **options))
-    return sorted((r.doc_id, r["__lines"], r["__dropped"], r["__kept"]) for r in out.collect())
+    out, own = d._apply(df, d.drop_bitmaps(df, **options))
+    return sorted((r.doc_id, r[own].lines, r[own].dropped, r[own].kept) for r in out.collect())
 
 
 def test_against_brute_force(spark):
@@ -46,12 +46,28 @@ def test_salted_runs(spark, monkeypatch):
     assert got(spark, ROWS, keep_first=True) == brute(ROWS, keep_first=True)
 
 
+def test_hot_lines_beside_a_shuffle_join(spark, monkeypatch):
+    monkeypatch.setattr(d, "RUN", 3)
+    monkeypatch.setattr(d, "SMALL", 1)
+    rows = ROWS + [(200 + i, f"b{i % 2}\nc\nc") for i in range(24)]
+    assert got(spark, rows) == brute(rows)
+    assert got(spark, rows, keep_first=True) == brute(rows, keep_first=True)
+
+
+def test_a_very_long_text(spark):
+    rows = [(i, f"head {i}\n" + "shared\n" * 60_000 + "tail" if i == 3 else f"shared\nrow {i}") for i in range(12)]
+    assert got(spark, rows) == brute(rows)
+
+
 def test_stage_keeps_columns(spark):
+    names = ["n_first", "__drop", "__id", "__th", "__lines", "__key", "__on", "drop", "th", "h", "pos", "a.b"]
     df = spark.createDataFrame([(i, t, "a", len(t or "")) for i, t in ROWS], "doc_id long, text string, __x string, n_chars long")
+    df = df.select("*", *[F.lit(k).alias(n) for k, n in enumerate(names)])
     out = d.line_dedup(df)
     assert out.columns == df.columns
     by = {r.doc_id: r for r in out.collect()}
     assert by[100].text is None and by[0].n_chars == len(by[0].text) and "hared" not in by[0].text
+    assert all(r[n] == k for r in by.values() for k, n in enumerate(names))
 
 
 def test_repeated_rows_null_ids_empty(spark):
@@ -64,4 +80,5 @@ def test_repeated_rows_null_ids_empty(spark):
 
 def test_query_columns(spark, sf001):
     r = d.query(spark, sf001).filter(F.col("n_lines") == 1).first()
-    assert len(r.kept_sha256) == 64 and hashlib.sha256(b"").hexdigest() != ""
+    text = spark.read.parquet(f"{sf001}/documents.parquet").filter(F.col("doc_id") == r.doc_id).first().text or ""
+    assert r.kept_sha256 == hashlib.sha256(b"" if r.n_dropped else text.encode()).hexdigest()

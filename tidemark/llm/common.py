@@ -23,6 +23,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def fresh(name: str, *tables: DataFrame) -> str:
+    """``name``, or longer, so that no column of ``tables`` is called so."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def named(column: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

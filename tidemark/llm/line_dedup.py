@@ -1,19 +1,26 @@
 """Exact removal of lines that many documents share.
 
-Lines are reduced to 64-bit key hashes; text is never shuffled to find them.
-Document frequencies come from one partial-then-final aggregation over the
-distinct hashes of each document, so a line that a third of all documents hold
-is a few rows a task by the time it is shuffled. Only postings of frequent
-lines go on: they are range-partitioned by (hash, salt) with a secondary sort
-by document and position, first occurrences are streamed from the sorted runs,
-and what returns to the documents is a sparse bitmap of 64-line words. The
-salt splits the run of a line with more than ``RUN`` documents.
+Lines are reduced to 128-bit key hashes (two of 64 bits that do not depend on
+each other); text is never shuffled to find them. Document frequencies come from
+one partial-then-final aggregation over the distinct keys of each document, so a
+line that a third of all documents hold is a few rows a task by the time it is
+shuffled. Only postings of frequent lines go on: they are range-partitioned by
+(key, salt) with a secondary sort by document and position, first occurrences
+are streamed from the sorted runs, and what returns to the documents is a sparse
+bitmap of 64-line words. The salt splits the run of a line with more than
+``RUN`` documents.
+
+Postings meet the frequent lines by a broadcast of at most ``SMALL`` lines. Where
+more are frequent, the hottest are broadcast: those in more than a ``SMALL``-th
+of all postings, of which there are fewer than ``SMALL``; a line of the rest is no
+larger than that share in the shuffle join.
 
 Cases: null or empty text is one empty line, which is never dropped; ties do
 not arise, as every occurrence is dropped (or, with ``keep_first``, all but the
 first by id and position); each row counts as a document, so repeated rows
-count repeatedly; an empty table gives an empty result; other columns are
-ignored. Rows of one id with different texts are told apart by a text hash.
+count repeatedly; an empty table gives an empty result; other columns, whatever
+their names, are carried by ``line_dedup``. Rows of one id with different texts
+are told apart by a text hash.
 """
 
 from __future__ import annotations
@@ -22,26 +29,40 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tidemark.llm.common import WS_CHARS, ascii_lower, let, table, text_of
+from tidemark.llm.common import WS_CHARS, ascii_lower, fresh, let, named, table, text_of
 from tidemark.session import materialize
 
 QUERY = "op7_line_dedup"
 MIN_DOCS, MIN_CHARS = 10, 1
 
 #: Documents of one line in a sorted run before the run is split by a salt.
-RUN = 100_000
+RUN = 4_096
+
+#: Frequent lines (of 24 bytes) that are broadcast at most.
+SMALL = 200_000
 
 
 def _key_hashes(text: Column, min_chars: int) -> Column:
-    """A hash for each line; null for lines too short to count."""
+    """A 128-bit hash for each line; null for lines too short to count."""
 
     def one(line: Column) -> Column:
-        stripped = F.trim(line, F.lit(WS_CHARS))
-        return F.when(F.char_length(stripped) >= min_chars, F.xxhash64(ascii_lower(stripped)))
+        key = ascii_lower(F.trim(line, F.lit(WS_CHARS)))
+        return let(key, lambda k: F.when(F.char_length(k) >= min_chars, F.struct(F.xxhash64(k).alias("a"), F.xxhash64(F.lit(1), k).alias("b"))))
 
     return F.transform(F.split(text, "\n"), one)
 
 
+def _of_frequent(postings: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``postings`` (h, ...) of frequent lines, with their frequency."""
+    lines, total = frequent.agg(F.count(F.lit(1)), F.coalesce(F.sum("df"), F.lit(0))).first()
+    if lines <= SMALL:
+        return postings.join(F.broadcast(frequent), "h")
+    hot = materialize(frequent.filter(F.col("df") > max(RUN, total // SMALL)), "op7-hot")
+    cold = frequent.join(F.broadcast(hot.select("h")), "h", "left_anti")
+    rest = postings.join(F.broadcast(hot.select("h")), "h", "left_anti")
+    return postings.join(F.broadcast(hot), "h").unionByName(rest.join(cold, "h"))
+
+
 def drop_bitmaps(
     docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, keep_first: bool = False
 ) -> DataFrame:
@@ -52,18 +73,18 @@ def drop_bitmaps(
     hashed = materialize(
         docs.select("doc_id", F.xxhash64(text).alias("th"), _key_hashes(text, min_chars).alias("hs")), "op7-lines"
     )
-    frequent = (
+    frequent = materialize(
         hashed.select(F.explode(F.array_distinct("hs")).alias("h"))
         .filter(F.col("h").isNotNull())
         .groupBy("h")
         .agg(F.count(F.lit(1)).alias("df"))
-        .filter(F.col("df") >= min_docs)
+        .filter(F.col("df") >= min_docs),
+        "op7-frequent",
     )
     salt = F.pmod(F.xxhash64("doc_id", "th"), F.ceil(F.col("df") / RUN))
+    postings = hashed.select("doc_id", "th", F.posexplode("hs").alias("pos", "h")).filter(F.col("h").isNotNull())
     runs = (
-        hashed.select("doc_id", "th", F.posexplode("hs").alias("pos", "h"))
-        .filter(F.col("h").isNotNull())
-        .join(frequent, "h")
+        _of_frequent(postings, frequent)
         .select("h", salt.alias("salt"), "doc_id", "th", "pos")
         .repartitionByRange("h", "salt")
         .sortWithinPartitions("h", "salt", "doc_id", "pos")
@@ -93,53 +114,55 @@ def drop_bitmaps(
     )
 
 
-def _apply(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` with ``__kept`` (text), ``__lines``, ``__dropped`` and ``__first``."""
-    text = text_of()
+def _apply(docs: DataFrame, bitmaps: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a struct column (kept text, lines, dropped, first), and its name."""
+    text, own, on = text_of(), fresh("__lines", docs), fresh("__on", docs)
     bits = bitmaps.select(
-        F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("drop").alias("__drop"), "n_first"
-    ).hint("shuffle_hash")
-    on = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__th"))
+        F.struct("doc_id", "th").alias(on), F.struct(F.col("drop").alias("drop"), F.col("n_first").alias("n_first")).alias(own)
+    )
+    keyed = docs.withColumn(fresh("__key", docs), F.struct(F.col("doc_id").alias("doc_id"), F.xxhash64(text).alias("th")))
+    key = named(keyed.columns[-1])
+    same = key["doc_id"].eqNullSafe(F.col(on)["doc_id"]) & (key["th"] == F.col(on)["th"])
+    drop = F.col(own)["drop"]
 
     def keep(_line: Column, i: Column) -> Column:
-        word = F.coalesce(F.try_element_at(F.col("__drop"), F.floor(i / 64).cast("int")), F.lit(0).cast("long"))
+        word = F.coalesce(F.try_element_at(drop, F.floor(i / 64).cast("int")), F.lit(0).cast("long"))
         return F.getbit(word, i % 64) == 0
 
     lines = F.split(text, "\n")
-    kept = F.when(F.col("__drop").isNull(), text).otherwise(F.array_join(F.filter(lines, keep), "\n"))
-    dropped = F.aggregate(
-        F.map_values("__drop"), F.lit(0).cast("long"), lambda n, w: n + F.bit_count(w)
-    )
-    return docs.join(bits, on, "left").select(
-        docs["*"],
-        kept.alias("__kept"),
-        F.size(lines).cast("long").alias("__lines"),
-        F.coalesce(dropped, F.lit(0).cast("long")).alias("__dropped"),
-        F.coalesce(F.col("n_first"), F.lit(0).cast("long")).alias("__first"),
+    dropped = F.aggregate(F.map_values(drop), F.lit(0).cast("long"), lambda n, w: n + F.bit_count(w))
+    found = F.struct(
+        F.when(drop.isNull(), text).otherwise(F.array_join(F.filter(lines, keep), "\n")).alias("kept"),
+        F.size(lines).cast("long").alias("lines"),
+        F.coalesce(dropped, F.lit(0).cast("long")).alias("dropped"),
+        F.coalesce(F.col(own)["n_first"], F.lit(0).cast("long")).alias("first"),
     )
+    joined = keyed.join(bits, same, "left")
+    return joined.select(*map(named, docs.columns), found.alias(own)), own
 
 
 def line_dedup(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with shared lines removed from ``text`` (``n_chars`` follows);
     the other columns as they were. A null text stays null."""
-    out = _apply(docs, drop_bitmaps(docs, **options))
-    columns = {c: F.col(c) for c in docs.columns}
-    columns["text"] = F.when(F.col("text").isNotNull(), F.col("__kept"))
+    out, own = _apply(docs, drop_bitmaps(docs, **options))
+    columns = {c: named(c) for c in docs.columns}
+    columns["text"] = F.when(F.col("text").isNotNull(), F.col(own)["kept"])
     if "n_chars" in columns:
         columns["n_chars"] = F.when(
-            F.col("__dropped") > 0, F.char_length("__kept").cast(docs.schema["n_chars"].dataType)
+            F.col(own)["dropped"] > 0, F.char_length(F.col(own)["kept"]).cast(docs.schema["n_chars"].dataType)
         ).otherwise(F.col("n_chars"))
     return out.select(*[c.alias(name) for name, c in columns.items()])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return _apply(docs, drop_bitmaps(docs)).select(
+    out, own = _apply(docs, drop_bitmaps(docs))
+    return out.select(
         "doc_id",
-        F.col("__lines").alias("n_lines"),
-        F.col("__dropped").alias("n_dropped"),
-        F.sha2("__kept", 256).alias("kept_sha256"),
-        F.col("__first").alias("n_first"),
+        F.col(own)["lines"].alias("n_lines"),
+        F.col(own)["dropped"].alias("n_dropped"),
+        F.sha2(F.col(own)["kept"], 256).alias("kept_sha256"),
+        F.col(own)["first"].alias("n_first"),
     )
 
 

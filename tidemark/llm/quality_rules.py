@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, WS, held_out, let, table, text_of, words_of
+from tidemark.llm.common import WORD, WS, held_out, let, named, table, text_of, words_of
 from tidemark.session import materialize
 
 QUERY = "op5_quality_rules"
@@ -225,7 +225,7 @@ def quality_filter(docs: DataFrame, labels: DataFrame, stratum: str = "lang") ->
     """The rows of ``docs`` that are kept, all columns as they were. Rows that
     pass the base check are written with their statistics, so that texts are
     read once; the thresholds read the statistics alone."""
-    whole = F.struct(*[docs[c] for c in docs.columns]).alias("__row")
+    whole = F.struct(*map(named, docs.columns)).alias("__row")
     passed = materialize(base_stats(docs, stratum, whole).filter("not base_failed"), "op5-passed")
     return _verdict(passed, thresholds(passed, labels)).filter("kept").select("__row.*")
 
