@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize
+
 #: ASCII white space, as a regex class body, and as the characters themselves.
 WS = r"\x20\x09-\x0D"
 WS_CHARS = " \t\n\x0b\x0c\r"
@@ -70,3 +73,30 @@ def hash_sample(rows: DataFrame, bound: int, seed: int, doc_id: str = "doc_id")
     spread = 1 << 31
     kept = rows if share == 1.0 else rows.filter(F.pmod(at, F.lit(spread)) < F.lit(int(share * spread)))
     return kept.withColumn("__at", at).orderBy(F.pmod("__at", F.lit(spread)), "__at").limit(bound).drop("__at")
+
+
+def ln_gamma(x: Column) -> Column:
+    """Stirling's series twelve places up, where it is exact to about 1e-13."""
+    y = x + 12
+    series = (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y)
+    for k in range(12):
+        series = series - F.log(x + k)
+    return series
+
+
+def ranked(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with ``rank``, from 0, in the order of ``column``, nulls last: rows
+    are ranged and numbered in their range, and a row for each range is summed."""
+    order = named(column).asc_nulls_last()
+    placed = rows.repartitionByRange(order).sortWithinPartitions(order).withColumn("__part", F.spark_partition_id())
+    placed = materialize(placed, "ranked")
+    ends = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = before.select("__part", F.coalesce(F.sum("__n").over(ends), F.lit(0)).alias("__before"))
+    own = F.row_number().over(Window.partitionBy("__part").orderBy(order))
+    return (
+        placed.withColumn("rank", own)
+        .join(F.broadcast(before), "__part")  # as many rows as shuffle partitions
+        .withColumn("rank", F.col("rank") + F.col("__before") - 1)
+        .drop("__part", "__before")
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
+from tidemark.session import discard, materialize
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -18,7 +18,8 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v): root is the smallest
     node of its component. Rounds grow with the logarithm of the diameter; each
     is cut by a written table. Minima are pre-aggregated before the shuffle, and
-    the joins that send them back can be split by AQE where a hub is hot."""
+    the joins that send them back can be split by AQE where a hub is hot. Only the
+    last round's table stays."""
     edges = materialize(
         edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), label
     )
@@ -35,7 +36,8 @@ def components(edges: DataFrame, label: str) -> DataFrame:
             .unionByName(low.select("u", F.col("m").alias("v")))
             .distinct()
         )
-        edges = materialize(small, label)
+        before, edges = edges, materialize(small, label)
+        discard(before)
         now = _fingerprint(edges)
         if now == seen:
             break

@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, WS, held_out, let, named, table, text_of, words_of
+from tidemark.llm.common import WORD, WS, held_out, let, ln_gamma, named, table, text_of, words_of
 from tidemark.session import materialize
 
 QUERY = "op5_quality_rules"
@@ -156,22 +156,13 @@ def _first_step(prefix: str = "") -> str:
     return f"case {whens} else {len(PATH)} end"
 
 
-def _ln_gamma(x: Column) -> Column:
-    """Stirling's series twelve places up, where it is exact to about 1e-13."""
-    y = x + 12
-    series = (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y)
-    for k in range(12):
-        series = series - F.log(x + k)
-    return series
-
-
 def _tail(n: Column, k: Column, p: float) -> Column:
     """P(X <= k) for X ~ Binomial(n, p); 1 where k is at the mean or above, where
     no level could admit it. Below the mean the terms fall from k down, so those
     beyond many deviations are nothing and the sum has few."""
     x, size = k.cast("double"), n.cast("double")
     last = (
-        _ln_gamma(size + 1) - _ln_gamma(x + 1) - _ln_gamma(size - x + 1) + x * math.log(p) + (size - x) * math.log1p(-p)
+        ln_gamma(size + 1) - ln_gamma(x + 1) - ln_gamma(size - x + 1) + x * math.log(p) + (size - x) * math.log1p(-p)
     )
     terms = F.least(x, F.ceil(60 * F.sqrt(size * p)) + 200).cast("int")
     total = F.aggregate(
