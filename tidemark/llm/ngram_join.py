@@ -2,26 +2,34 @@
 
 1. Shingle hashes leave the texts packed by hash range (a few bytes each) and
    are counted. Only shingles that two documents hold can be in an overlap, so
-   a document survives if at least ``NUM/DEN`` of its set is such.
+   a document survives if at least ``NUM/DEN`` of its set is such. A shingle that
+   ``COMMON`` documents of one batch hold is known to be common there: only its
+   count goes to its range, its postings go on spread by document.
 2. Survivors' sets come back in one global order, rarest first. Two sets that
-   link share a shingle among the first ``n - ceil(n * NUM / DEN) + 1``; stars
-   over equal prefix shingles give candidate groups, a superset of the classes.
-3. Within a group sets are stored in a radix trie in the global order and every
-   member is run down it: paths shared by stored sets are overlapped once, and
-   a subtree is cut when what is left of either set cannot reach the required
-   overlap. A first trie holds the group's smallest document; members it does
-   not reach are stored in tries of bounded size and all members probe those.
-   Members already in one class are not compared again, so copies cost no pairs.
-4. Links give classes by star contraction.
-
-Exact: no candidate is dropped; hash order and salts only spread the work.
-Sets with the same shingles are one representative from step 3 on. A group is
-dealt to tasks by salts, so its size does not bound one task's memory.
+   link share a shingle among the first ``n - ceil(n * NUM / DEN) + 1``, their
+   prefixes; documents with a shingle in their prefixes are a group.
+3. Each document is compared with the smallest of every group that it is in.
+   The links found give classes, and a group within one class is done.
+4. In the other groups sets are stored in a radix trie in the global order and
+   the members run down it: paths that stored sets share are overlapped once. A
+   subtree is cut when what is left of either set cannot reach the required
+   overlap, when all below is in the member's own class, or when a smaller
+   shingle is shared, as that one's group has the pair. Groups of the same
+   documents are one group.
+5. Links give classes by star contraction.
+
+Exact: no candidate is dropped; hash order and salts only spread the work. Work
+follows the sizes of the groups of single shingles, not of chains of them. Sets
+with the same shingles are one representative from step 3 on. A group is dealt to
+tasks by salts, and stored in tries of bounded bytes, so its size does not bound
+one task's memory; only members of one group, in different classes after step 3,
+are compared with one another.
 
 Cases: null, empty or blank text has no set and links with nothing; equal sets
 link; a null doc_id gets a null component; repeated rows of one id are one
-document and all returned; an empty table gives an empty result; other columns
-are ignored (``keep_one`` carries them).
+document and all returned; of one id with different texts each row is a document
+of its own, and its component the smallest id in its class; an empty table gives
+an empty result; other columns are ignored (``keep_one`` carries them).
 """
 
 from __future__ import annotations
@@ -30,20 +38,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import fresh, named, table
 from tidemark.llm.components import components
 from tidemark.llm.shingles import shingle_sets
-from tidemark.session import materialize
+from tidemark.session import discard, materialize
 
 QUERY = "op2_ngram_join"
 NUM, DEN = 75, 100
 
-#: Packed shingles held before they are handed on; sets in one trie; probes of
-#: one trie in one task.
-FLUSH, STORED, PROBES = 1_500_000, 1_000, 5_000
+#: Packed shingles held before they are handed on, and documents among these that
+#: make a shingle common (the greatest frequency that the global order tells apart).
+FLUSH, COMMON = 1_500_000, 255
+
+#: Documents that are compared with one smallest in one task; bytes of the sets in
+#: one trie, and members that probe one trie in one task.
+PROBES, STORED, MEMBERS = 250, 16 << 20, 2_000
 
 _U64, _U32, _U8, _I64, _I32 = np.dtype("<u8"), np.dtype("<u4"), np.dtype("u1"), np.dtype("<i8"), np.dtype("<i4")
 
@@ -73,33 +86,53 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _order_key(df: np.ndarray, low: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """The global order: document frequency, then 40 hash bits and the range."""
+    return (np.minimum(df, COMMON).astype(_U64) << np.uint64(55)) | (low << np.uint64(15)) | (part % 32768).astype(_U64)
+
+
 def _postings(parts: int):
     """Packed (hash, document) pairs by hash range: 40 bits of each hash beside
-    its range, so a false match costs a candidate at worst."""
+    its range, so a false match costs a candidate at worst. Common shingles leave
+    as (count, hash) in ``many`` and as finished keys by document in ``done``."""
+
+    def packed(part, keys, doc, ids, sizes):
+        order = np.argsort(part, kind="stable")
+        part, keys, doc = part[order], keys[order], doc[order]
+        cuts = np.searchsorted(part, np.arange(parts + 1))
+        for p in np.flatnonzero(np.diff(cuts)).tolist():
+            own = doc[cuts[p] : cuts[p + 1]]
+            heads = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])  # documents come in order
+            of, count = own[heads], np.diff(np.r_[heads, len(own)])
+            yield p, ids[of].tobytes(), sizes[of].astype(_I32).tobytes(), count.astype(_I32).tobytes(), keys[cuts[p] : cuts[p + 1]]
 
     def flush(ids, sets):
         sizes = np.fromiter(map(len, sets), _I64, len(sets))
         keys = np.concatenate(sets)
         doc = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
-        part = ((keys >> np.uint64(40)) % np.uint64(parts)).astype(np.int32)
-        order = np.argsort(part, kind="stable")
-        part, keys, doc = part[order], keys[order], doc[order]
-        cuts = np.searchsorted(part, np.arange(parts + 1))
         ids = np.array(ids, _I64)
+        part = ((keys >> np.uint64(40)) % np.uint64(parts)).astype(np.int32)
+        low = keys & np.uint64((1 << 40) - 1)
         rows = []
-        for p in range(parts):
-            a, b = cuts[p], cuts[p + 1]
-            if a < b:
-                of, count = np.unique(doc[a:b], return_counts=True)
-                k = keys[a:b]
-                rows.append(
-                    (p, ids[of].tobytes(), sizes[of].astype(_I32).tobytes(), count.astype(_I32).tobytes(),
-                     (k & np.uint64(0xFFFFFFFF)).astype(_U32).tobytes(), ((k >> np.uint64(32)) & np.uint64(0xFF)).astype(_U8).tobytes())
-                )
+        order = np.argsort(keys)
+        heads = np.flatnonzero(np.r_[True, keys[order][1:] != keys[order][:-1]])
+        count = np.diff(np.r_[heads, len(keys)])
+        common = count >= COMMON
+        if common.any():
+            for p, c, k in zip(part[order[heads[common]]].tolist(), count[common].tolist(), low[order[heads[common]]].tolist(), strict=True):
+                rows.append((p, None, None, None, None, None, np.array([c, k], _I64).tobytes(), None))
+            is_common = np.zeros(len(keys), bool)
+            is_common[order] = np.repeat(common, count)
+            finished = _order_key(np.full(int(is_common.sum()), COMMON), low[is_common], part[is_common])
+            for p, i, n, c, k in packed((ids[doc[is_common]] % parts).astype(np.int32), finished, doc[is_common], ids, sizes):
+                rows.append((p, i, n, c, None, None, None, k.tobytes()))
+            part, low, doc = part[~is_common], low[~is_common], doc[~is_common]
+        for p, i, n, c, k in packed(part, low, doc, ids, sizes):
+            rows.append((p, i, n, c, (k & np.uint64(0xFFFFFFFF)).astype(_U32).tobytes(), (k >> np.uint64(32)).astype(_U8).tobytes(), None, None))
         columns = list(zip(*rows, strict=True))
         return pa.RecordBatch.from_arrays(
             [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
-            ["part", "ids", "ns", "counts", "lo", "hi"],
+            ["part", "ids", "ns", "counts", "lo", "hi", "many", "done"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,39 +154,53 @@ def _postings(parts: int):
     return run
 
 
+_POSTINGS = "part int, ids binary, ns binary, counts binary, lo binary, hi binary, many binary, done binary"
+
+
 def _join(column, dtype) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype)
+    return np.frombuffer(b"".join(column.drop_null().to_pylist()), dtype)
 
 
 def _shared(parts: int, buckets: int):
     """Of one hash range: the shingles that at least two documents hold, as keys
-    of the global order (document frequency up to 255, then hash), repacked by
-    document bucket."""
+    of the global order, repacked by document bucket. Finished keys pass."""
 
     def run(t: pa.Table) -> pa.Table:
         part = t.column("part")[0].as_py()
-        ids, ns, counts = _join(t.column("ids"), _I64), _join(t.column("ns"), _I32), _join(t.column("counts"), _I32)
-        keys = _join(t.column("lo"), _U32).astype(_U64) | (_join(t.column("hi"), _U8).astype(_U64) << np.uint64(32))
-        order = np.argsort(keys)
-        keys = keys[order]
-        run = np.cumsum(np.r_[False, keys[1:] != keys[:-1]], dtype=np.int32)
-        df = np.bincount(run).astype(np.int32)[run]
+        finished, open_ = t.filter(pc.is_valid(t.column("done"))), t.filter(pc.is_valid(t.column("lo")))
+        ids, ns, counts = _join(open_.column("ids"), _I64), _join(open_.column("ns"), _I32), _join(open_.column("counts"), _I32)
+        many = _join(t.column("many"), _I64).reshape(-1, 2)
+        low = _join(open_.column("lo"), _U32).astype(_U64) | (_join(open_.column("hi"), _U8).astype(_U64) << np.uint64(32))
+        order = np.argsort(low)
+        low = low[order]
+        heads = np.flatnonzero(np.r_[np.ones(min(1, len(low)), bool), low[1:] != low[:-1]])
+        run = np.diff(np.r_[heads, len(low)])
+        df = run.copy()
+        if len(many) and len(low):  # known to be common elsewhere
+            own = low[heads]
+            at = np.minimum(np.searchsorted(own, many[:, 1].astype(_U64)), len(own) - 1)
+            same = own[at] == many[:, 1].astype(_U64)
+            np.add.at(df, at[same], many[same, 0])
+        df = np.repeat(df, run)
         keep = df >= 2
         of = np.repeat(np.arange(len(ids), dtype=np.int32), counts)[order[keep]]
-        keys, df = keys[keep], df[keep]
-        del order, run, keep
-        keys = (np.minimum(df, 255).astype(_U64) << np.uint64(55)) | (keys << np.uint64(15)) | np.uint64(part % 32768)
+        keys = _order_key(df[keep], low[keep], np.full(int(keep.sum()), part))
+        del order, low, df, keep
+        ids = np.concatenate([ids, _join(finished.column("ids"), _I64)])
+        more = _join(finished.column("counts"), _I32)
+        of = np.concatenate([of, np.repeat(np.arange(len(more), dtype=np.int32) + len(ns), more)])
+        ns = np.concatenate([ns, _join(finished.column("ns"), _I32)])
+        keys = np.concatenate([keys, _join(finished.column("done"), _U64)])
         bucket = ids[of] % buckets
-        order = np.argsort(bucket, kind="stable")
+        order = np.lexsort((of, bucket))
         bucket, of, keys = bucket[order], of[order], keys[order]
         cuts = np.searchsorted(bucket, np.arange(buckets + 1))
         rows = []
-        for b in range(buckets):
-            x, y = cuts[b], cuts[b + 1]
-            if x < y:
-                docs, count = np.unique(of[x:y], return_counts=True)
-                o = np.argsort(of[x:y], kind="stable")
-                rows.append((b, ids[docs].tobytes(), ns[docs].tobytes(), count.astype(_I32).tobytes(), keys[x:y][o].tobytes()))
+        for b in np.flatnonzero(np.diff(cuts)).tolist():
+            own = of[cuts[b] : cuts[b + 1]]
+            heads = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            docs, count = own[heads], np.diff(np.r_[heads, len(own)])
+            rows.append((b, ids[docs].tobytes(), ns[docs].tobytes(), count.astype(_I32).tobytes(), keys[cuts[b] : cuts[b + 1]].tobytes()))
         columns = list(zip(*rows, strict=True)) or [[]] * 5
         return pa.table(
             [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
@@ -200,23 +247,24 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-# --- step 3: the trie --------------------------------------------------------
+# --- steps 3 and 4: comparing ------------------------------------------------
 
 
 class Trie:
     """Sets in the global order. A node holds a run of keys, its children by
-    their first key, the documents that end there, and the least document size
-    and greatest set length below it."""
+    their first key, the documents that end there, the least document size and
+    greatest set length below it, and the class of all below it if it is one."""
 
-    __slots__ = ("run", "children", "ends", "least", "longest")
+    __slots__ = ("run", "children", "ends", "least", "longest", "only")
 
     def __init__(self, run: list[int]):
         self.run, self.children, self.ends = run, {}, []
-        self.least, self.longest = 1 << 62, 0
+        self.least, self.longest, self.only = 1 << 62, 0, None
 
-    def insert(self, keys: list[int], doc_id: int, n: int) -> None:
+    def insert(self, keys: list[int], doc_id: int, n: int, of: int) -> None:
         node, at = self, 0
         while True:
+            node.only = of if node.least == 1 << 62 or node.only == of else None
             node.least, node.longest = min(node.least, n), max(node.longest, len(keys))
             same = 0
             while same < len(node.run) and at + same < len(keys) and node.run[same] == keys[at + same]:
@@ -224,32 +272,40 @@ class Trie:
             if same < len(node.run):  # split: the rest of the run becomes a child
                 rest = Trie(node.run[same:])
                 rest.children, rest.ends = node.children, node.ends
-                rest.least = min([e[1] for e in rest.ends] + [c.least for c in rest.children.values()])
-                rest.longest = max([e[2] for e in rest.ends] + [c.longest for c in rest.children.values()])
+                below = [(e[1], e[2], e[3]) for e in rest.ends] + [(c.least, c.longest, c.only) for c in rest.children.values()]
+                rest.least, rest.longest = min(b[0] for b in below), max(b[1] for b in below)
+                rest.only = below[0][2] if len({b[2] for b in below}) == 1 else None
                 node.run, node.children, node.ends = node.run[:same], {rest.run[0]: rest}, []
             at += same
             if at == len(keys):
-                node.ends.append((doc_id, n, len(keys)))
+                node.ends.append((doc_id, n, len(keys), of))
                 return
             child = node.children.get(keys[at])
             if child is None:
                 child = node.children[keys[at]] = Trie(keys[at:])
             node = child
 
-    def probe(self, keys: list[int], n: int) -> Iterator[int]:
-        """Ids of stored documents that link with a set of full size ``n``."""
+    def probe(self, keys: list[int], n: int, of: int | None = None, first: int = 0) -> Iterator[int]:
+        """Ids of stored documents that link with a set of full size ``n``, but
+        for those known to be in class ``of`` and those that share a key before
+        ``first``."""
         own = set(keys)
         stack = [(self, 0, 0)]
         while stack:
             node, overlap, depth = stack.pop()
+            if of is not None and node.only == of:
+                continue
             depth += len(node.run)
-            overlap += sum(map(own.__contains__, node.run))
+            shared = [k for k in node.run if k in own]
+            if shared and shared[0] < first:
+                continue
+            overlap += len(shared)
             # at best all that is left of either set matches
             best = overlap + min(node.longest - depth, len(keys) - overlap)
             if best < required(n, node.least):
                 continue
-            for doc_id, size, _ in node.ends:
-                if DEN * overlap >= NUM * (n + size - overlap):
+            for doc_id, size, _, other in node.ends:
+                if DEN * overlap >= NUM * (n + size - overlap) and (of is None or other != of):
                     yield doc_id
             for child in node.children.values():
                 stack.append((child, overlap, depth))
@@ -273,65 +329,121 @@ class _Classes:
         return a != b
 
 
+#: What a row does in its trie: it is stored, it probes, or it probes and is stored.
+STORE, PROBE, BOTH = 0, 1, 2
+
+
 def _trie_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (grp, block, salt, probe): stored sets of a group come
-    first, then its probes. Emits links that join two classes of the group."""
+    """Rows sorted by (grp, block, salt, act): the stored sets of a trie come
+    first. Emits links that join two classes of the group."""
     group, trie, classes = None, None, None
     for batch in batches:
         u, v = [], []
-        columns = [batch.column(c).to_pylist() for c in ("grp", "block", "salt", "probe", "doc_id", "n", "keys")]
-        for grp, block, salt, probe, doc_id, n, blob in zip(*columns, strict=True):
+        columns = [batch.column(c).to_pylist() for c in ("grp", "block", "salt", "act", "doc_id", "of", "first", "n", "keys")]
+        for grp, block, salt, act, doc_id, of, first, n, blob in zip(*columns, strict=True):
             if group != (grp, block, salt):
                 group, trie, classes = (grp, block, salt), Trie([]), _Classes()
             keys = np.frombuffer(blob, _U64).tolist()
-            if not probe:
-                trie.insert(keys, doc_id, n)
-                continue
-            for other in trie.probe(keys, n):
-                if other != doc_id and classes.union(doc_id, other):
-                    u.append(doc_id)
-                    v.append(other)
+            if act != STORE:
+                for other in trie.probe(keys, n, of, first & 0xFFFFFFFFFFFFFFFF):
+                    if other != doc_id and classes.union(doc_id, other):
+                        u.append(doc_id)
+                        v.append(other)
+            if act != PROBE:
+                trie.insert(keys, doc_id, n, doc_id if of is None else of)
         yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
-def _trie_join(stored: DataFrame, probes: DataFrame) -> DataFrame:
-    """stored: (grp, block, salts, ...), probes: (grp, blocks, salts, ...)."""
-    left = stored.select(
-        "grp", "block", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("probe"), "doc_id", "n", "keys"
-    )
-    right = probes.select(
-        "grp",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int").alias("salt"),
-        F.lit(1).alias("probe"),
-        "doc_id",
-        "n",
-        "keys",
-    )
+def _run_tries(rows: DataFrame) -> DataFrame:
+    """Links (u, v) of rows (grp, block, salt, act, doc_id, of, first, n, keys)."""
     return (
-        left.unionByName(right)
-        .repartition("grp", "block", "salt")
-        .sortWithinPartitions("grp", "block", "salt", "probe")
+        rows.repartition("grp", "block", "salt")
+        .sortWithinPartitions("grp", "block", "salt", "act", "doc_id")
         .mapInArrow(_trie_links, "u long, v long")
     )
 
 
+def _with_smallest(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links among (u, v): v's set in a trie, all its u's run down it."""
+    none = F.lit(None).cast("long").alias("of"), F.lit(0).cast("long").alias("first")
+    salts = F.ceil(F.count(F.lit(1)) / PROBES).cast("int")
+    by = materialize(pairs.groupBy("v").agg(salts.alias("salts")), "op2-smallest")
+    own = sets.select("doc_id", "n", "keys")
+    block = F.lit(0).alias("block")
+    stored = by.join(own, F.col("v") == F.col("doc_id")).select(
+        F.col("v").alias("grp"), block, F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"), F.lit(STORE).alias("act"), "doc_id", *none, "n", "keys"
+    )
+    probes = pairs.join(by, "v").join(own, F.col("u") == F.col("doc_id")).select(
+        F.col("v").alias("grp"), block, F.pmod(F.xxhash64("u"), F.col("salts")).cast("int").alias("salt"), F.lit(PROBE).alias("act"), "doc_id", *none, "n", "keys"
+    )
+    return _run_tries(stored.unionByName(probes))
+
+
+def _within(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of members (grp, doc_id, of) across classes; grp is the group's key."""
+    rows = members.join(sets.select("doc_id", "n", "keys"), "doc_id")
+    size = members.join(sets.select("doc_id", F.octet_length("keys").cast("long").alias("size")), "doc_id").groupBy("grp").agg(
+        F.ceil(F.sum("size") / STORED).cast("int").alias("blocks"), F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("salts")
+    )
+    rows = rows.join(materialize(size, "op2-sizes-of-groups"), "grp").withColumn("first", F.col("grp"))
+    zero, one = F.lit(0), F.expr("blocks = 1 and salts = 1")
+    columns = ["doc_id", "of", "first", "n", "keys"]
+    whole = rows.filter(one).select("grp", zero.alias("block"), zero.alias("salt"), F.lit(BOTH).alias("act"), *columns)
+    cut = rows.filter(~one)
+    stored = cut.select(
+        "grp", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.col("blocks")).cast("int").alias("block"),
+        F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"), F.lit(STORE).alias("act"), *columns,
+    )
+    probes = cut.select(
+        "grp", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"),
+        F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int").alias("salt"), F.lit(PROBE).alias("act"), *columns,
+    )
+    return _run_tries(whole.unionByName(stored).unionByName(probes))
+
+
 # --- the whole join ----------------------------------------------------------
 
 
-def ngram_join(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``."""
-    spark = docs.sparkSession
+def _classes(sets: DataFrame) -> DataFrame:
+    """(node, root) of every document of ``sets`` that links with another."""
+    prefixes = sets.mapInArrow(_prefixes, "doc_id long, key long")
+    stars = prefixes.groupBy("key").agg(F.min("doc_id").alias("v"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
+    in_groups = materialize(prefixes.join(stars, "key"), "op2-groups")
+    pairs = materialize(in_groups.filter("doc_id <> v").select(F.col("doc_id").alias("u"), "v").distinct(), "op2-pairs")
+    reached = materialize(_with_smallest(pairs, sets), "op2-reached")
+    known = components(reached, "op2-known")
+    # groups that are not within one class; of those with the same documents the first
+    of = in_groups.join(known, F.col("doc_id") == F.col("node"), "left").select(
+        "key", "doc_id", F.coalesce("root", "doc_id").alias("of")
+    )
+    of = materialize(of, "op2-of")
+    mark = F.xxhash64(F.lit(7), "doc_id")
+    keys = (
+        of.groupBy("key")
+        .agg(F.min("of").alias("a"), F.max("of").alias("b"), F.count(F.lit(1)).alias("c"), F.bit_xor(mark).alias("x"), F.sum(F.shiftrightunsigned(mark, 24)).alias("y"))
+        .filter("a <> b")
+        .groupBy("c", "x", "y")
+        .agg(F.min("key").alias("grp"))
+        .select("grp")
+    )
+    members = materialize(of.join(keys, F.col("key") == F.col("grp")).select("grp", "doc_id", "of"), "op2-members")
+    links = reached.unionByName(_within(members, sets))
+    out = components(links, "op2-classes")
+    discard(in_groups, pairs, reached, of, members)
+    return out
+
+
+def _join_rows(texts: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of rows whose ids tell their texts apart."""
+    spark = texts.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sizes = materialize(texts.mapInArrow(_sizes, "doc_id long, n long, f1 long, f2 long"), "op2-sizes")
     same = ["n", "f1", "f2"]
     heads = materialize(
         sizes.filter("n > 0 and doc_id is not null").groupBy(*same).agg(F.min("doc_id").alias("rep")), "op2-heads"
     )
     sets = (
         texts.filter("doc_id is not null")
-        .mapInArrow(_postings(parts), "part int, ids binary, ns binary, counts binary, lo binary, hi binary")
+        .mapInArrow(_postings(parts), _POSTINGS)
         .groupBy("part")
         .applyInArrow(_shared(parts, parts), "bucket int, ids binary, ns binary, counts binary, keys binary")
         .groupBy("bucket")
@@ -339,32 +451,8 @@ def ngram_join(docs: DataFrame) -> DataFrame:
         .join(heads.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     )
     sets = materialize(sets, "op2-sets")
-
-    heads_of = sets.mapInArrow(_prefixes, "doc_id long, key long")
-    stars = heads_of.groupBy("key").agg(F.min("doc_id").alias("v"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-    candidates = heads_of.join(stars, "key").select(F.col("doc_id").alias("u"), "v").distinct()
-    groups = materialize(components(candidates, "op2-candidates"), "op2-groups")
-
-    size = groups.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    salts = F.ceil(F.col("members") / PROBES).cast("int")
-    members = (
-        sets.join(groups, F.col("doc_id") == F.col("node"))
-        .join(size.select("root", salts.alias("salts")), "root")
-        .select(F.col("root").alias("grp"), "salts", "doc_id", "n", "keys")
-    )
-    first = members.filter("doc_id = grp").withColumn("block", F.lit(0))
-    rest = members.filter("doc_id <> grp")
-    reached = materialize(_trie_join(first, rest.withColumn("blocks", F.lit(1))), "op2-first")
-
-    residue = rest.join(reached.select(F.col("u").alias("doc_id")), "doc_id", "left_anti")
-    open_groups = residue.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / STORED).cast("int").alias("blocks"))
-    open_groups = materialize(open_groups, "op2-open")
-    stored = residue.join(open_groups, "grp").withColumn(
-        "block", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.col("blocks")).cast("int")
-    )
-    more = _trie_join(stored.drop("blocks"), rest.join(open_groups, "grp"))
-    classes = components(reached.unionByName(more), "op2-classes")
-
+    classes = _classes(sets)
+    discard(sets)
     rep = heads.select(*[F.col(c).alias(f"r_{c}") for c in same], "rep")
     on = [F.col(c) == F.col(f"r_{c}") for c in same]
     known = F.col("doc_id").isNotNull()
@@ -379,23 +467,48 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     )
 
 
+def ngram_join(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    sizes = materialize(texts.mapInArrow(_sizes, "doc_id long, n long, f1 long, f2 long"), "op2-sizes")
+    shape = F.struct("n", "f1", "f2")
+    torn = sizes.filter("doc_id is not null").groupBy("doc_id").agg((F.min(shape) != F.max(shape)).alias("torn"))
+    if torn.agg(F.coalesce(F.bool_or("torn"), F.lit(False))).first()[0]:
+        discard(sizes)
+        return _by_row(texts)[1].select(F.col("__id").alias("doc_id"), "n_shingles", "component_id")
+    return _join_rows(texts, sizes)
+
+
+def _by_row(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with a row number, and (row, __id, n_shingles, class, component_id) of
+    each row: rows are the documents, and ids only name the classes."""
+    row = fresh("__row", docs)
+    rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "op2-rows")
+    texts = rows.select(named(row).alias("doc_id"), F.col("text").cast("string").alias("text"))
+    sizes = materialize(texts.mapInArrow(_sizes, "doc_id long, n long, f1 long, f2 long"), "op2-sizes")
+    ids = rows.select(named(row).alias("row"), F.col("doc_id").cast("long").alias("__id"))
+    joined = _join_rows(texts, sizes).select(F.col("doc_id").alias("of_row"), "n_shingles", F.col("component_id").alias("class"))
+    joined = materialize(joined.join(ids, F.col("of_row") == F.col("row")).drop("of_row"), "op2-joined")
+    least = joined.groupBy("class").agg(F.min("__id").alias("least"))
+    out = joined.join(least, "class").withColumn("component_id", F.when(F.col("__id").isNotNull(), F.col("least"))).drop("least")
+    return rows, out
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class: the one with its smallest id, a row
     without an id only where no other has one. Classes are of rows, so repeated
     rows and two texts of one id are told apart. Rows without words are a class
     for each id, those without an id one more."""
-    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "op2-rows")
-    ids = rows.select("__row", F.col("doc_id").alias("__id"))
-    joined = ngram_join(rows.select(F.col("__row").alias("doc_id"), "text")).join(ids, F.col("doc_id") == F.col("__row"))
+    rows, joined = _by_row(docs)
+    row, stay = rows.columns[-1], fresh("__stay", rows)
     words = F.col("n_shingles") > 0
-    first = F.min(F.struct(F.col("__id").isNull(), F.col("__id"), F.col("__row").alias("row")))
-    stay = (
-        joined.groupBy(F.when(words, F.col("component_id")).alias("class"), F.when(~words, F.col("__id")).alias("id"))
+    first = F.min(F.struct(F.col("__id").isNull(), F.col("__id"), F.col("row").alias("row")))
+    heads = (
+        joined.groupBy(F.when(words, F.col("class")).alias("class"), F.when(~words, F.col("__id")).alias("id"))
         .agg(first.alias("first"))
-        .select(F.col("first.row").alias("__stay"))
-        .hint("shuffle_hash")
+        .select(F.col("first.row").alias(stay))
     )
-    return rows.join(stay, F.col("__row") == F.col("__stay"), "left_semi").drop("__row")
+    return rows.join(heads, named(row) == F.col(stay), "left_semi").select(*map(named, docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
