@@ -61,18 +61,62 @@ def test_chains_and_edges(spark):
     check(spark, rows)
 
 
-def test_group_larger_than_a_trie(spark, monkeypatch):
-    monkeypatch.setattr(nj, "STORED", 5)
-    monkeypatch.setattr(nj, "PROBES", 7)
-    base = [f"v{k}" for k in range(120)]
+def family(n, length=120, seed=0):
+    """Copies of one text with a few words changed: some link, some do not."""
+    base = [f"v{seed}x{k}" for k in range(length)]
     rows = []
-    for k in range(60):
+    for k in range(n):
         w = list(base)
-        w[2 * k % 120] = f"z{k}"
-        w[(2 * k + 45) % 120] = f"y{k}"
-        w[(2 * k + 80) % 120] = f"q{k % 7}"
-        rows.append((k + 1, " ".join(w)))
-    check(spark, rows)
+        w[2 * k % length] = f"z{seed}x{k}"
+        w[(2 * k + 45) % length] = f"y{seed}x{k}"
+        w[(2 * k + 80) % length] = f"q{seed}x{k % 7}"
+        rows.append((1000 * seed + k + 1, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("stored,members,probes", [(16 << 20, 2000, 250), (3000, 7, 7), (3000, 2000, 3), (16 << 20, 5, 1)])
+def test_groups_larger_than_a_trie(spark, monkeypatch, stored, members, probes):
+    monkeypatch.setattr(nj, "STORED", stored)
+    monkeypatch.setattr(nj, "MEMBERS", members)
+    monkeypatch.setattr(nj, "PROBES", probes)
+    check(spark, family(60) + family(9, 60, 1) + family(3, 40, 2))
+
+
+@pytest.mark.parametrize("flush,common", [(100, 2), (400, 3), (3000, 4)])
+def test_common_shingles_leave_by_document(spark, monkeypatch, flush, common):
+    monkeypatch.setattr(nj, "FLUSH", flush)
+    monkeypatch.setattr(nj, "COMMON", common)
+    check(spark, family(40) + family(9, 60, 1) + [(5000 + k, f"only this line stands here and {k}") for k in range(8)])
+
+
+def test_a_long_chain_of_candidates_stays_near_linear(spark, monkeypatch):
+    """Neighbours share enough for a candidate and not for a link: no work is done across the chain."""
+    monkeypatch.setattr(nj, "MEMBERS", 20)
+    words = [f"w{k}" for k in range(4000)]
+    rows = [(k, " ".join(words[k * 12 : k * 12 + 60])) for k in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.component_id for r in nj.ngram_join(df).collect()} == set(range(300))
+    trie = nj.Trie([])  # a subtree of one class, or with a smaller shared key, is not entered
+    trie.insert([1, 2, 3, 4], 7, 4, 70)
+    assert list(trie.probe([1, 2, 3, 4], 4, 71)) == [7] and list(trie.probe([1, 2, 3, 4], 4, 70)) == []
+    assert list(trie.probe([1, 2, 3, 4], 4, 71, first=2)) == [] and list(trie.probe([1, 2, 3, 4], 4, 71, first=1)) == [7]
+
+
+def test_one_id_with_two_texts(spark):
+    a, b = "a b c d e f g h", "q r s t u v w x"
+    rows = [(5, a), (5, b), (9, b), (7, a), (3, "other words here for you all"), (None, b), (4, None)]
+    got = nj.ngram_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in got) == sorted(
+        [(5, 4, 5), (5, 4, 5), (9, 4, 5), (7, 4, 5), (3, 2, 3), (0, 4, 0), (4, 0, 4)]
+    )
+
+
+def test_clashing_names_are_carried(spark):
+    names = ["__row", "__stay", "__id", "row", "class", "first", "n_shingles", "component_id", "a.b"]
+    df = spark.createDataFrame([(5, "a b c d e f"), (9, "a b c d e f")], "doc_id long, text string")
+    df = df.selectExpr("*", *[f"{k} as `{n}`" for k, n in enumerate(names)])
+    (r,) = nj.keep_one(df).collect()
+    assert nj.keep_one(df).columns == df.columns and r.doc_id == 5 and [r[n] for n in names] == list(range(len(names)))
 
 
 def test_repeated_rows_null_ids_and_empty(spark):

@@ -13,9 +13,10 @@
 4. In the other groups sets are stored in a radix trie in the global order and
    the members run down it: paths that stored sets share are overlapped once. A
    subtree is cut when what is left of either set cannot reach the required
-   overlap, when all below is in the member's own class, or when a smaller
-   shingle is shared, as that one's group has the pair. Groups of the same
-   documents are one group.
+   overlap, or when all below is in the member's own class. Groups that overlap
+   are joined into one, so that a set is sent once; where that would be more than
+   a trie holds, as in long chains, groups stay apart, and a subtree is also cut
+   when a smaller shingle is shared, as that one's group has the pair.
 5. Links give classes by star contraction.
 
 Exact: no candidate is dropped; hash order and salts only spread the work. Work
@@ -55,7 +56,7 @@ NUM, DEN = 75, 100
 FLUSH, COMMON = 1_500_000, 255
 
 #: Documents that are compared with one smallest in one task; bytes of the sets in
-#: one trie, and members that probe one trie in one task.
+#: one trie, and members that probe one trie in one task (of a joined group: all).
 PROBES, STORED, MEMBERS = 250, 16 << 20, 2_000
 
 _U64, _U32, _U8, _I64, _I32 = np.dtype("<u8"), np.dtype("<u4"), np.dtype("u1"), np.dtype("<i8"), np.dtype("<i4")
@@ -379,22 +380,39 @@ def _with_smallest(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return _run_tries(stored.unionByName(probes))
 
 
+def _joined(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members (grp, doc_id, of) as (root, doc_id, of) of the joined groups that
+    fit into one trie, once a document, and the members of the others."""
+    least = members.groupBy("grp").agg(F.min("doc_id").alias("v"))
+    chained = components(members.join(least, "grp").select(F.col("doc_id").alias("u"), "v"), "op2-chained")
+    bytes_of = sets.select(F.col("doc_id").alias("node"), F.octet_length("keys").cast("long").alias("size"))
+    fits = (F.count(F.lit(1)) <= MEMBERS) & (F.sum("size") <= STORED)
+    small = materialize(chained.join(bytes_of, "node").groupBy("root").agg(fits.alias("fits")), "op2-chains")
+    placed = chained.join(small, "root").select(F.col("node").alias("doc_id"), "root", "fits")
+    whole = members.select("doc_id", "of").distinct().join(placed.filter("fits").drop("fits"), "doc_id")
+    return whole, members.join(placed.filter("not fits").select("doc_id"), "doc_id", "left_semi")
+
+
 def _within(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Links of members (grp, doc_id, of) across classes; grp is the group's key."""
-    rows = members.join(sets.select("doc_id", "n", "keys"), "doc_id")
+    sets = sets.select("doc_id", "n", "keys")
+    whole, members = _joined(members, sets)
+    zero = F.lit(0)
+    columns = ["doc_id", "of", "first", "n", "keys"]
+    whole = whole.join(sets, "doc_id").withColumn("first", zero.cast("long")).select(
+        F.col("root").alias("grp"), zero.alias("block"), zero.alias("salt"), F.lit(BOTH).alias("act"), *columns
+    )
+    members = materialize(members, "op2-apart")
+    rows = members.join(sets, "doc_id").withColumn("first", F.col("grp"))
     size = members.join(sets.select("doc_id", F.octet_length("keys").cast("long").alias("size")), "doc_id").groupBy("grp").agg(
         F.ceil(F.sum("size") / STORED).cast("int").alias("blocks"), F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("salts")
     )
-    rows = rows.join(materialize(size, "op2-sizes-of-groups"), "grp").withColumn("first", F.col("grp"))
-    zero, one = F.lit(0), F.expr("blocks = 1 and salts = 1")
-    columns = ["doc_id", "of", "first", "n", "keys"]
-    whole = rows.filter(one).select("grp", zero.alias("block"), zero.alias("salt"), F.lit(BOTH).alias("act"), *columns)
-    cut = rows.filter(~one)
-    stored = cut.select(
+    rows = rows.join(materialize(size, "op2-sizes-of-groups"), "grp")
+    stored = rows.select(
         "grp", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.col("blocks")).cast("int").alias("block"),
         F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"), F.lit(STORE).alias("act"), *columns,
     )
-    probes = cut.select(
+    probes = rows.select(
         "grp", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"),
         F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int").alias("salt"), F.lit(PROBE).alias("act"), *columns,
     )
