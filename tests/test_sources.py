@@ -80,11 +80,16 @@ LD = {
 SCRIPT = "<script type='application/ld+json'>{bad</script><script type='application/ld+json'>%s</script>"
 
 
-def one(site, page):
-    return list(p.SITES[site](page, NOW))
+@pytest.fixture
+def one(spark):
+    def parse(site, *pages):
+        df = spark.createDataFrame([(p,) for p in pages], "page string")
+        return [r.asDict() for r in p.parse_postings(df, site, NOW).collect()]
 
+    return parse
 
-def test_itviec():
+
+def test_itviec(one):
     page = f"""<html><head><link rel="canonical" href=" https://itviec/1 ">{SCRIPT % json.dumps(LD)}</head><body><h1>Dev  Ops</h1><h3><a href="/c">Co</a></h3>
     <div class="x text-rich-grey text-truncate">Hanoi</div><span>Hybrid</span><a class="itag">Go</a><a class="itag">Go</a>
     <h2>Job description</h2><p>Intro</p><ul><li>One<li>Two</ul><h2>Your skills and experience</h2><div>- a<br>- b</div>
@@ -98,17 +103,25 @@ def test_itviec():
     assert one("itviec", "<p>no job</p>") == []
 
 
-def test_topcv():
+def test_topcv(one):
     (r,) = one("topcv", f"<h1>Dev</h1><div class='box-job-information-detail-item'>Làm việc từ xa</div>{SCRIPT % json.dumps(LD)}")
     assert (r["salary_type"], r["salary_min_usd"], r["salary_max_usd"]) == ("RANGE", 1000, 2000)
     assert (r["responsibilities"], r["skills"], r["nice_to_have"], r["benefits"]) == (["Do it"], ["Must"], ["May"], ["Pay"])
     assert (r["location"], r["work_arrangement"], r["tech_stack"], r["company_url"]) == ("Hồ Chí Minh", "REMOTE", ["Python", "SQL"], "https://org")
-    for value, want in [({"minValue": 25e6, "maxValue": 25e6}, ("FIXED", 1000, 1000)), ({"value": 5e7}, ("FIXED", 2000, 2000)), ({"minValue": -1}, ("NEGOTIABLE", None, None)), ({"maxValue": "62500"}, ("UP_TO", None, 2))]:
+    cases = [
+        ({"minValue": 25e6, "maxValue": 25e6}, ("FIXED", 1000, 1000)), ({"value": 5e7}, ("FIXED", 2000, 2000)),
+        ({"minValue": -1}, ("NEGOTIABLE", None, None)), ({"maxValue": "62500"}, ("UP_TO", None, 2)), ({"value": "agreed"}, ("NEGOTIABLE", None, None)),
+    ]
+    for value, want in cases:
         (r,) = one("topcv", "<h1>D</h1>" + SCRIPT % json.dumps(LD | {"baseSalary": {"currency": "VND", "value": value}}))
         assert (r["salary_type"], r["salary_min_usd"], r["salary_max_usd"]) == want
+    page = f"""<div class="address"><span class="city-text">Huế</span></div><p class="company-name">Own name</p>
+    <div class="box-company-info-detail__list--item-label">Quy mô:</div><div>50 người</div>{SCRIPT % json.dumps({"@type": "JobPosting", "title": " T ", "jobBenefits": "- a<br>- b"})}"""
+    (r,) = one("topcv", page)
+    assert (r["title"], r["company_name"], r["location"], r["company_size"], r["benefits"]) == ("T", "Own name", "Huế", "50 người", ["a", "b"])
 
 
-def test_careerviet():
+def test_careerviet(one):
     body = """<h1>Kế toán</h1><section class="job-detail-content"><ul><li><strong>Lương:</strong><p>18 - 25 Triệu VND</p></li></ul>
     <div class="detail-row"><h2>MÔ TẢ CÔNG VIỆC</h2><p>- Fully remote</p><p>x</p></div></section><ul class="welfare-list"><li>A</li><li>A</li></ul>"""
     ld = LD | {"baseSalary": {"value": {"value": "Cạnh tranh"}}, "datePosted": "2026-12-30T01:02:03Z"}
@@ -119,7 +132,7 @@ def test_careerviet():
     assert (r["salary_type"], r["salary_min_usd"]) == ("RANGE", 900)
 
 
-def test_indeed():
+def test_indeed(one):
     cards = [
         {"displayTitle": "D", "jobkey": "k", "company": " C ", "companyOverviewLink": "/cmp/x", "snippet": "<b>Hi }</b> { there…", "pubDate": 1793577600000 - 86_400_000 * 2, "remoteLocation": True,
          "extractedSalary": {"min": 120e6, "max": 240e6, "type": "YEARLY"}, "rankedBenefits": [{"label": "A"}, {"label": "A"}, None]},
@@ -155,5 +168,19 @@ def test_courses(spark):
 
 def test_postings_as_rows(spark):
     df = spark.createDataFrame([("<h1>Dev</h1>",), (None,), ("<p>",)], "page string")
-    rows = p.parse_postings(df, "itviec", NOW).collect()
+    out = p.parse_postings(df, "itviec", NOW)
+    rows = out.collect()
     assert len(rows) == 1 and rows[0].title == "Dev" and rows[0].job_id is None
+    assert [f.dataType for f in out.schema] == [f.dataType for f in JOB_POSTING]
+
+
+def test_parents_are_those_of_the_same_page(spark):
+    def page(path, module):
+        return json.dumps({"source": "mslearn", "page": json.dumps({
+            "modules": [{"uid": module, "url": f"https://l/{module}", "title": "M"}],
+            "learningPaths": [{"uid": path, "url": f"https://l/{path}", "title": "P", "type": "learningPath", "modules": ["m1", "m2", "m1"]}],
+        })})
+
+    df = spark.createDataFrame([(page("p1", "m1"),), (page("p2", "m2"),), (page("p1", "m1"),), (None,)], "page string")
+    got = sorted((r.uid, tuple(r.parent_uids)) for r in p.parse_courses(df, NOW).collect())
+    assert got == [("m1", ("p1",)), ("m1", ("p1",)), ("m2", ("p2",)), ("p1", ()), ("p1", ()), ("p2", ())]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tidemark.operators.medallion import first_by
+from tidemark.session import materialize
 
 NAME_BYTES = 2_000
 
@@ -76,12 +77,12 @@ def upsert_lookup(target: DataFrame, names: DataFrame, id_column: str = "id", na
         .join(target.select(name_column), name_column, "left_anti")
     )
     parts = fresh.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ranged = fresh.repartitionByRange(int(parts), name_column).withColumn("__part", F.spark_partition_id())
-    top = target.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("long").alias("__top"))
+    # written, as a second evaluation could range names in another way
+    ranged = materialize(fresh.repartitionByRange(int(parts), name_column).withColumn("__part", F.spark_partition_id()), "new-names")
     counts = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
     offsets = counts.select(F.col("__part").alias("__p"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__skip"))
-    first = top.first()[0]
+    first = target.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("long")).first()[0]
     rank = F.row_number().over(Window.partitionBy("__part").orderBy(name_column))
     numbered = ranged.withColumn("__rank", rank).join(F.broadcast(offsets), F.col("__part") == F.col("__p"))
     new = numbered.select((F.lit(first) + F.col("__skip") + F.col("__rank")).cast("long").alias(id_column), name_column)
@@ -122,20 +123,24 @@ def hierarchy(rows: DataFrame, uid: str = "uid", children: str = "child_uids") -
     )
 
 
-def resolve_parents(rows: DataFrame, kind: str = "LEARNING_PATH") -> DataFrame:
-    """``rows`` (one crawled page set) with ``parent_uids``: for every container
-    its uid at each child that is there, in container order; containers are
-    ordered by ``position``."""
+def resolve_parents(rows: DataFrame, kind: str = "LEARNING_PATH", scope: list[str] = ()) -> DataFrame:
+    """``rows`` with ``parent_uids``: for every container its uid at each child
+    that is there (in the same ``scope``, such as a page), in container order;
+    containers are ordered by ``position``."""
+    scope = list(scope)
     parents = (
         rows.filter((F.col("content_kind") == kind) & F.col("uid").isNotNull())
-        .select(F.col("uid").alias("parent"), F.col("position").alias("at"), F.explode("child_uids").alias("child"))
+        .select(*[F.col(c).alias(f"of_{c}") for c in scope], F.col("uid").alias("parent"), F.col("position").alias("at"), F.explode("child_uids").alias("child"))
         .distinct()
-        .groupBy("child")
+        .groupBy("child", *[f"of_{c}" for c in scope])
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "parent"))), lambda s: s["parent"]).alias("found"))
     )
-    joined = rows.drop("parent_uids").join(parents, F.col("uid") == F.col("child"), "left")
+    same = F.col("uid") == F.col("child")
+    for c in scope:
+        same = same & (F.col(c) == F.col(f"of_{c}"))
+    joined = rows.drop("parent_uids").join(parents, same, "left")
     empty = F.array().cast("array<string>")
-    return joined.withColumn("parent_uids", F.coalesce(F.array_distinct("found"), empty)).drop("child", "found")
+    return joined.withColumn("parent_uids", F.coalesce(F.array_distinct("found"), empty)).drop("child", "found", *[f"of_{c}" for c in scope])
 
 
 def partial_containers(rows: DataFrame) -> DataFrame:
