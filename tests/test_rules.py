@@ -39,18 +39,18 @@ def test_faulty_role_rules(families, seniority):
         r.RoleRules(families, seniority)
 
 
-TAGS = r.TagMap(VOCABULARY, {"container orchestration": "Kubernetes"}, ["Data Engineer"], ["history"])
+TAGS = r.TagMap(VOCABULARY, {"container orchestration": "Terraform"}, ["Data Engineer"], ["history"])
 
 
 def test_tags(spark):
-    tags = ["Container  Orchestration", "k8s", "data engineer", "History", "what", "", None, "developer"]
+    tags = ["Container  Orchestration", "tf", "data engineer", "History", "what", "", None, "engineer"]
     df = spark.createDataFrame([(t,) for t in tags], "tag string")
     assert [x[0] for x in df.select(TAGS.classify(F.col("tag"))).collect()] == ["skill", "skill", "role", "subject", None, None, None, None]
-    rows = spark.createDataFrame([(1, ["what", "k8s", "reactjs", "container orchestration"])], "id int, tags array<string>")
-    assert TAGS.skills_of(rows, "id", "tags").collect()[0].skills == ["Kubernetes", "React"]
+    rows = spark.createDataFrame([(1, ["what", "tf", "sveltejs", "container orchestration"])], "id int, tags array<string>")
+    assert TAGS.skills_of(rows, "id", "tags").collect()[0].skills == ["Terraform", "Svelte"]
     for bad in ({"x": "Cobol"}, None):
         with pytest.raises(r.RuleError):
-            r.TagMap(VOCABULARY, bad or {}, ["k8s"])
+            r.TagMap(VOCABULARY, bad or {}, ["tf"])
     with pytest.raises(r.RuleError):
         r.TagMap(VOCABULARY, {}, ["a", "A"])
 
@@ -59,18 +59,18 @@ def test_course_skills_and_edges(spark):
     schema = "id string, url string, title string, summary string, tags array<string>, source string, content_kind string"
     df = spark.createDataFrame(
         [
-            ("t", "u1", "Learn Python", "with reactjs and Python", ["k8s"], "s", "COURSE"),
-            ("m", "u2", "Learning", "about golang", [], "s", "COURSE"),
-            ("g", "u3", "Nothing", None, ["k8s"], "s", "COURSE"),
-            ("o", "u4", "Python and React", None, None, "s", "COURSE"),
+            ("t", "u1", "Learn Rust", "with sveltejs and Rust", ["tf"], "s", "COURSE"),
+            ("m", "u2", "Learning", "about cplusplus", [], "s", "COURSE"),
+            ("g", "u3", "Nothing", None, ["tf"], "s", "COURSE"),
+            ("o", "u4", "Rust and Svelte", None, None, "s", "COURSE"),
         ],
         schema,
     )
-    out = r.course_skills(df, VOCABULARY, TAGS, {"u4": {"teaches": ["Go", "C#"], "deny": ["React"]}})
+    out = r.course_skills(df, VOCABULARY, TAGS, {"u4": {"teaches": ["C++", "F#"], "deny": ["Svelte"]}})
     got = {x.id: (x.teaches, x.mentions) for x in out.collect()}
-    assert got["t"] == (["Python"], ["Kubernetes", "React"])
-    assert got["m"] == ([], ["Go"]) and got["g"] == ([], ["Kubernetes"])
-    assert got["o"] == (["Python", "C#", "Go"], [])
+    assert got["t"] == (["Rust"], ["Terraform", "Svelte"])
+    assert got["m"] == ([], ["C++"]) and got["g"] == ([], ["Terraform"])
+    assert got["o"] == (["Rust", "C++", "F#"], [])
     edges = r.course_edges(out)
     assert {x.id for x in edges.collect()} == {"t", "o"}
     assert {x.relation: x.n for x in reports.relation_counts(edges).collect()} == {"teaches": 4, "mentions": 2}

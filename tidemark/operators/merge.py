@@ -8,6 +8,9 @@ input again gives the same table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -197,3 +200,79 @@ def check_failures(tried: int, failed: int, limit: float = 0.25) -> None:
     """Raises after the writes if too many items failed."""
     if tried and failed / tried > limit:
         raise RuntimeError(f"{failed} of {tried} items failed")
+
+
+# --- whole reconciles: planned first, written only when told to ---------------
+
+
+@dataclass
+class Change:
+    """A planned rewrite of a table: what is there, what shall be, and by which
+    columns a row is told. Nothing is written unless ``dry_run`` is off."""
+
+    before: DataFrame
+    after: DataFrame
+    keys: list[str]
+
+    def counts(self) -> DataFrame:
+        """(change, n): rows added, removed and kept."""
+        return diff(self.before, self.after, self.keys)
+
+    def apply(self, write: Callable[[DataFrame], None], dry_run: bool = True) -> dict[str, int]:
+        """The counts; ``write`` gets the new table if this is no dry run. It is
+        written to scratch first, as it may read what it replaces."""
+        planned = materialize(self.after.select(*self.before.columns), "planned")
+        counts = {r.change: r.n for r in Change(self.before, planned, self.keys).counts().collect()}
+        if not dry_run:
+            write(planned)
+        return counts
+
+
+def ids_of(names: DataFrame, lookup: DataFrame, column: str, as_id: str, id_column: str = "id", name_column: str = "name") -> DataFrame:
+    """``names`` with the id of each name; a name that the lookup lacks is an error."""
+    ids = lookup.select(F.col(id_column).alias(as_id), F.col(name_column).alias("__name"))
+    joined = names.join(ids, F.col(column) == F.col("__name"), "left").drop("__name")
+    absent = [r[0] for r in joined.filter(F.col(as_id).isNull()).select(column).distinct().orderBy(column).limit(20).collect()]
+    if absent:
+        raise LookupError(f"not in the lookup: {', '.join(map(str, absent))}")
+    return joined.drop(column)
+
+
+def course_skills_change(target: DataFrame, edges: DataFrame, lookup: DataFrame) -> Change:
+    """Full rebuild of (course_id, skill_id, relation) from (id, skill, relation)."""
+    after = ids_of(edges.withColumnRenamed("id", "course_id"), lookup, "skill", "skill_id")
+    return Change(target, after.select("course_id", "skill_id", "relation").distinct(), ["course_id", "skill_id", "relation"])
+
+
+def prerequisites_change(target: DataFrame, edges: DataFrame, lookup: DataFrame) -> Change:
+    """(skill_id, requires_skill_id, evidence_kind, why, curated_by) as declared:
+    edges that are no longer declared go."""
+    after = ids_of(ids_of(edges, lookup, "skill", "skill_id"), lookup, "requires", "requires_skill_id")
+    return Change(target, after, ["skill_id", "requires_skill_id"])
+
+
+def terms_change(target: DataFrame, terms: DataFrame, lookup: DataFrame) -> Change:
+    """(term, skill_id, scannable) from the vocabulary's (term, skill, scannable)."""
+    return Change(target, ids_of(terms, lookup, "skill", "skill_id"), ["term", "skill_id", "scannable"])
+
+
+def courses_upsert(target: DataFrame, courses: DataFrame, clock: Column) -> DataFrame:
+    """Courses over the serving table, by id; ``updated_at`` of changed rows only."""
+    columns = [c for c in target.columns if c not in ("id", "updated_at") and c in courses.columns]
+    known = target.select("id").join(courses.select("id"), "id", "left_semi")
+    changed = differing(target, courses, "id", columns).select("id").unionByName(courses.select("id").join(known, "id", "left_anti"))
+    return upsert(target, courses.join(changed, "id", "left_semi").select("id", *columns), ["id"], touch=clock, touched="updated_at")
+
+
+def route_fields(jobs: DataFrame, lookups: dict[str, str]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """For each array column of ``lookups`` (column -> lookup) the distinct usable
+    (job_id, name) pairs, and (column, names, too_long) of what was left out."""
+    pairs = {c: jobs.select("job_id", F.explode(c).alias("name")).distinct() for c in lookups}
+    routed = {c: p.filter(usable_name(F.col("name"))) for c, p in pairs.items()}
+    counts = None
+    for c, p in pairs.items():
+        names = p.select("name").filter("name <> ''").distinct()
+        row = names.agg(F.count(F.lit(1)).alias("names"), F.count_if(~usable_name(F.col("name"))).alias("too_long"))
+        row = row.select(F.lit(c).alias("column"), "names", "too_long")
+        counts = row if counts is None else counts.unionByName(row)
+    return routed, counts

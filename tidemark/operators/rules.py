@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import Vocabulary, normalise, normalise_value
+from tidemark.session import discard, materialize
 
 UNKNOWN, AMBIGUOUS = "UNKNOWN", "AMBIGUOUS"
 TIERS = ["role", "qualifier"]
@@ -26,48 +27,58 @@ class RuleError(ValueError):
     """A rule table contradicts itself or names what does not exist."""
 
 
-def load_yaml(path: str) -> dict:
+def load_sections(path: str, sections: set[str]) -> dict:
+    """The mapping in a YAML file, which may have these sections and no others."""
     import yaml
 
     with open(path, encoding="utf-8") as f:
-        return yaml.safe_load(f) or {}
+        doc = yaml.safe_load(f) or {}
+    if not isinstance(doc, dict):
+        raise RuleError(f"{path} holds no mapping")
+    require([f"{path}: unknown section {x!r}" for x in sorted(map(str, set(doc) - sections))])
+    return doc
+
+
+def require(faults: list[str]) -> None:
+    """All faults of a table at once."""
+    if faults:
+        raise RuleError("; ".join(faults))
+
+
+def shared(pairs: list[tuple[str, str]]) -> list[str]:
+    """A fault for each key that stands with two owners, or twice with one."""
+    owners: dict[str, list[str]] = {}
+    for key, owner in pairs:
+        owners.setdefault(key, []).append(owner)
+    return [f"{key!r} belongs to {' and '.join(found)}" for key, found in owners.items() if len(found) > 1]
 
 
 @dataclass
 class RoleRules:
-    """families: family -> tier -> patterns; seniority: level -> patterns."""
+    """families: family -> tier -> patterns, or a list of role patterns;
+    seniority: level -> patterns."""
 
-    families: dict[str, dict[str, list[str]]]
+    families: dict[str, dict[str, list[str]] | list[str]]
     seniority: dict[str, list[str]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        owner: dict[str, str] = {}
-        self.patterns: list[tuple[str, str, str]] = []
-        for family, tiers in self.families.items():
-            if family in (UNKNOWN, AMBIGUOUS):
-                raise RuleError(f"{family} is a result, not a family")
-            if not any((tiers or {}).values()):
-                raise RuleError(f"{family} has no pattern")
-            for tier, patterns in tiers.items():
-                if tier not in TIERS:
-                    raise RuleError(f"{family}: unknown tier {tier}")
-                for p in patterns or []:
-                    key = normalise_value(p)
-                    if not key:
-                        raise RuleError(f"{family}: an empty pattern")
-                    if owner.setdefault(key, family) != family:
-                        raise RuleError(f"{key!r} belongs to {owner[key]} and {family}")
-                    self.patterns.append((family, key, tier))
-        unknown = set(self.seniority) - set(SENIORITY)
-        if unknown:
-            raise RuleError(f"unknown seniority: {sorted(unknown)}")
+        tiered = {f: {TIERS[0]: x} if isinstance(x, list) else (x or {}) for f, x in self.families.items()}
+        rows = [(family, normalise_value(p), tier) for family, tiers in tiered.items() for tier, found in tiers.items() for p in found or []]
+        self.patterns = list(dict.fromkeys(rows))
+        with_any = {family for family, key, _ in rows if key}
+        require(
+            [f"{family} is a result, not a family" for family in tiered if family in (UNKNOWN, AMBIGUOUS)]
+            + [f"{family} has no pattern" for family in tiered if family not in with_any]
+            + [f"{family}: unknown tier {tier}" for family, tiers in tiered.items() for tier in tiers if tier not in TIERS]
+            + [f"{family}: an empty pattern" for family, key, _ in rows if not key]
+            + shared(list(dict.fromkeys((key, family) for family, key, _ in rows)))
+            + [f"unknown seniority {level}" for level in self.seniority if level not in SENIORITY]
+        )
 
     @classmethod
     def from_yaml(cls, path: str) -> RoleRules:
-        doc = load_yaml(path)
-        if extra := set(doc) - {"families", "seniority"}:
-            raise RuleError(f"unknown sections: {sorted(extra)}")
-        return cls(doc.get("families") or {}, doc.get("seniority") or {})
+        doc = load_sections(path, {"families", "seniority"})
+        return cls(doc.get("families") or {}, {k: v or [] for k, v in (doc.get("seniority") or {}).items()})
 
     def classify(self, key: Column) -> Column:
         """struct(family, seniority, matched) of a normalised title: substring
@@ -123,24 +134,22 @@ class TagMap:
     subjects: list[str] = field(default_factory=list)
 
     def __post_init__(self) -> None:
-        self.skill_of: dict[str, str] = {}
-        for tag, name in self.skills.items():
-            if name not in self.vocabulary.kinds:
-                raise RuleError(f"tag {tag!r}: {name!r} is not in the vocabulary")
-            self.skill_of[normalise_value(tag)] = name
-        self.kind_of: dict[str, str] = {}
-        for kind, tags in (("role", self.roles), ("subject", self.subjects)):
-            for tag in tags:
-                key = normalise_value(tag)
-                if key in self.skill_of or key in self.kind_of:
-                    raise RuleError(f"tag {tag!r} is listed twice")
-                if self.vocabulary.exact(tag):
-                    raise RuleError(f"tag {tag!r} is a skill by the vocabulary")
-                self.kind_of[key] = kind
+        self.skill_of = {normalise_value(tag): name for tag, name in self.skills.items()}
+        labels = [(normalise_value(tag), kind) for kind, tags in (("role", self.roles), ("subject", self.subjects)) for tag in tags]
+        self.kind_of = dict(labels)
+        require(
+            [f"tag {tag!r}: {name!r} is not in the vocabulary" for tag, name in self.skills.items() if name not in self.vocabulary.kinds]
+            + shared([(tag, "skill") for tag in self.skill_of] + labels)
+            + [f"tag {tag!r} is a skill by the vocabulary" for tag, _ in labels if self.vocabulary.exact(tag)]
+        )
+
+    @classmethod
+    def from_yaml(cls, path: str, vocabulary: Vocabulary) -> TagMap:
+        doc = load_sections(path, {"skill", "role", "subject"})
+        return cls(vocabulary, doc.get("skill") or {}, doc.get("role") or [], doc.get("subject") or [])
 
     def _tables(self) -> tuple[dict[str, str], dict[str, str]]:
-        names = {t: c for t, c in self.vocabulary.lookup.items() if t not in self.vocabulary.dropped}
-        return names | self.skill_of, self.kind_of
+        return self.vocabulary.tags | self.skill_of, self.kind_of
 
     def classify(self, tag: Column) -> Column:
         """skill, role, subject or null."""
@@ -167,6 +176,30 @@ def _literal(table: dict[str, str], key: Column) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key)
 
 
+def load_overrides(path: str, known: set[str]) -> dict[str, dict[str, list[str]]]:
+    """url -> teaches and deny, from lists of urls with skills; no file, no rule."""
+    from pathlib import Path
+
+    doc = load_sections(path, {"teaches", "deny"}) if Path(path).exists() else {}
+    entries = [(part, x if isinstance(x, dict) else {}) for part in ("teaches", "deny") for x in doc.get(part) or []]
+    require(
+        [f"{part}: an entry without a url" for part, x in entries if not x.get("url")]
+        + [f"{part}: {name!r} is not in the vocabulary" for part, x in entries for name in x.get("skills") or [] if name not in known]
+    )
+    out: dict[str, dict[str, list[str]]] = {}
+    for part, x in entries:
+        rule = out.setdefault(x["url"], {"teaches": [], "deny": []})
+        rule[part] = sorted({*rule[part], *(x.get("skills") or [])})
+    return out
+
+
+def _by_url(overrides: dict[str, dict], part: str) -> Column:
+    """The skills that an override lists for a row's url, as a literal map."""
+    empty = F.array().cast("array<string>")
+    pairs = [x for url, rule in overrides.items() for x in (F.lit(url), F.array(*map(F.lit, sorted(rule.get(part) or []))).cast("array<string>"))]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("url")), empty) if pairs else empty
+
+
 def course_skills(courses: DataFrame, vocabulary: Vocabulary, tag_map: TagMap, overrides: dict[str, dict] | None = None) -> DataFrame:
     """(id, teaches, mentions): a title teaches, what else is said mentions. An
     override by url adds curated skills to what is taught and, last of all,
@@ -182,19 +215,12 @@ def course_skills(courses: DataFrame, vocabulary: Vocabulary, tag_map: TagMap, o
     mapped = tag_map.skills_of(courses, "id", "tags")
     joined = base.join(mapped.withColumnRenamed("id", "m_id"), F.col("id") == F.col("m_id"), "left")
     everything = F.array_union("everything", F.coalesce("skills", empty))
-    out = joined.select("id", "url", "teaches", F.array_except(everything, F.col("teaches")).alias("mentions"))
-    for url, rule in (overrides or {}).items():
-        here = F.col("url") == url
-        teach = F.array(*[F.lit(s) for s in sorted(rule.get("teaches") or [])]).cast("array<string>")
-        deny = F.array(*[F.lit(s) for s in rule.get("deny") or []]).cast("array<string>")
-        taught = F.array_union("teaches", teach)
-        out = out.select(
-            "id",
-            "url",
-            F.when(here, F.array_except(taught, deny)).otherwise(F.col("teaches")).alias("teaches"),
-            F.when(here, F.array_except(F.array_except("mentions", teach), deny)).otherwise(F.col("mentions")).alias("mentions"),
-        )
-    return out.drop("url")
+    taught, denied = F.array_union("teaches", _by_url(overrides or {}, "teaches")), _by_url(overrides or {}, "deny")
+    return joined.select(
+        "id",
+        F.array_except(taught, denied).alias("teaches"),
+        F.array_except(F.array_except(everything, taught), denied).alias("mentions"),
+    )
 
 
 def course_edges(matched: DataFrame) -> DataFrame:
@@ -213,25 +239,33 @@ class Prerequisites:
     known: set[str]
 
     def __post_init__(self) -> None:
-        seen = set()
-        for e in self.edges:
-            pair = (e.get("skill"), e.get("requires"))
-            for name in pair:
-                if name not in self.known:
-                    raise RuleError(f"unknown skill {name!r}")
-            if pair[0] == pair[1]:
-                raise RuleError(f"{pair[0]} requires itself")
-            if pair in seen:
-                raise RuleError(f"{pair[0]} requires {pair[1]} twice")
-            if e.get("evidence") not in EVIDENCE:
-                raise RuleError(f"{pair}: evidence {e.get('evidence')!r}")
-            for need in ("why", "curator"):
-                if not str(e.get(need) or "").strip():
-                    raise RuleError(f"{pair}: no {need}")
-            seen.add(pair)
-        self.pairs = seen
+        pairs = [(e.get("skill"), e.get("requires")) for e in self.edges]
+        self.pairs = set(pairs)
+        require(
+            [f"unknown skill {name!r}" for pair in pairs for name in pair if name not in self.known]
+            + [f"{a} requires itself" for a, b in pairs if a == b]
+            + [f"{a} requires {b} twice" for a, b in self.pairs if pairs.count((a, b)) > 1]
+            + [f"{e.get('skill')}: evidence {e.get('evidence')!r}" for e in self.edges if e.get("evidence") not in EVIDENCE]
+            + [f"{e.get('skill')}: no {need}" for e in self.edges for need in ("why", "curator") if not str(e.get(need) or "").strip()]
+        )
         self._levels(self.known)  # raises on a cycle
 
+    @classmethod
+    def from_yaml(cls, path: str, known: set[str]) -> Prerequisites:
+        """Edges with the file's curator, kind and reason where they name none of their own."""
+        doc = load_sections(path, {"curated_by", "prerequisites"})
+        curator = str(doc.get("curated_by") or "").strip()
+        require([] if curator else [f"{path}: no curator"])
+        listed = [x if isinstance(x, dict) else {} for x in doc.get("prerequisites") or []]
+        edges = [
+            {
+                "skill": x.get("skill"), "requires": x.get("requires"), "evidence": x.get("evidence_kind", EVIDENCE[0]),
+                "why": str(x.get("why") or "").strip(), "curator": str(x.get("by") or curator).strip(),
+            }
+            for x in listed
+        ]
+        return cls(edges, known)
+
     def required_by(self, skill: str) -> list[str]:
         return sorted(r for s, r in self.pairs if s == skill)
 
@@ -257,22 +291,30 @@ class Prerequisites:
 
 
 def layers_of(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(skill, layer) by recursion in SQL: the longest chain of requirements
-    below a node. ``edges`` (skill, requires) must have no cycle."""
-    spark = edges.sparkSession
-    edges.createOrReplaceTempView("__edges")
-    nodes.createOrReplaceTempView("__nodes")
-    return spark.sql(
-        """
-        with recursive inside as (
-          select e.skill, e.requires from __edges e
-          left semi join __nodes a on e.skill = a.skill left semi join __nodes b on e.requires = b.skill),
-        walk (skill, layer) as (
-          select skill, 0 from __nodes
-          union all select i.skill, w.layer + 1 from walk w join inside i on i.requires = w.skill)
-        select skill, max(layer) as layer from walk group by skill
-        """
+    """(skill, layer): the longest chain of requirements below a node, over the
+    edges (skill, requires) within ``nodes``. Rounds peel off what requires
+    nothing that is left; each is a written table, and a cycle is an error."""
+    names = nodes.select("skill").distinct()
+    left = materialize(names, "layers-left")
+    bound = materialize(
+        edges.select("skill", "requires").distinct().join(names, "skill", "left_semi").join(names.withColumnRenamed("skill", "requires"), "requires", "left_semi"),
+        "layers-edges",
     )
+    out, layer = None, 0
+    while not left.isEmpty():
+        held = bound.select("skill").distinct()
+        ready = materialize(left.join(held, "skill", "left_anti").withColumn("layer", F.lit(layer)), f"layer-{layer}")
+        if ready.isEmpty():
+            raise RuleError("the requirements hold a cycle")
+        out = ready if out is None else out.unionByName(ready)
+        done = ready.select("skill")
+        before = left, bound
+        left = materialize(left.join(done, "skill", "left_anti"), "layers-left")
+        bound = materialize(bound.join(done.withColumnRenamed("skill", "requires"), "requires", "left_anti"), "layers-edges")
+        discard(*before)
+        layer += 1
+    discard(left, bound)
+    return names.withColumn("layer", F.lit(0)) if out is None else out
 
 
 # --- replies of a language model ---------------------------------------------

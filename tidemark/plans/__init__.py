@@ -1,3 +1,3 @@
 """Registered queries."""
 
-from tidemark.plans import queries  # noqa: F401
+from tidemark.plans import derived, queries  # noqa: F401

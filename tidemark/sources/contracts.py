@@ -119,19 +119,36 @@ def _fits(kind, value) -> bool:
 
 def invalid_rows(df: DataFrame, schema: dict) -> DataFrame:
     """Rows that break the contract, with the fields at fault: nulls where none
-    may be, and enum values outside their symbols."""
+    may be, also in arrays, enum values outside their symbols, numbers that the
+    declared width does not hold, and text that is no number or boolean."""
     faults = []
     for f in schema["fields"]:
         nullable, kind = branches(f["type"])
         column = F.col(f["name"]) if f["name"] in df.columns else F.lit(None)
         if not nullable:
             faults.append(F.when(column.isNull(), F.lit(f["name"])))
-        if isinstance(kind, dict) and kind["type"] == "enum":
-            faults.append(F.when(column.isNotNull() & ~column.isin(*kind["symbols"]), F.lit(f["name"])))
+        wrong = _out_of_range(kind, column)
+        if wrong is not None:
+            faults.append(F.when(column.isNotNull() & wrong, F.lit(f["name"])))
     listed = F.filter(F.array(*faults), lambda x: x.isNotNull()) if faults else F.array().cast("array<string>")
     return df.withColumn("faults", listed).filter(F.size("faults") > 0)
 
 
+def _out_of_range(kind, column: Column) -> Column | None:
+    """Whether a value that is there does not fit its declared type."""
+    name = _name(kind)
+    if name == "enum":
+        return ~column.cast("string").isin(*kind["symbols"])
+    if name == "array":
+        item = branches(kind["items"])
+        inner = F.exists(column, lambda x: x.isNull()) if not item[0] else F.lit(False)
+        return F.coalesce(inner, F.lit(False))
+    if name in ("int", "long", "float", "double", "boolean"):
+        to = {"int": "int", "long": "bigint", "float": "double", "double": "double", "boolean": "boolean"}[name]
+        return column.cast("string").try_cast(to).isNull()
+    return None
+
+
 # --- messages: a zero byte, the schema id (big-endian), Avro binary -----------
 
 
@@ -305,3 +322,40 @@ def plan_topics(wanted: list[str], present: set[str]) -> list[tuple[str, int, in
         name, partitions, replicas = entry.split(":")
         parsed.append((name, int(partitions), int(replicas)))
     return [t for t in parsed if t[0] not in present]
+
+
+def rendered(contract: Contract, schema: dict) -> dict:
+    """What a contract gives a deployment: its table, its subject and its settings."""
+    subject = f"{contract.body['topic']}-value"
+    return {"name": contract.name, "subject": subject, "ddl": to_ddl(schema, contract.name.replace("-", "_")), "environment": contract.environment()}
+
+
+def register(contracts: list[Contract], schemas: dict[str, dict], have: dict[str, str]) -> dict[str, str]:
+    """Subjects whose schema must be registered: new or changed. Schemas are
+    compared in one spelling, so order and blanks of their JSON do not matter."""
+    spelled = lambda schema: json.dumps(schema, sort_keys=True, separators=(",", ":"))
+    out = {}
+    for c in contracts:
+        if c.kind == "producer":
+            subject = f"{c.body['topic']}-value"
+            if have.get(subject) != spelled(schemas[c.body["schema"]]):
+                out[subject] = spelled(schemas[c.body["schema"]])
+    return out
+
+
+def unpinned(documents: list[dict]) -> list[str]:
+    """Images in deployment documents that are not pinned by tag or digest."""
+    found: list[str] = []
+    stack = list(documents)
+    while stack:
+        node = stack.pop()
+        if isinstance(node, dict):
+            image = node.get("image")
+            if isinstance(image, str):
+                name, _, tag = image.rpartition("/")[2].partition(":")
+                if "@sha256:" not in image and tag in ("", "latest"):
+                    found.append(image)
+            stack += node.values()
+        elif isinstance(node, list):
+            stack += node
+    return sorted(set(found))

@@ -42,15 +42,21 @@ def start_sink(
     checkpoint: str,
     parse: Callable[[DataFrame], DataFrame] | None = None,
     seconds: int | None = BATCH_SECONDS,
+    max_records: int = 1_000_000,
+    publish: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
-    """Lands each batch under the day on which it is written. The trigger is by
-    age; the source's cap bounds a batch's size. ``seconds=None`` drains what is
-    there and stops. Each consumer has its own checkpoint."""
+    """Lands each batch under the day on which it is written. A batch is written
+    by age, and within it a file whenever ``max_records`` are full; the source's
+    cap bounds a batch. ``publish`` gets the parsed rows after they have landed,
+    so a crash between repeats them. ``seconds=None`` drains what is there and
+    stops. Each consumer has its own checkpoint."""
 
     def write(batch: DataFrame, _batch_id: int) -> None:
         rows = parse(batch) if parse else batch
         if not rows.isEmpty():
-            land(rows, path)
+            land(rows, path, max_records=max_records)
+            if publish:
+                publish(rows)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if seconds is None else {"processingTime": f"{seconds} seconds"}
