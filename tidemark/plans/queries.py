@@ -89,9 +89,9 @@ def pending_items(spark, d) -> DataFrame:
     return medallion.pending(table(spark, d, "documents"), table(spark, d, "labels"), "doc_id", "n_chars", 200).select("doc_id", "source")
 
 
-@query("orphan_rows", "select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_orderstatus = 'P' and o_orderkey % 3 = 0)")
+@query("orphan_rows", "select c_custkey, c_name from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_orderstatus = 'P')")
 def orphan_rows(spark, d) -> DataFrame:
-    orders = table(spark, d, "orders").filter("o_orderstatus = 'P' and o_orderkey % 3 = 0").select(F.col("o_custkey").alias("c_custkey"))
+    orders = table(spark, d, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"))
     return merge.orphans(table(spark, d, "customer"), "c_custkey", orders).select("c_custkey", "c_name")
 
 
@@ -416,7 +416,8 @@ def role_classify(spark, d) -> DataFrame:
     f"""
     with p as ({_duck_roles()}), e as (select l_partkey, count(*) as n from lineitem where l_quantity > 45 group by l_partkey)
     select family, count(*)::bigint as postings, count(n)::bigint as with_skills, coalesce(sum(n), 0)::bigint as edges,
-           (family not in ('UNKNOWN', 'AMBIGUOUS') and count(*) >= 50 and count(n) >= 50) as profile
+           (family not in ('UNKNOWN', 'AMBIGUOUS') and count(*) >= 50 and count(n) >= 50) as profile,
+           (1000 * count(*) // (select count(*) from p))::bigint as permille
     from p left join e on l_partkey = p_partkey group by family
     """,
 )
