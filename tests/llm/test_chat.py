@@ -66,3 +66,29 @@ def test_query_has_the_planted_conversation(spark, sf001):
     assert (r.n_turns, r.loss_chars) == (2, len(said))
     assert r.loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
     assert r.turns_sha256 == hashlib.sha256(f"user\n{said}\nassistant\n{said}\n".encode()).hexdigest()
+
+
+def test_long_conversations_go_by_blocks(spark, monkeypatch):
+    monkeypatch.setattr(c, "LONG", 100)
+    rows = [(k, i, "assistant" if i % 2 else "user", f"{NASTY[i % 12]} {i}", 0) for k, n in ((1, 700), (2, 40), (None, 300)) for i in range(n)]
+    rows += [(1, None, "user", "first", 0), (1, 5, "assistant", "<|~", 0), (1, 5, "assistant", "<|", 0)]
+    df = spark.createDataFrame(rows, TURNS)
+    assert c._long(df).count() == 2
+    done = c.format_chats(c.text_turns(df)).select("conv_id", c.read_turns(F.col("formatted")).alias("turns"), c.loss_text(F.col("formatted"), F.col("loss_mask")).alias("loss"))
+    assert {r.conv_id: (len(r.turns), "".join(f"{t.role}\n{t.text}\n" for t in r.turns), r.loss) for r in done.collect()} == brute(rows, 0)
+
+
+def test_ties_are_ordered_by_the_raw_text(spark):
+    """An escape may sort elsewhere than what it stands for."""
+    rows = [(1, 0, "user", t, 0) for t in ["<}", "<|", "<~|", "<", "[INST]", "[~", "<s>", "</s>", None, ""]]
+    df = spark.createDataFrame(rows, TURNS)
+    done = c.format_chats(c.text_turns(df)).select("conv_id", c.read_turns(F.col("formatted")).alias("turns"), F.lit("").alias("loss"))
+    assert {r.conv_id: (len(r.turns), "".join(f"{t.role}\n{t.text}\n" for t in r.turns), r.loss) for r in done.collect()} == brute(rows, 0)
+
+
+def test_a_very_long_text_and_clashing_names(spark):
+    text = "</s>[INST] é " * 100_000
+    df = spark.createDataFrame([(1, 0, "user", text), (1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    df = df.selectExpr("*", *[f"'x' as {n}" for n in ("head", "v", "t", "b", "block", "spans", "segment", "long_id")])
+    done = c.format_chats(c.text_turns(df)).select(c.read_turns(F.col("formatted")).alias("turns"), c.loss_text(F.col("formatted"), F.col("loss_mask")).alias("loss")).first()
+    assert [t.text for t in done.turns] == [text, text] and done.loss == text

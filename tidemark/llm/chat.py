@@ -3,9 +3,11 @@
 A turn is a role and an array of parts (text, image, audio, document). A fold
 visits the parts in order: text is escaped and appended, anything else leaves an
 ordered placeholder, its reference and how many tokens it expands to. The fold
-runs before any shuffle; turns are then joined in blocks of ``BLOCK`` turn
-numbers and blocks into conversations, so a hot conversation is pre-aggregated
-in many tasks before it becomes the one string it has to be.
+runs before any shuffle, and a turn's text is shuffled once. Only turns of long
+conversations (of more than ``LONG`` turns, and so many that at most ``MOST`` are
+long) are first joined in blocks of ``BLOCK`` turn numbers, so that a hot
+conversation is pre-aggregated in many tasks before it becomes the one string
+that it has to be.
 
 The template marks turns with ``<|turn|>role<|says|>content<|end|>``. Control
 strings inside roles and texts (its own and those of common templates) get a
@@ -25,10 +27,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import let, table
+from tidemark.session import materialize
 
 QUERY = "op1_chat_format"
 TURN, SAYS, END = "<|turn|>", "<|says|>", "<|end|>\n"
-BLOCK = 64
+BLOCK, LONG, MOST = 64, 1_024, 100_000
 
 #: Tokens: an image patch's side, audio tokens a second, tokens a document page.
 PATCH, AUDIO_RATE, PAGE = 14, 25, 512
@@ -81,6 +84,48 @@ def _visit(parts: Column, trained: Column) -> Column:
     return F.aggregate(parts, start, step)
 
 
+def _said(body: Column) -> Column:
+    """The text of a turn's body, as it was."""
+    return unescape(F.regexp_replace(body, r"<\|(image|audio|document)\|>", ""))
+
+
+def _in_order(turns: Column) -> Column:
+    """Turns by number, role and text. Texts are only read back where numbers and
+    roles are not enough."""
+    told_apart = F.size(F.array_distinct(F.transform(turns, lambda t: F.struct(t["turn"], t["role"])))) == F.size(turns)
+
+    def body(t: Column) -> Column:
+        return F.substr(t["segment"], t["head"] + 1, F.char_length(t["segment"]) - t["head"] - len(END))
+
+    keyed = F.transform(turns, lambda t: F.struct(t["turn"].alias("a"), t["role"].alias("b"), _said(body(t)).alias("c"), t.alias("t")))
+    by_text = F.transform(F.sort_array(keyed), lambda k: k["t"])
+    return F.when(told_apart, F.sort_array(turns)).otherwise(by_text)
+
+
+def _joined(turns: DataFrame, *keys: str) -> DataFrame:
+    """(keys, text, spans, attachments) of all turns with the same keys."""
+    return (
+        turns.groupBy(*keys)
+        .agg(F.collect_list("t").alias("t"))
+        .select(*keys, _in_order(F.col("t")).alias("t"))
+        .select(
+            *keys,
+            F.array_join("t.segment", "").alias("text"),
+            F.col("t.spans").alias("spans"),
+            F.flatten("t.attachments").alias("attachments"),
+        )
+    )
+
+
+def _long(turns: DataFrame) -> DataFrame:
+    """(long_id) of long conversations: at most ``MOST`` rows."""
+    total = turns.count()
+    return materialize(
+        turns.groupBy(F.col("conv_id").alias("long_id")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max(LONG, total // MOST)).select("long_id"),
+        "op1-long",
+    )
+
+
 def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """From (conv_id, turn, role, parts): conv_id, formatted, loss_mask (a list
     of spans for each turn, counted from the turn's start), attachments in order
@@ -91,14 +136,13 @@ def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
         "conv_id",
         "turn",
         F.col("role").cast("string").alias("role"),
-        F.array_join(F.transform("parts", lambda p: F.coalesce(p["text"], F.lit(""))), "").alias("said"),
         head.alias("head"),
         _visit(F.coalesce(F.col("parts"), F.array().cast(PARTS)), role == loss_role).alias("v"),
     )
     turn = F.struct(
         "turn",
         "role",
-        "said",
+        F.char_length("head").alias("head"),
         F.concat("head", "v.body", F.lit(END)).alias("segment"),
         F.transform(
             "v.spans",
@@ -106,28 +150,25 @@ def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
         ).alias("spans"),
         F.col("v.attachments").alias("attachments"),
     )
-    blocks = (
-        visited.groupBy("conv_id", F.floor(F.col("turn") / BLOCK).alias("block"))
-        .agg(F.sort_array(F.collect_list(turn)).alias("t"))
-        .select(
-            "conv_id",
-            F.struct(
-                "block",
-                F.array_join("t.segment", "").alias("text"),
-                F.col("t.spans").alias("spans"),
-                F.flatten("t.attachments").alias("attachments"),
-            ).alias("b"),
-        )
-    )
-    return (
+    each = visited.select("conv_id", turn.alias("t"))
+    long_ids = F.broadcast(_long(turns))
+    same = F.col("conv_id").eqNullSafe(F.col("long_id"))
+    whole = _joined(each.join(long_ids, same, "left_anti"), "conv_id")
+    cut = each.join(long_ids, same, "left_semi").withColumn("block", F.floor(F.col("t.turn") / BLOCK))
+    blocks = _joined(cut, "conv_id", "block")
+    long_ones = (
         blocks.groupBy("conv_id")
-        .agg(F.sort_array(F.collect_list("b")).alias("b"))
+        .agg(F.sort_array(F.collect_list(F.struct("block", "text", "spans", "attachments"))).alias("b"))
         .select(
             "conv_id",
-            F.array_join("b.text", "").alias("formatted"),
-            F.flatten("b.spans").alias("loss_mask"),
+            F.array_join("b.text", "").alias("text"),
+            F.flatten("b.spans").alias("spans"),
             F.flatten("b.attachments").alias("attachments"),
         )
+    )
+    return (
+        whole.unionByName(long_ones)
+        .select("conv_id", F.col("text").alias("formatted"), F.col("spans").alias("loss_mask"), "attachments")
         .withColumn(
             "expanded_tokens", F.aggregate("attachments", F.lit(0).cast("long"), lambda n, a: n + a["tokens"])
         )
@@ -143,9 +184,7 @@ def read_turns(formatted: Column) -> Column:
             halves,
             lambda h: F.struct(
                 unescape(F.get(h, 0)).alias("role"),
-                unescape(
-                    F.regexp_replace(F.regexp_replace(F.get(h, 1), r"<\|end\|>\n$", ""), r"<\|(image|audio|document)\|>", "")
-                ).alias("text"),
+                _said(F.regexp_replace(F.get(h, 1), r"<\|end\|>\n$", "")).alias("text"),
             ),
         )
 
@@ -178,7 +217,9 @@ def text_turns(rows: DataFrame) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    roles = F.explode(F.array(F.lit("user"), F.lit("assistant"))).alias("role")
+    planted = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), roles, F.lit(said).alias("text"))
+    planted = planted.withColumn("turn", (F.col("role") == "assistant").cast("long"))
     done = format_chats(text_turns(rows.unionByName(planted)))
     read = done.select(
         "conv_id",
