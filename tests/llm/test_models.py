@@ -31,6 +31,41 @@ def test_language_cases(spark):
     assert g.identify(df.limit(0), g.train(df.limit(0))).count() == 0
 
 
+def test_letters_alone_count(spark):
+    rows = [(0, "½ ²"), (1, "①"), (2, "ⅷ"), (3, "٣ _"), (4, "x²"), (5, "日本"), (6, " ́"), (7, "a" * 2_000_000 + " the")]
+    df = spark.createDataFrame([(i, t, "en") for i, t in rows] + [(8, "the", "en")] * 9, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in g.identify(df, g.train(df)).collect()}
+    assert [got[i] for i in range(8)] == ["und"] * 4 + ["en", "en", "und", "en"]
+    assert g.letters_of("Ab½c ²x") == "ab c x"
+
+
+def test_predictions_are_those_of_plain_vectors(spark):
+    """Trigram vectors one by one, summed by hand, compared by cosine."""
+    import random
+
+    rng = random.Random(6)
+    speech = {"xx": "abcde", "yy": "defgh", "zz": "ghijk"}
+    rows = [(i, " ".join("".join(rng.choices(speech[x], k=4)) for _ in range(6)), x) for i, x in enumerate(rng.choices(list(speech), k=60))]
+    rows += [(100, "abc def, ghi!", None), (101, "k", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    e = g.Encoder()
+
+    def vector(text):
+        said = f" {' '.join(''.join(c if c.isalpha() else ' ' for c in text.lower()).split())} "
+        total = sum(np.roll(e._letter(ord(a)).astype(float), 2) * np.roll(e._letter(ord(b)), 1) * e._letter(ord(x)) for a, b, x in zip(said, said[1:], said[2:]))
+        return total / np.linalg.norm(total)
+
+    unit = lambda v: v / np.linalg.norm(v)
+    sums = {x: unit(sum(vector(t) for i, t, y in rows if y == x and zlib.crc32(str(i).encode()) % 5)) for x in speech}
+    mean = sum(sums.values()) / len(sums)
+    prototypes = {x: unit(v - mean) for x, v in sums.items()}
+    got = {r.doc_id: r for r in g.identify(df, g.train(df)).collect()}
+    for i, text, _ in rows:
+        cosines = {x: float(vector(text) @ p) for x, p in prototypes.items()}
+        best = max(cosines.values())
+        assert cosines[got[i].lang_pred] > best - 2e-5 and abs(got[i].score - (1 + best) / 2) < 2e-5
+
+
 def test_vectors_bind_and_bundle():
     e = g.Encoder(256, 1)
     a, b, x = (e._letter(ord(k)).astype(int) for k in "ab ")
@@ -82,6 +117,37 @@ def test_any_webp_decodes_to_pixels(spark):
 # --- classifier ---------------------------------------------------------------
 
 
+def plain_statistics(text):
+    """The statistics from plain strings."""
+    import math
+    import re
+    import unicodedata
+
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    n, chars = max(len(words), 1), max(sum(map(len, words)), 1)
+    count = lambda p: len(re.findall(p, text))
+    return {
+        "log_words": math.log1p(len(words)), "chars_per_word": sum(map(len, words)) / n, "symbols_per_word": count(r"[#*$%&|<>]") / n,
+        "marks_per_word": count(r"[!?;:()\[\]{}=_~^\\/]") / n, "upper_share": sum(unicodedata.category(c) == "Lu" for c in text) / chars,
+        "digit_share": count("[0-9]") / chars, "distinct_share": len(set(words)) / n, "dup_lines_per_word": (len(lines) - len(set(lines))) / n,
+        "lines_per_word": len(lines) / n, "stops_per_word": count(r"\.") / n, "wide_share": (len(text.encode()) - len(text)) / chars,
+        "longest_word": float(max(map(len, words), default=0)),
+    }
+
+
+def test_statistics_are_those_of_plain_strings(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    docs += [(-1, None), (-2, ""), (-3, " \n\t\n"), (-4, "A\nA\n\na É É ü 9.9 [x] # *** \\ 🙂🙂"), (-5, "w " * 100_000), (-6, "x" * 300_000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.asDict() for r in c.statistics(df).collect()}
+    for i, text in docs:
+        want = plain_statistics(text)
+        assert set(want) == set(c.STATISTICS)
+        assert all(abs(got[i][k] - v) < 1e-9 * max(1, abs(v)) for k, v in want.items()), i
+
+
 def test_quality_on_held_out_documents(spark):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     got = c.query(spark, "/root/testdata/sf0.01").join(labels, "doc_id").filter("held_out").collect()

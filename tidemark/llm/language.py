@@ -12,9 +12,10 @@ smallest id hash among the training folds (a documented bound: the model has
 Prediction is one narrow pass.
 
 Cases: null text, or text without a letter, is ``und`` with score 0; ties go to
-the language first by name; documents without a language teach nothing; no
-labels at all predict ``und``; repeated rows are all returned; an empty table
-gives an empty result; other columns are ignored.
+the language first by name; documents without a language teach nothing; rows of
+one id teach once, by the least language and text; no labels at all predict
+``und``; repeated rows are all returned; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,6 +39,15 @@ KEPT = 40_000
 _OTHER = re.compile(r"[\W\d_]+")
 
 
+def letters_of(text: str | None) -> str:
+    """The letters of a text in lower case, words set apart by one blank. Word
+    characters that are no letters (such as fractions) set words apart too."""
+    words = _OTHER.sub(" ", (text or "").lower())
+    if not (words.isascii() or words.replace(" ", "").isalpha()):
+        words = "".join(c if c.isalpha() else " " for c in words)
+    return " ".join(words.split())
+
+
 class Encoder:
     """Text vectors; deterministic for a seed."""
 
@@ -77,7 +87,7 @@ class Encoder:
     @staticmethod
     def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(keys, counts) of the trigrams of the letters, words set apart."""
-        letters = _OTHER.sub(" ", (text or "").lower()).strip()
+        letters = letters_of(text).strip()
         if not letters:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         code = np.frombuffer(f" {letters} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
@@ -121,9 +131,10 @@ def train(docs: DataFrame, sample: int = SAMPLE, dim: int = DIM, seed: int = SEE
     """(languages, unit prototypes). At most ``sample`` documents teach."""
     labelled = docs.filter(F.col("lang").isNotNull() & F.coalesce(fold_of() != 0, F.lit(False)))
     ids = hash_sample(labelled.select("doc_id"), sample, seed).select(F.col("doc_id").alias("__id")).distinct()
-    chosen = labelled.join(F.broadcast(ids), F.col("doc_id") == F.col("__id"), "left_semi").select(
-        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), F.xxhash64("doc_id").alias("at")
-    )
+    # at most ``sample`` ids of eight bytes; a hot id is one row a task before it is shuffled
+    rows = labelled.join(F.broadcast(ids), F.col("doc_id") == F.col("__id"), "left_semi")
+    once = rows.groupBy("doc_id").agg(F.min(F.struct(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))).alias("r"))
+    chosen = once.select("r.lang", "r.text", F.xxhash64("doc_id").alias("at"))
     sums: dict[str, np.ndarray] = {}
     for lang, part in (
         chosen.repartition(12, "at").mapInArrow(_bundle(dim, seed), "lang string, sum binary").orderBy("lang", "sum").collect()
