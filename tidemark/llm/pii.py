@@ -12,16 +12,22 @@ Terms with a ratio of at least ``DISCLOSURE`` that stand with the entity in at
 least ``SUPPORT`` documents are spans too, wherever they occur in a document;
 ``sanitise`` replaces entities and disclosing terms by their kind.
 
+A secret discloses itself: a run of at least ``KEY`` letters and digits that is
+given to a name (``=`` or ``:``) and whose characters carry at least
+``SECRET_BITS`` bits each, by their own frequencies, is a span of kind secret.
+
 Counting is pre-aggregated: copies of a text are one row with a weight, and an
 entity meets only the terms that can reach support and ratio at
 n_te <= min(n_e, n_t), which loses none. Terms that cannot reach the ratio even
 if they occurred in no other document are dropped before the corpus is scanned
-for them. Text is joined only where a document holds a disclosing term.
+for them. Text is joined only where a document holds a disclosing term. Offsets
+are summed within runs of ``RUN`` matches and then over the runs, so the work
+grows with the matches of a text, not with their square.
 
 Cases: null or empty text has no spans; equal spans of two kinds both stay;
 rows of one id and text are one document to the counts, and all returned; a
 null doc_id is carried; an empty table gives an empty result; other columns
-are ignored.
+are ignored (``sanitise`` carries them, whatever their names).
 """
 
 from __future__ import annotations
@@ -29,15 +35,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import let, table, text_of
+from tidemark.llm.common import fresh, let, named, table, text_of
 from tidemark.session import materialize
 
 QUERY = "op8_pii"
-KINDS = ["email", "ip", "card", "phone", "term"]
+KINDS = ["email", "ip", "card", "phone", "term", "secret"]
 SUPPORT, DISCLOSURE = 2, 0.95
-
-#: Characters before and after an entity in which terms count: the whole document.
-WINDOW = 1 << 31
+KEY, SECRET_BITS, RUN = 16, 3.0, 256
 
 #: Candidate rows up to which a side is broadcast; a shuffle join beyond.
 SMALL = 200_000
@@ -51,6 +55,7 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+SECRET = rf"(?<=[=:][\"'\x20]{{1,2}}|[=:])[A-Za-z0-9+/_-]{{{KEY},}}+"
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 TERM = r"\p{L}[\p{L}\p{N}]*+"
 _OPEN_TERM = r"(?<![\p{L}\p{N}])\p{N}*+\p{L}[\p{L}\p{N}]*+$"
@@ -85,27 +90,77 @@ def _located(text: Column, pattern: str, kind: int, keep=None) -> Column:
     points, end exclusive."""
     none = F.array().cast(f"array<{SPAN}>")
 
-    def place(found: Column) -> Column:
-        between = F.split(text, pattern, -1)
+    def run(pairs: Column) -> Column:
+        """(spans, length) of a run, from its own start; the array that grows is short."""
         start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans"))
 
         def step(acc: Column, pair: Column) -> Column:
             first = acc["at"] + F.char_length(pair["gap"])
             last = first + F.char_length(pair["text"])
             span = F.struct(first.alias("start"), F.lit(kind).alias("kind"), last.alias("end"), pair["text"].alias("text"))
-            spans = F.concat(acc["spans"], F.array(span)).cast(f"array<{SPAN}>")
+            spans = F.array_append(acc["spans"], span).cast(f"array<{SPAN}>")
             if keep:
                 spans = F.when(keep(pair["text"]), spans).otherwise(acc["spans"])
             return F.struct(last.alias("at"), spans.alias("spans"))
 
+        return F.aggregate(pairs, start, step)
+
+    def place(found: Column) -> Column:
+        between = F.split(text, pattern, -1)
         pairs = F.zip_with(
             F.slice(between, 1, F.size(found)), found, lambda g, m: F.struct(g.alias("gap"), m.alias("text"))
         )
-        return F.when(F.size(found) == 0, none).otherwise(F.aggregate(pairs, start, step, lambda acc: acc["spans"]))
+        firsts = F.sequence(F.lit(0), F.floor((F.size(found) - 1) / RUN).cast("int"))
+
+        def cut(all_pairs: Column) -> Column:
+            return F.transform(firsts, lambda k: run(F.slice(all_pairs, k * RUN + 1, RUN)))
+
+        def moved(runs: Column) -> Column:
+            start = F.array(F.lit(0).cast("long"))
+            offsets = F.aggregate(runs, start, lambda acc, r: F.array_append(acc, F.element_at(acc, -1) + r["at"]))
+            return let(
+                offsets,
+                lambda at: F.flatten(
+                    F.transform(
+                        runs,
+                        lambda r, k: F.transform(
+                            r["spans"],
+                            lambda x: F.struct(
+                                (x["start"] + F.get(at, k)).alias("start"), x["kind"].alias("kind"), (x["end"] + F.get(at, k)).alias("end"), x["text"].alias("text")
+                            ),
+                        ),
+                    )
+                ),
+            )
+
+        return F.when(F.size(found) == 0, none).otherwise(let(let(pairs, cut), moved))
 
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), place)
 
 
+def _bits(text: Column) -> Column:
+    """Bits a character, by the text's own frequencies."""
+    letters = F.split(text, "")
+
+    def entropy(chars: Column) -> Column:
+        n = F.size(chars).cast("double")
+        return F.aggregate(
+            F.array_distinct(chars),
+            F.lit(0.0),
+            lambda total, c: let(F.size(F.filter(chars, lambda x: x == c)) / n, lambda p: total - p * F.log2(p)),
+        )
+
+    return let(F.filter(letters, lambda c: c != ""), entropy)
+
+
+def secret_spans(text: Column) -> Column:
+    """array<SPAN> of values given to a name that look like keys."""
+    found = _located(text, SECRET, KINDS.index("secret"))
+    mixed = lambda t: t.rlike("[0-9]") & t.rlike("[A-Za-z]")
+    found = F.filter(found, lambda s: mixed(s["text"]) & (_bits(s["text"]) >= SECRET_BITS))
+    return F.when(text.rlike("[=:]"), found).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+
 def pattern_spans(text: Column) -> Column:
     """array<SPAN> of all valid pattern matches, by start and kind."""
     each = []
@@ -143,9 +198,11 @@ def _own(text: Column, span: Column) -> Column:
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, base, context): a row for each row of ``docs``."""
+    """(doc_id, th, base, secrets, context): a row for each row of ``docs``."""
     text = text_of()
-    found = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("th"), pattern_spans(text).alias("base"))
+    found = docs.select(
+        F.col("doc_id").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("th"), pattern_spans(text).alias("base"), secret_spans(text).alias("secrets")
+    )
     context = F.transform(
         "base",
         lambda s: F.struct(
@@ -153,7 +210,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
             _own(F.col("text"), s).alias("own"),
         ),
     )
-    return found.select("doc_id", "th", "base", context.alias("context"))
+    return found.select("doc_id", "th", "base", "secrets", context.alias("context"))
 
 
 def _near(left: DataFrame, right: DataFrame, on) -> DataFrame:
@@ -230,7 +287,7 @@ def disclosing_terms(docs: DataFrame, base: DataFrame) -> tuple[DataFrame, DataF
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, base, terms): pattern spans and term spans of every row."""
+    """(doc_id, th, base, more): pattern spans, and the method's: terms and secrets."""
     base = materialize(base_spans(docs), "op8-base")
     _, holders = disclosing_terms(docs, base)
     text = text_of()
@@ -241,7 +298,8 @@ def spans(docs: DataFrame) -> DataFrame:
     placed = _near(texts, holders, same).select("h_id", "h_th", term.alias("terms")).distinct()
     placed = materialize(placed, "op8-placed")
     none = F.array().cast(f"array<{SPAN}>")
-    return base.join(placed, same, "left").select("doc_id", "th", "base", F.coalesce("terms", none).alias("terms"))
+    more = F.concat(F.coalesce("terms", none), F.coalesce("secrets", none))
+    return base.join(placed, same, "left").select("doc_id", "th", "base", more.alias("more"))
 
 
 def told(spans: Column) -> Column:
@@ -253,33 +311,32 @@ def told(spans: Column) -> Column:
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
-    """``docs`` with entities and disclosing terms replaced by their kind in
-    ``text``; overlapping spans become one, named after the first. ``n_chars``
+    """``docs`` with entities, secrets and disclosing terms replaced by their kind
+    in ``text``; overlapping spans become one, named after the first. ``n_chars``
     follows. Other columns stay; a null text stays null."""
-    text = text_of()
-    found = spans(docs).select(
-        F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.sort_array(F.concat("base", "terms")).alias("__spans")
-    ).filter(F.size("__spans") > 0).distinct().hint("shuffle_hash")
+    text, own, key = text_of(), fresh("__found", docs), fresh("__key", docs)
+    found = spans(docs).select("doc_id", "th", F.sort_array(F.concat("base", "more")).alias("spans"))
+    found = found.filter(F.size("spans") > 0).distinct().select(F.struct("doc_id", "th", "spans").alias(own))
     kinds = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+    held = F.col(own)["spans"]
 
     def step(acc: Column, s: Column) -> Column:
         gap = F.substr(text, (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
-        tag = F.when(s["start"] >= acc["at"], F.concat(gap, F.get(kinds, s["kind"]))).otherwise(F.lit(""))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], tag).alias("out"))
-
-    clean = F.aggregate(
-        "__spans",
-        F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
-        step,
-        lambda acc: F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"), F.lit(1 << 30))),
-    )
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__th"))
-    new = F.when(F.col("__spans").isNull() | F.col("text").isNull(), F.col("text")).otherwise(clean)
-    out = docs.join(found, same, "left").select(docs["*"], F.col("__spans").isNotNull().alias("__hit"), new.alias("__new"))
-    columns = {c: F.col(c) for c in docs.columns} | {"text": F.col("__new")}
+        piece = F.when(s["start"] >= acc["at"], F.concat(gap, F.get(kinds, s["kind"]))).otherwise(F.lit(""))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.array_append(acc["out"], piece).alias("out"))
+
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
+    tail = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(text, (acc["at"] + 1).cast("int"), F.lit(1 << 30)))
+    clean = F.aggregate(held, start, step, tail)
+    keyed = docs.withColumn(key, F.struct(F.col("doc_id").alias("doc_id"), F.xxhash64(text).alias("th")))
+    same = named(key)["doc_id"].eqNullSafe(F.col(own)["doc_id"]) & (named(key)["th"] == F.col(own)["th"])
+    hit = F.col(own).isNotNull() & F.col("text").isNotNull()
+    done = F.struct(F.when(hit, clean).otherwise(F.col("text")).alias("text"), hit.alias("hit")).alias(key)
+    out = keyed.join(found, same, "left").select(*map(named, docs.columns), done)
+    columns = {c: named(c) for c in docs.columns} | {"text": named(key)["text"]}
     if "n_chars" in columns:
-        length = F.char_length("__new").cast(docs.schema["n_chars"].dataType)
-        columns["n_chars"] = F.when(F.col("__hit"), length).otherwise(F.col("n_chars"))
+        length = F.char_length(named(key)["text"]).cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(named(key)["hit"], length).otherwise(F.col("n_chars"))
     return out.select(*[c.alias(n) for n, c in columns.items()])
 
 
@@ -290,7 +347,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         *[count(k).alias(f"n_{name}") for k, name in enumerate(KINDS[:4])],
         F.sha2(told(F.col("base")), 256).alias("base_sha256"),
-        told(F.sort_array(F.concat("base", "terms"))).alias("spans"),
+        told(F.sort_array(F.concat("base", "more"))).alias("spans"),
+        # personal data or a secret of its own, not only a word that points to another's
+        ((F.size("base") > 0) | F.exists("more", lambda s: s["kind"] == KINDS.index("secret"))).alias("private"),
     )
 
 
