@@ -36,7 +36,7 @@ QUERY = "op7_line_dedup"
 MIN_DOCS, MIN_CHARS = 10, 1
 
 #: Documents of one line in a sorted run before the run is split by a salt.
-RUN = 4_096
+RUN = 1_024
 
 #: Frequent lines (of 24 bytes) that are broadcast at most.
 SMALL = 200_000

@@ -59,6 +59,9 @@ FLUSH, COMMON = 1_500_000, 255
 #: one trie, and members that probe one trie in one task (of a joined group: all).
 PROBES, STORED, MEMBERS = 250, 16 << 20, 2_000
 
+#: Groups up to which their sizes (of 16 bytes) are broadcast; a shuffle join beyond.
+SMALL = 200_000
+
 _U64, _U32, _U8, _I64, _I32 = np.dtype("<u8"), np.dtype("<u4"), np.dtype("u1"), np.dtype("<i8"), np.dtype("<i4")
 
 
@@ -381,10 +384,9 @@ def _with_smallest(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _joined(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members (grp, doc_id, of) as (root, doc_id, of) of the joined groups that
+    """Members (grp, doc_id, of, v) as (root, doc_id, of) of the joined groups that
     fit into one trie, once a document, and the members of the others."""
-    least = members.groupBy("grp").agg(F.min("doc_id").alias("v"))
-    chained = components(members.join(least, "grp").select(F.col("doc_id").alias("u"), "v"), "op2-chained")
+    chained = components(members.select(F.col("doc_id").alias("u"), "v"), "op2-chained")
     bytes_of = sets.select(F.col("doc_id").alias("node"), F.octet_length("keys").cast("long").alias("size"))
     fits = (F.count(F.lit(1)) <= MEMBERS) & (F.sum("size") <= STORED)
     small = materialize(chained.join(bytes_of, "node").groupBy("root").agg(fits.alias("fits")), "op2-chains")
@@ -394,7 +396,8 @@ def _joined(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _within(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links of members (grp, doc_id, of) across classes; grp is the group's key."""
+    """Links of members (grp, doc_id, of, v) across classes; grp is the group's key,
+    v its smallest document."""
     sets = sets.select("doc_id", "n", "keys")
     whole, members = _joined(members, sets)
     zero = F.lit(0)
@@ -407,7 +410,8 @@ def _within(members: DataFrame, sets: DataFrame) -> DataFrame:
     size = members.join(sets.select("doc_id", F.octet_length("keys").cast("long").alias("size")), "doc_id").groupBy("grp").agg(
         F.ceil(F.sum("size") / STORED).cast("int").alias("blocks"), F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("salts")
     )
-    rows = rows.join(materialize(size, "op2-sizes-of-groups"), "grp")
+    size = materialize(size, "op2-sizes-of-groups")
+    rows = rows.join(F.broadcast(size) if size.count() <= SMALL else size, "grp")
     stored = rows.select(
         "grp", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.col("blocks")).cast("int").alias("block"),
         F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"), F.lit(STORE).alias("act"), *columns,
@@ -432,7 +436,7 @@ def _classes(sets: DataFrame) -> DataFrame:
     known = components(reached, "op2-known")
     # groups that are not within one class; of those with the same documents the first
     of = in_groups.join(known, F.col("doc_id") == F.col("node"), "left").select(
-        "key", "doc_id", F.coalesce("root", "doc_id").alias("of")
+        "key", "doc_id", "v", F.coalesce("root", "doc_id").alias("of")
     )
     of = materialize(of, "op2-of")
     mark = F.xxhash64(F.lit(7), "doc_id")
@@ -444,7 +448,7 @@ def _classes(sets: DataFrame) -> DataFrame:
         .agg(F.min("key").alias("grp"))
         .select("grp")
     )
-    members = materialize(of.join(keys, F.col("key") == F.col("grp")).select("grp", "doc_id", "of"), "op2-members")
+    members = materialize(of.join(keys, F.col("key") == F.col("grp")).select("grp", "doc_id", "of", "v"), "op2-members")
     links = reached.unionByName(_within(members, sets))
     out = components(links, "op2-classes")
     discard(in_groups, pairs, reached, of, members)
