@@ -56,3 +56,19 @@ def test_as_a_data_source(spark):
     df = c.crawl(spark, c.Crawl({"one": lambda: [("u", "p"), ("v", "q")], "dead": dead}))
     assert sorted(tuple(r) for r in df.collect()) == [("one", "u", "p"), ("one", "v", "q")]
     assert json.loads(c.envelopes(df).orderBy("page").first().page) == {"source": "one", "page": "p"}
+
+
+def test_sites():
+    from tidemark.sources import sites
+
+    at = sites.SITES["careerviet"].listing
+    assert at(1) == sites.CAREERVIET_LISTING and at(3).endswith("-c1-trang-3-vi.html")
+    assert sites._numbered("https://x/list")(2) == "https://x/list?page=2" and sites._numbered("https://x/l?a=1")(2) == "https://x/l?a=1&page=2"
+    card = '<div class="job-item"><div class="title"><b>no link</b></div><a class="job_link" href="/vi/tim-viec-lam/a.html">x</a></div><div class="job-item"></div>'
+    assert sites.SITES["careerviet"].links(card) == ["/vi/tim-viec-lam/a.html"]
+    assert sites.allowed(f"{sites.INDEED}/jobs?q=a&l=&start=0")
+    assert not any(map(sites.allowed, (f"{sites.INDEED}/viewjob?jk=1", f"{sites.INDEED}/jobs?q=a&rss", f"{sites.INDEED}/api/x")))
+    with pytest.raises(c.RobotsError):
+        list(sites.searched(str, ["a"], search=f"{sites.INDEED}/viewjob"))
+    assert list(sites.searched(lambda u: '"jobkey"', [" ", "a"], pages=2)) == [(f"{sites.INDEED}/jobs?q=a&l=&start={n}", '"jobkey"') for n in (0, 10)]
+    assert (sites.retry_after("3"), sites.retry_after(" 1.5 "), sites.retry_after("Mon, 1 Jan"), sites.retry_after(None)) == (3.0, 1.5, None, None)

@@ -5,6 +5,7 @@ reconciles, contracts, messages and reports."""
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from pathlib import Path
 
@@ -16,7 +17,7 @@ from tidemark.operators import medallion, merge, quality, reports, rules
 from tidemark.plans.queries import WORDS, joined
 from tidemark.plans.registry import query, table
 from tidemark.session import materialize, scratch_dir
-from tidemark.sources import contracts, pages, scan
+from tidemark.sources import contracts, crawl, pages, scan, sites
 from tidemark.streaming import sink
 
 NOW = dt.datetime(2026, 1, 2, 3, 4, 5)
@@ -983,3 +984,69 @@ def contract_checks(spark, d) -> DataFrame:
     if {t for t, _, _ in wanted} != {x[2].split(":")[0] for x in rows if x[2]}:
         raise AssertionError("a topic is not planned")
     return spark.createDataFrame(rows, "name string, ok boolean, topic string, env string")
+
+
+# --- crawls ------------------------------------------------------------------
+
+
+@query(
+    "crawled_sites",
+    """
+    with n as (select n_nationkey as k, n_regionkey as r, n_name from nation),
+    pages_ as (
+      select 'itviec' as source, 'https://itviec.com/it-jobs/' || k as url, n_name as page from n where r < 3
+      union all select 'topcv', 'https://www.topcv.vn/viec/' || k || '.html', n_name from n where r < 3 and k % 4 <> 0
+      union all select 'careerviet', 'https://careerviet.vn/vi/tim-viec-lam/' || k || '.html', n_name from n where r < 3 and k % 4 <> 1
+      union all select 'indeed', 'https://vn.indeed.com/jobs?q=' || n_name || '&l=&start=0', '{"jobkey": ' || k || '}' from n where k % 2 = 0 and r <> 2
+      union all select 'mitlearn', 'https://m?page=' || r_regionkey, r_name from region where r_regionkey < 3)
+    select source, url, page from pages_
+    """,
+)
+def crawled_sites(spark, d) -> DataFrame:
+    """Four sites and a catalogue over saved pages made of the nations: listings up
+    to an empty one (or one without new links), cards, canonical links, skipped
+    and retried fetches, robots, sign-in pages, paging to a ceiling, a dead source."""
+    nations = [(r.n_nationkey, r.n_regionkey, r.n_name) for r in table(spark, d, "nation").select("n_nationkey", "n_regionkey", "n_name").collect()]  # 25 rows
+    regions = [(r.r_regionkey, r.r_name) for r in table(spark, d, "region").select("r_regionkey", "r_name").orderBy("r_regionkey").collect()]
+    saved: dict[str, str] = {}
+    for r in range(5):
+        of = [k for k, region, _ in nations if region == r]
+        shown = of if r < 3 else []  # the fourth listing is empty (or, below, has nothing new)
+        saved[f"https://itviec.com/it-jobs?page={r + 1}"] = "".join(f'<div class="job-card" {sites.ITVIEC_LINK}="/it-jobs/{k}/content?i=0"></div>' for k in shown)
+        titles = "".join(f'<div class="job-item-search-result"><h3 class="title"><a href="/viec/{k}.html?ta={r}#x">t</a></h3></div>' for k in shown)
+        saved[f"{sites.TOPCV_LISTING}?page={r + 1}"] = titles + '<div class="suggested"><h3 class="title"><a href="/no">t</a></h3></div>'
+        listing = sites.SITES["careerviet"].listing(r + 1)
+        again = of if r < 3 else [k for k, region, _ in nations if region == 0]
+        cards = [f'<div class="job-item"><div class="title"><a href="/vi/{"other" if k % 4 == 1 else "tim-viec-lam"}/{k}.html">t</a></div></div>' for k in again]
+        saved[listing] = "".join(cards)
+    for k, region, name in nations:
+        saved[f"https://itviec.com/it-jobs/{k}"] = name
+        saved[f"https://careerviet.vn/vi/tim-viec-lam/{k}.html"] = name
+        if k % 4:
+            saved[f"https://www.topcv.vn/viec/{k}.html"] = name
+        page = f'{{"jobkey": {k}}}' if k % 2 == 0 else "no cards"
+        saved[f"https://vn.indeed.com/jobs?q={name}&l=&start=0"] = page if region != 2 else f"{sites.INDEED_SIGN_IN[0]} {page}"
+    texts = {f"https://m?page={k}": json.dumps({"next": f"https://m?page={k + 1}", "name": name}) for k, name in regions}
+
+    def fetch(url: str) -> str:
+        found = saved.get(url) or texts.get(url)
+        if found is None and url not in saved:
+            raise crawl.FetchError(404)
+        return found or ""
+
+    failed: set[str] = set()
+
+    def throttled(url: str) -> str:
+        if url not in failed:  # each page is refused once
+            failed.add(url)
+            raise crawl.FetchError(429, 0.0)
+        return fetch(url)
+
+    patient = crawl.retrying(throttled, sleep=lambda s: None)
+    plan = crawl.Crawl({name: (lambda site=site: site.pages(patient, 1, 5)) for name, site in sites.SITES.items()})
+    names = [n for _, _, n in nations]
+    plan.sources["indeed"] = lambda: sites.searched(fetch, names)
+    plan.sources["dead"] = lambda: crawl.paged(fetch, "https://none", lambda p: None)
+    plan.sources |= sites.catalogue(fetch, {"mitlearn": "https://m?page=0", "elsewhere": "x"}, ceiling=3).sources
+    pages_ = crawl.crawl(spark, plan)
+    return pages_.select("source", "url", F.when(F.col("source") == "mitlearn", F.get_json_object("page", "$.name")).otherwise(F.col("page")).alias("page"))
