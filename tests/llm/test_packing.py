@@ -119,3 +119,18 @@ def test_remainders_are_cut_only_where_none_has_room():
             assert s == min(open_)[1] and offset == used[s] and size == min(left, p.LENGTH - used[s])
             used[s] += size
             cost[s] += size + size * size / p.QUADRATIC
+
+
+def test_clashing_names_nulls_and_long_texts(spark):
+    long = "it's 2 words, or three: " * 60_000
+    rows = [(1, long), (None, None), (2, ""), (2, ""), (3, "one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", *[f"'x' as {n}" for n in ("ids", "start", "length", "sequence_id", "offset", "doc_tokens")])
+    out = p.pack(df, p.default_tokenizer())
+    assert out.columns == [c.split()[0] for c in p.SCHEMA.split(", ")]
+    got = out.collect()
+    words = p.WordTokenizer(p.default_tokenizer())
+    pieces = sorted((r.start, bytes(r.ids)) for r in got if r.doc_id == 1)
+    assert b"".join(x for _, x in pieces) == words.ids(long) + array("I", [p.END]).tobytes()
+    short = sorted((r.doc_id or 0, r.length, r.doc_tokens) for r in got if r.doc_id not in (1, 3))
+    assert short == [(0, 1, 1), (2, 1, 1), (2, 1, 1)]
+    assert p.pack(df.limit(0), p.default_tokenizer()).count() == 0
