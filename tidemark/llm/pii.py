@@ -213,9 +213,11 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", "th", "base", "secrets", context.alias("context"))
 
 
-def _near(left: DataFrame, right: DataFrame, on) -> DataFrame:
-    """Inner join; ``right`` is broadcast when its counted size allows."""
-    return left.join(F.broadcast(right) if right.count() <= SMALL else right, on)
+def _near(left: DataFrame, right: DataFrame, on, weight: Column | None = None) -> DataFrame:
+    """Inner join; ``right`` is broadcast when its counted size allows (rows, or
+    what ``weight`` counts in them)."""
+    size = right.agg(F.coalesce(F.sum(F.lit(1) if weight is None else weight), F.lit(0))).first()[0]
+    return left.join(F.broadcast(right) if size <= SMALL else right, on)
 
 
 def disclosing_terms(docs: DataFrame, base: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -295,7 +297,7 @@ def spans(docs: DataFrame) -> DataFrame:
     holders = holders.select(F.col("doc_id").alias("h_id"), F.col("th").alias("h_th"), F.col("terms").alias("held"))
     same = F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("th") == F.col("h_th"))
     term = _located(F.col("text"), TERM, 4, lambda t: F.array_contains(F.col("held"), F.lower(t)))
-    placed = _near(texts, holders, same).select("h_id", "h_th", term.alias("terms")).distinct()
+    placed = _near(texts, holders, same, F.size("held") + 1).select("h_id", "h_th", term.alias("terms")).distinct()
     placed = materialize(placed, "op8-placed")
     none = F.array().cast(f"array<{SPAN}>")
     more = F.concat(F.coalesce("terms", none), F.coalesce("secrets", none))
