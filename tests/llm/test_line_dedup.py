@@ -1,6 +1,7 @@
 import hashlib
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import line_dedup as d
@@ -82,3 +83,18 @@ def test_query_columns(spark, sf001):
     r = d.query(spark, sf001).filter(F.col("n_lines") == 1).first()
     text = spark.read.parquet(f"{sf001}/documents.parquet").filter(F.col("doc_id") == r.doc_id).first().text or ""
     assert r.kept_sha256 == hashlib.sha256(b"" if r.n_dropped else text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 10, 1 << 26])
+def test_the_sieve_only_saves_work(spark, monkeypatch, bits):
+    from tidemark.llm import common
+
+    monkeypatch.setattr(common, "SIEVE", bits)
+    assert got(spark, ROWS) == brute(ROWS)
+    rows = spark.range(1000).withColumn("__at", F.lit(1)).withColumn("__sieve", F.lit(2))
+    keys = spark.range(0, 1000, 7).select(F.xxhash64("id").alias("h"))
+    may, no = common.sieve(rows, F.xxhash64("id"), keys)
+    assert may.columns == rows.columns and {r.id for r in may.collect()} >= set(range(0, 1000, 7))
+    assert may.count() + no.count() == 1000 and (bits == 64 or no.count() > 100)
+    empty, every = common.sieve(rows, F.xxhash64("id"), keys.limit(0))
+    assert empty.count() == 0 and every.count() == 1000

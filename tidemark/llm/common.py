@@ -100,3 +100,23 @@ def ranked(rows: DataFrame, column: str) -> DataFrame:
         .withColumn("rank", F.col("rank") + F.col("__before") - 1)
         .drop("__part", "__before")
     )
+
+
+#: Bits of the sieve: 2**20 words of 64 at most are broadcast, however many keys there are.
+SIEVE = 1 << 26
+
+
+def sieve(rows: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that may be among ``keys``, rows that surely are not), by one hashed
+    bit a key; ``keys`` has one column, the hash of ``key``. What is surely out
+    needs no join, so its texts are not shuffled; the rest needs an exact one."""
+    spot = F.pmod(F.col(keys.columns[0]), F.lit(SIEVE))
+    words = keys.select(F.shiftright(spot, 6).alias("__word"), spot.alias("__spot"))
+    words = words.groupBy("__word").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__spot").bitwiseAND(63).cast("int"))).alias("__bits"))
+    own, at = fresh("__sieve", rows), fresh("__at", rows)
+    words = words.select(F.col("__word").alias(f"{own}_word"), F.col("__bits").alias(own))
+    placed = rows.withColumn(at, F.pmod(key, F.lit(SIEVE)))
+    joined = placed.join(F.broadcast(words), F.shiftright(named(at), 6) == F.col(f"{own}_word"), "left")
+    may = F.coalesce(F.getbit(F.col(own), named(at).bitwiseAND(63).cast("int")) == 1, F.lit(False))
+    kept = [named(c) for c in rows.columns]
+    return joined.filter(may).select(*kept), joined.filter(~may).select(*kept)

@@ -13,7 +13,8 @@ bitmap of 64-line words. The salt splits the run of a line with more than
 Postings meet the frequent lines by a broadcast of at most ``SMALL`` lines. Where
 more are frequent, the hottest are broadcast: those in more than a ``SMALL``-th
 of all postings, of which there are fewer than ``SMALL``; a line of the rest is no
-larger than that share in the shuffle join.
+larger than that share in the shuffle join. Texts that no bitmap may belong to, by
+a sieve of fixed size, are not shuffled to meet one.
 
 Cases: null or empty text is one empty line, which is never dropped; ties do
 not arise, as every occurrence is dropped (or, with ``keep_first``, all but the
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tidemark.llm.common import WS_CHARS, ascii_lower, fresh, let, named, table, text_of
+from tidemark.llm.common import WS_CHARS, ascii_lower, fresh, let, named, sieve, table, text_of
 from tidemark.session import materialize
 
 QUERY = "op7_line_dedup"
@@ -117,12 +118,14 @@ def drop_bitmaps(
 def _apply(docs: DataFrame, bitmaps: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a struct column (kept text, lines, dropped, first), and its name."""
     text, own, on = text_of(), fresh("__lines", docs), fresh("__on", docs)
-    bits = bitmaps.select(
-        F.struct("doc_id", "th").alias(on), F.struct(F.col("drop").alias("drop"), F.col("n_first").alias("n_first")).alias(own)
-    )
+    bits = materialize(bitmaps, "op7-bitmaps")
+    bits = bits.select(F.struct("doc_id", "th").alias(on), F.struct(F.col("drop").alias("drop"), F.col("n_first").alias("n_first")).alias(own))
     keyed = docs.withColumn(fresh("__key", docs), F.struct(F.col("doc_id").alias("doc_id"), F.xxhash64(text).alias("th")))
     key = named(keyed.columns[-1])
     same = key["doc_id"].eqNullSafe(F.col(on)["doc_id"]) & (key["th"] == F.col(on)["th"])
+    hashed = lambda k: F.xxhash64(F.lit(2), k["doc_id"], k["th"])
+    marked, clear = sieve(keyed, hashed(key), bits.select(hashed(F.col(on)).alias("h")))
+    joined = marked.join(bits, same, "left").unionByName(clear, allowMissingColumns=True)
     drop = F.col(own)["drop"]
 
     def keep(_line: Column, i: Column) -> Column:
@@ -137,7 +140,6 @@ def _apply(docs: DataFrame, bitmaps: DataFrame) -> tuple[DataFrame, str]:
         F.coalesce(dropped, F.lit(0).cast("long")).alias("dropped"),
         F.coalesce(F.col(own)["n_first"], F.lit(0).cast("long")).alias("first"),
     )
-    joined = keyed.join(bits, same, "left")
     return joined.select(*map(named, docs.columns), found.alias(own)), own
 
 

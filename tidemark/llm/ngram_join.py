@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, named, table
+from tidemark.llm.common import fresh, named, sieve, table
 from tidemark.llm.components import components
 from tidemark.llm.shingles import shingle_sets
 from tidemark.session import discard, materialize
@@ -522,15 +522,19 @@ def keep_one(docs: DataFrame) -> DataFrame:
     rows and two texts of one id are told apart. Rows without words are a class
     for each id, those without an id one more."""
     rows, joined = _by_row(docs)
-    row, stay = rows.columns[-1], fresh("__stay", rows)
+    row, gone = rows.columns[-1], fresh("__gone", rows)
     words = F.col("n_shingles") > 0
     first = F.min(F.struct(F.col("__id").isNull(), F.col("__id"), F.col("row").alias("row")))
     heads = (
         joined.groupBy(F.when(words, F.col("class")).alias("class"), F.when(~words, F.col("__id")).alias("id"))
         .agg(first.alias("first"))
-        .select(F.col("first.row").alias(stay))
+        .select(F.col("first.row").alias("stays"))
     )
-    return rows.join(heads, named(row) == F.col(stay), "left_semi").select(*map(named, docs.columns))
+    removed = materialize(joined.join(heads, F.col("row") == F.col("stays"), "left_anti").select(F.col("row").alias(gone)), "op2-removed")
+    # only texts that may go are shuffled to meet the list of those that do
+    marked, clear = sieve(rows, F.xxhash64(F.lit(2), named(row)), removed.select(F.xxhash64(F.lit(2), F.col(gone)).alias("h")))
+    kept = marked.join(removed, named(row) == F.col(gone), "left_anti").unionByName(clear)
+    return kept.select(*map(named, docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

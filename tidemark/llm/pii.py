@@ -35,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, let, named, table, text_of
+from tidemark.llm.common import fresh, let, named, sieve, table, text_of
 from tidemark.session import materialize
 
 QUERY = "op8_pii"
@@ -319,6 +319,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     text, own, key = text_of(), fresh("__found", docs), fresh("__key", docs)
     found = spans(docs).select("doc_id", "th", F.sort_array(F.concat("base", "more")).alias("spans"))
     found = found.filter(F.size("spans") > 0).distinct().select(F.struct("doc_id", "th", "spans").alias(own))
+    found = materialize(found, "op8-found")
     kinds = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     held = F.col(own)["spans"]
 
@@ -334,7 +335,9 @@ def sanitise(docs: DataFrame) -> DataFrame:
     same = named(key)["doc_id"].eqNullSafe(F.col(own)["doc_id"]) & (named(key)["th"] == F.col(own)["th"])
     hit = F.col(own).isNotNull() & F.col("text").isNotNull()
     done = F.struct(F.when(hit, clean).otherwise(F.col("text")).alias("text"), hit.alias("hit")).alias(key)
-    out = keyed.join(found, same, "left").select(*map(named, docs.columns), done)
+    hashed = lambda k: F.xxhash64(F.lit(2), k["doc_id"], k["th"])
+    marked, clear = sieve(keyed, hashed(named(key)), found.select(hashed(F.col(own)).alias("h")))
+    out = marked.join(found, same, "left").unionByName(clear, allowMissingColumns=True).select(*map(named, docs.columns), done)
     columns = {c: named(c) for c in docs.columns} | {"text": named(key)["text"]}
     if "n_chars" in columns:
         length = F.char_length(named(key)["text"]).cast(docs.schema["n_chars"].dataType)
