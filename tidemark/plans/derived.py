@@ -1050,3 +1050,109 @@ def crawled_sites(spark, d) -> DataFrame:
     plan.sources |= sites.catalogue(fetch, {"mitlearn": "https://m?page=0", "elsewhere": "x"}, ceiling=3).sources
     pages_ = crawl.crawl(spark, plan)
     return pages_.select("source", "url", F.when(F.col("source") == "mitlearn", F.get_json_object("page", "$.name")).otherwise(F.col("page")).alias("page"))
+
+
+# --- edges, files and messages -----------------------------------------------
+
+EDGY = text.Vocabulary({"technical": {"ASP.NET": [], ".NET": ["dotnet"], "Node.js": ["nodejs"], "C++": [], "C#": ["csharp"], "C": [], "Go": ["golang"], "CI/CD": []}})
+
+
+@query(
+    "term_edges",
+    """
+    select p_partkey, case p_size % 8 when 0 then 'ASP.NET' when 1 then '.NET' when 2 then '' when 3 then 'Node.js' when 4 then 'C#,C++' when 5 then '' when 6 then 'CI/CD,Go' else '.NET,ASP.NET' end as scanned,
+           case p_size % 8 when 0 then 'ASP.NET' when 1 then '.NET' when 2 then '' when 3 then 'Node.js' when 4 then 'C#,C++' when 5 then '' when 6 then 'CI/CD,Go' else '.NET,ASP.NET' end as native
+    from part
+    """,
+)
+def term_edges(spark, d) -> DataFrame:
+    """Terms with dots and signs at their edges, by the scanner and without a UDF."""
+    cases = [
+        "a site in ASP.NET", "daily .NET, since 2004", "a net, x.net and C or go", "Node.js, never Node.jsx or xNode.js", "C++ or C#; C++17", "vitamin c+ and #c, nodejs.x",
+        "GOLANG through CI/CD.", "dotnet beside asp.net.",
+    ]
+    said = F.element_at(F.array(*map(F.lit, cases)), F.col("p_size") % 8 + 1)
+    empty = F.array().cast("array<string>")
+    rows = table(spark, d, "part").select("p_partkey", EDGY.extract_column(empty, said, empty).alias("names"), text.plain_terms(said, EDGY).alias("native"))
+    return rows.select("p_partkey", joined(F.array_sort("names")).alias("scanned"), joined(F.array_sort("native")).alias("native"))
+
+
+@query(
+    "message_stream",
+    "select n_nationkey::bigint as id, n_name as name, n_nationkey::varchar as key from nation where n_nationkey % 2 = 0",
+)
+def message_stream(spark, d) -> DataFrame:
+    """Framed messages as a consumer gets them, decoded by the sink and landed."""
+    import pyarrow as pa
+
+    schema = {"type": "record", "name": "N", "fields": [{"name": "id", "type": "long"}, {"name": "name", "type": ["null", "string"], "default": None}]}
+    base = f"{scratch_dir(spark)}/messages-{uuid.uuid4().hex}"
+    rows = table(spark, d, "nation").filter("n_nationkey % 2 = 0").select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"))
+
+    def encode(batches):
+        for batch in batches:
+            records = batch.to_pylist()
+            payloads = [contracts.encode_record(schema, r) for r in records]
+            yield pa.RecordBatch.from_arrays([pa.array([str(r["id"]).encode() for r in records], pa.binary()), pa.array(payloads, pa.binary())], ["key", "payload"])
+
+    sent = rows.mapInArrow(encode, "key binary, payload binary").select("key", contracts.frame(F.col("payload"), 7).alias("value"))
+    sent.write.parquet(f"{base}/topic")
+    stream = sink.read_files(spark, f"{base}/topic", sent.schema)
+
+    def parse(batch: DataFrame) -> DataFrame:
+        opened = contracts.decode_messages(batch.select(contracts.unframe(F.col("value")).alias("m")).select("m.payload"), schema)
+        keys = batch.select(F.col("key").cast("string").alias("key"))
+        return opened.join(keys, F.col("id").cast("string") == F.col("key"))
+
+    sink.start_sink(stream, f"{base}/landed", f"{base}/offsets", parse=parse, seconds=None).awaitTermination()
+    return spark.read.parquet(f"{base}/landed").select("id", "name", "key")
+
+
+@query(
+    "contract_files",
+    """
+    select lower(replace(r_name, ' ', '-')) as name, 'topic-' || r_regionkey || '-value' as subject, 'DELAY=' || r_regionkey as env, r_regionkey % 2 = 0 as to_register,
+           'ORDER BY id' as sort, case when r_regionkey % 3 = 0 then 'crawler:latest' else '' end as unpinned
+    from region
+    """,
+)
+def contract_files(spark, d) -> DataFrame:
+    """Contracts written as files and read in order; what they render, what is to
+    be registered, and images that are not pinned."""
+    import tempfile
+
+    import yaml
+
+    with tempfile.TemporaryDirectory() as folder:  # configuration on the driver, read back at once
+        for r in table(spark, d, "region").collect():  # five rows
+            image = "crawler:latest" if r.r_regionkey % 3 == 0 else "crawler:1.4"
+            body = {"kind": "producer", "schema": "nation", "topic": f"topic-{r.r_regionkey}", "settings": {"delay": r.r_regionkey, "off": None}, "resources": [{"image": image}]}
+            Path(folder, f"{r.r_name.lower().replace(' ', '-')}.yaml").write_text(yaml.safe_dump(body))
+        Path(folder, "default.yaml").write_text("kind: nothing\n")
+        found = contracts.load_contracts(folder)
+    if [c.name for c in found] != sorted(c.name for c in found):
+        raise AssertionError("contracts are not in order")
+    spelled = contracts.register(found, {"nation": NATION}, {})
+    have = {s: x for s, x in spelled.items() if int(s.split("-")[1]) % 2}
+    wanted = contracts.register(found, {"nation": NATION}, have)
+    rows = []
+    for c in found:
+        out = contracts.rendered(c, NATION)
+        env = ",".join(f"{k}={v}" for k, v in out["environment"].items())
+        rows.append((c.name, out["subject"], env, out["subject"] in wanted, out["ddl"][-11:], ",".join(contracts.unpinned([c.body]))))
+    return spark.createDataFrame(rows, "name string, subject string, env string, to_register boolean, sort string, unpinned string")
+
+
+@query(
+    "report_text",
+    """
+    with c as (select c_mktsegment as seg, count(*)::varchar as n from customer group by 1), w as (select greatest(max(len(seg)), 3) as a from c),
+    l as (select 0 as place, rpad('seg', a::int, ' ') || '  n' as line from w union all select row_number() over (order by seg), rpad(seg, a::int, ' ') || '  ' || n from c, w)
+    select place::bigint as place, line from l
+    """,
+)
+def report_text(spark, d) -> DataFrame:
+    """A report as the text that a log gets."""
+    counts = table(spark, d, "customer").groupBy(F.col("c_mktsegment").alias("seg")).agg(F.count(F.lit(1)).alias("n")).orderBy("seg")
+    lines = reports.as_text(counts).split("\n")
+    return spark.createDataFrame(list(enumerate(lines)), "place long, line string")
