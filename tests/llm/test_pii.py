@@ -129,8 +129,8 @@ def test_very_long_texts_take_linear_time(spark):
     import time
 
     words = "lorem ipsum1 " * 100_000  # 200,000 words
-    many = " ".join(f"u{i}@x.y" for i in range(20_000))
-    rows = [(1, words + "far@heart.gold lorem"), (2, many), (3, "far@heart.gold zaphod"), (4, "far@heart.gold zaphod"), (5, "far@heart.gold " + "zaphod " * 50_000)]
+    many = " ".join(f"u{i}@x.y" for i in range(6_000))
+    rows = [(1, words + "far@heart.gold lorem"), (2, many), (3, "far@heart.gold zaphod"), (4, "far@heart.gold zaphod"), (5, "far@heart.gold " + "zaphod " * 20_000)]
     rows += [(10 + i, "nothing") for i in range(5)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     began = time.time()
@@ -139,7 +139,7 @@ def test_very_long_texts_take_linear_time(spark):
     assert not got[10].more
     assert [(s.start, s.end) for s in got[1].base] == [(len(words), len(words) + 14)]
     assert [(s.start, s.kind, s.end) for s in got[2].base] == brute(many)
-    assert [(s.start, s.end) for s in got[5].more] == [(7 * k + 15, 7 * k + 21) for k in range(50_000)]
+    assert [(s.start, s.end) for s in got[5].more] == [(7 * k + 15, 7 * k + 21) for k in range(20_000)]
 
 
 SECRETS = [

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tidemark.llm.common import WORD, fresh, let, ln_gamma, named, ranked, table, text_of
+from tidemark.llm.common import WORD, fresh, let, named, ranked, table, text_of
 from tidemark.session import materialize
 
 QUERY = "op10_mixing"
@@ -48,8 +48,8 @@ SHARD, SHARDS, BLOCKS, EACH = 1 << 24, 16, 1024, 16
 #: Walks through the permuted blocks to find those that fit.
 PASSES = 4
 
-#: Sources of a group in the tree.
-GROUP = 256
+#: Sources of a group in the tree, and levels that are split in one pass.
+GROUP, LEVELS = 256, 4
 
 #: Block rows up to which the shard table is broadcast; a shuffle join beyond.
 SMALL = 500_000
@@ -115,45 +115,58 @@ def _fitting(blocks: DataFrame, seed: int) -> DataFrame:
 
 def hypergeometric(u: Column, total: Column, good: Column, drawn: Column) -> Column:
     """How many of ``good`` among ``total`` are in ``drawn``, for a uniform ``u``:
-    outcomes are taken from the mode outwards until their chances exceed it."""
+    outcomes are taken from the mode outwards until their share of all chances
+    exceeds it. Chances are walked by their ratios, twice: their sum comes first."""
     n, k, m = (c.cast("double") for c in (total, good, drawn))
     low, high = F.greatest(F.lit(0.0), m + k - n), F.least(k, m)
 
-    def ln_choose(a: Column, b: Column) -> Column:
-        return ln_gamma(a + 1) - ln_gamma(b + 1) - ln_gamma(a - b + 1)
-
-    def chance(x: Column) -> Column:
-        return F.exp(ln_choose(k, x) + ln_choose(n - k, m - x) - ln_choose(n, m))
-
-    def from_mode(mode: Column) -> Column:
+    def from_mode(x: Column) -> Column:
+        n, k, m, low, high, mode = (x[c] for c in ("n", "k", "m", "low", "high", "mode"))
         deviation = F.sqrt(m * (k / n) * (1 - k / n) * (n - m) / F.greatest(n - 1, F.lit(1.0)))
-        steps = F.least(F.ceil(9 * deviation) + 40, high - low).cast("int")
-        first = let(chance(mode), lambda p: F.struct(p.alias("up"), p.alias("down"), p.alias("sum"), F.when(p >= u, mode).alias("found")))
+        steps = F.sequence(F.lit(1), F.least(F.ceil(9 * deviation) + 40, high - low).cast("int"))
 
-        def step(acc: Column, j: Column) -> Column:
-            a, b = mode + j, mode - j  # one outcome farther on either side
+        def chances(acc: Column, j: Column) -> Column:
+            """Of one outcome farther on either side, against the mode's."""
+            a, b = mode + j, mode - j
             up = F.when(a <= high, acc["up"] * (k - a + 1) * (m - a + 1) / (a * (n - k - m + a))).otherwise(F.lit(0.0))
             down = F.when(b >= low, acc["down"] * (b + 1) * (n - k - m + b + 1) / ((k - b) * (m - b))).otherwise(F.lit(0.0))
-            return let(
-                F.struct(up.alias("up"), down.alias("down"), acc["sum"].alias("sum"), acc["found"].alias("found")),
-                lambda x: F.struct(
-                    x["up"].alias("up"),
-                    x["down"].alias("down"),
-                    (x["sum"] + x["up"] + x["down"]).alias("sum"),
-                    F.coalesce(
-                        x["found"],
-                        F.when((x["up"] > 0) & (x["sum"] + x["up"] >= u), a),
-                        F.when((x["down"] > 0) & (x["sum"] + x["up"] + x["down"] >= u), b),
-                    ).alias("found"),
-                ),
-            )
+            return F.struct(up.alias("up"), down.alias("down"))
+
+        one = [F.lit(1.0).alias(c) for c in ("up", "down", "sum")]
+        whole = F.aggregate(
+            steps,
+            F.struct(*one),
+            lambda acc, j: let(
+                chances(acc, j), lambda c: F.struct(c["up"].alias("up"), c["down"].alias("down"), (acc["sum"] + c["up"] + c["down"]).alias("sum"))
+            ),
+            lambda acc: acc["sum"],
+        )
 
-        found = F.aggregate(F.sequence(F.lit(1), F.greatest(steps, F.lit(1))), first, step, lambda acc: acc["found"])
-        return F.coalesce(found, mode)
+        def find(goal: Column) -> Column:
+            def step(acc: Column, j: Column) -> Column:
+                return let(
+                    chances(acc, j),
+                    lambda c: F.struct(
+                        c["up"].alias("up"),
+                        c["down"].alias("down"),
+                        (acc["sum"] + c["up"] + c["down"]).alias("sum"),
+                        F.coalesce(
+                            acc["found"],
+                            F.when((c["up"] > 0) & (acc["sum"] + c["up"] >= goal), mode + j),
+                            F.when((c["down"] > 0) & (acc["sum"] + c["up"] + c["down"] >= goal), mode - j),
+                        ).alias("found"),
+                    ),
+                )
+
+            start = F.struct(*one, F.when(goal <= 1, mode).alias("found"))
+            return F.coalesce(F.aggregate(steps, start, step, lambda acc: acc["found"]), mode)
+
+        return let(whole * u, find)
 
     certain = (n <= 0) | (low >= high)
     mode = F.greatest(low, F.least(high, F.floor((m + 1) * (k + 1) / (n + 2)).cast("double")))
-    return F.when(certain, F.greatest(low, F.lit(0.0))).otherwise(let(mode, from_mode)).cast("long")
+    given = F.struct(n.alias("n"), k.alias("k"), m.alias("m"), low.alias("low"), high.alias("high"), mode.alias("mode"))
+    return F.when(certain, F.greatest(low, F.lit(0.0))).otherwise(let(given, from_mode)).cast("long")
 
 
 def _shares(parts: Column, drawn: Column, total: Column) -> Column:
@@ -193,34 +206,75 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int = SEED, group: int =
     )
     level = 0
     while 1 << level < shards:
-
-        def parts(of: str, *salt: Column) -> Column:
-            at = uniform(seed, F.lit(level), *salt, "shard", of)
-            return F.sort_array(F.collect_list(F.struct(F.col(of).alias("of"), "quota", at.alias("u")))).alias("parts")
-
-        by_group = nodes.filter("width > 1").groupBy("shard", "width", "grp").agg(F.sum("quota").alias("quota"), parts("of"))
-        drawn = F.floor(F.col("quota") * _left(F.col("width")) / F.col("width"))
         if groups == 1:
-            by_group = by_group.withColumn("drawn", drawn)
+            nodes, level = _levels(nodes, level, min(LEVELS, (shards - 1).bit_length() - level), seed), level + LEVELS
         else:
-            by_group = materialize(by_group, "op10-groups")
-            by_node = by_group.groupBy("shard", "width").agg(F.sum("quota").alias("quota"), parts("grp", F.lit("group")))
-            dealt = by_node.select("shard", F.explode(_shares(F.col("parts"), drawn, F.col("quota"))).alias("g"))
-            dealt = dealt.select("shard", F.col("g.of").alias("grp"), F.col("g.left").alias("drawn"))
-            by_group = by_group.join(dealt, ["shard", "grp"])
-        split = by_group.select("shard", "width", "grp", F.explode(_shares(F.col("parts"), F.col("drawn"), F.col("quota"))).alias("s"))
-        split = materialize(split, "op10-tree")
-        width = _left(F.col("width"))
-        left = split.select("s.of", "grp", "shard", width.alias("width"), F.col("s.left").alias("quota"))
-        right = split.select(
-            "s.of", "grp", (F.col("shard") + width).alias("shard"), (F.col("width") - width).alias("width"),
-            (F.col("s.quota") - F.col("s.left")).alias("quota"),
-        )
-        nodes = nodes.filter("width = 1").unionByName(left).unionByName(right).filter("quota > 0")
-        level += 1
+            nodes, level = _level_by_group(nodes, level, seed), level + 1
     return nodes.select("shard", F.when(F.col("of").startswith("+"), F.expr("substring(of, 2)")).alias("source"), "quota")
 
 
+def _levels(nodes: DataFrame, level: int, more: int, seed: int) -> DataFrame:
+    """``more`` levels at once where a node's sources are few: a node is a row,
+    and what it splits into stays in its row."""
+    kind = "array<struct<of:string,quota:bigint>>"
+    by_node = nodes.groupBy("shard", "width").agg(F.sort_array(F.collect_list(F.struct("of", F.col("quota").cast("long").alias("quota")))).alias("parts"))
+
+    def split(n: Column, depth: int) -> Column:
+        at = lambda p: uniform(seed, F.lit(depth), n["shard"], p["of"])
+        parts = F.transform(n["parts"], lambda p: F.struct(p["of"].alias("of"), p["quota"].alias("quota"), at(p).alias("u")))
+        total = F.aggregate(n["parts"], F.lit(0).cast("long"), lambda acc, p: acc + p["quota"])
+        width = _left(n["width"])
+        drawn = F.floor(total * width / n["width"])
+
+        def halves(shares: Column) -> Column:
+            some = lambda quota: F.filter(
+                F.transform(shares, lambda x: F.struct(x["of"].alias("of"), quota(x).alias("quota"))), lambda x: x["quota"] > 0
+            )
+            return F.array(
+                F.struct(n["shard"].alias("shard"), width.alias("width"), some(lambda x: x["left"]).cast(kind).alias("parts")),
+                F.struct(
+                    (n["shard"] + width).alias("shard"), (n["width"] - width).alias("width"), some(lambda x: x["quota"] - x["left"]).cast(kind).alias("parts")
+                ),
+            )
+
+        return F.when(n["width"] > 1, let(_shares(parts, drawn, total), halves)).otherwise(F.array(n))
+
+    grown = by_node.select(F.array(F.struct("shard", "width", "parts")).alias("nodes"))
+    for depth in range(level, level + more):
+        grown = grown.select(F.flatten(F.transform("nodes", _at_depth(split, depth))).alias("nodes"))
+    out = grown.select(F.explode("nodes").alias("n")).select("n.shard", "n.width", F.explode("n.parts").alias("p"))
+    return materialize(out.select("p.of", F.lit("0").alias("grp"), "shard", "width", "p.quota"), "op10-tree")
+
+
+def _at_depth(split, depth: int):
+    return lambda n: split(n, depth)
+
+
+def _level_by_group(nodes: DataFrame, level: int, seed: int) -> DataFrame:
+    """One level, first over groups of sources, then within each group."""
+
+    def parts(of: str, *salt: Column) -> Column:
+        at = uniform(seed, F.lit(level), *salt, "shard", of)
+        return F.sort_array(F.collect_list(F.struct(F.col(of).alias("of"), "quota", at.alias("u")))).alias("parts")
+
+    by_group = nodes.filter("width > 1").groupBy("shard", "width", "grp").agg(F.sum("quota").alias("quota"), parts("of"))
+    by_group = materialize(by_group, "op10-groups")
+    by_node = by_group.groupBy("shard", "width").agg(F.sum("quota").alias("quota"), parts("grp", F.lit("group")))
+    drawn = F.floor(F.col("quota") * _left(F.col("width")) / F.col("width"))
+    dealt = by_node.select("shard", F.explode(_shares(F.col("parts"), drawn, F.col("quota"))).alias("g"))
+    dealt = dealt.select("shard", F.col("g.of").alias("grp"), F.col("g.left").alias("drawn"))
+    by_group = by_group.join(dealt, ["shard", "grp"])
+    split = by_group.select("shard", "width", "grp", F.explode(_shares(F.col("parts"), F.col("drawn"), F.col("quota"))).alias("s"))
+    split = materialize(split, "op10-tree")
+    width = _left(F.col("width"))
+    left = split.select("s.of", "grp", "shard", width.alias("width"), F.col("s.left").alias("quota"))
+    right = split.select(
+        "s.of", "grp", (F.col("shard") + width).alias("shard"), (F.col("width") - width).alias("width"),
+        (F.col("s.quota") - F.col("s.left")).alias("quota"),
+    )
+    return nodes.filter("width = 1").unionByName(left).unionByName(right).filter("quota > 0")
+
+
 def _left(width: Column) -> Column:
     return F.floor((width + 1) / 2).cast("int")
 
