@@ -56,7 +56,7 @@ NUM, DEN = 75, 100
 FLUSH, COMMON = 1_500_000, 255
 
 #: Documents that are compared with one smallest in one task; bytes of the sets in
-#: one trie, and members that probe one trie in one task (of a joined group: all).
+#: one trie, and members in one task.
 PROBES, STORED, MEMBERS = 250, 16 << 20, 2_000
 
 #: Groups up to which their sizes (of 16 bytes) are broadcast; a shuffle join beyond.
@@ -407,8 +407,9 @@ def _within(members: DataFrame, sets: DataFrame) -> DataFrame:
     )
     members = materialize(members, "op2-apart")
     rows = members.join(sets, "doc_id").withColumn("first", F.col("grp"))
+    parts = F.ceil(2 * F.count(F.lit(1)) / MEMBERS)  # so that stored and probing rows of a task are MEMBERS together
     size = members.join(sets.select("doc_id", F.octet_length("keys").cast("long").alias("size")), "doc_id").groupBy("grp").agg(
-        F.ceil(F.sum("size") / STORED).cast("int").alias("blocks"), F.ceil(F.count(F.lit(1)) / MEMBERS).cast("int").alias("salts")
+        F.greatest(F.ceil(F.sum("size") / STORED), parts).cast("int").alias("blocks"), parts.cast("int").alias("salts")
     )
     size = materialize(size, "op2-sizes-of-groups")
     rows = rows.join(F.broadcast(size) if size.count() <= SMALL else size, "grp")
