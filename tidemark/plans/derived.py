@@ -25,10 +25,6 @@ STAMP = "2026-01-02T03:04:05Z"
 RULES = Path(__file__).parent.parent / "rules"
 
 
-def const(value: str) -> Column:
-    return F.lit(value)
-
-
 def cat(*parts: Column | str) -> Column:
     """Columns and plain strings, joined."""
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
@@ -278,7 +274,7 @@ def catalogue_markdown(spark, d) -> DataFrame:
 )
 def text_scalars(spark, d) -> DataFrame:
     """Coalesce chains, collapsed blanks, clipped snippets, defaults."""
-    said = F.replace(F.replace(F.substring("text", 1, 80), F.lit("…"), F.lit("…")), F.lit("<"), F.lit("<"))
+    said = F.substring("text", 1, 80)
     first = scalars.first_filled(F.when(F.col("doc_id") % 3 == 0, "  ").otherwise(F.col("lang")), F.col("source"))
     return table(spark, d, "documents").select(
         "doc_id",
@@ -342,7 +338,6 @@ def postings(spark, d) -> DataFrame:
         F.lit(None).cast("string").alias("description"),
         F.array("o_orderstatus", F.lit("x")).alias("tech_stack"),
         *[F.array().cast("array<string>").alias(c) for c in ("skills", "responsibilities", "benefits")],
-        cat(F.date_format("o_orderdate", "yyyy-MM-dd"), "T", F.lpad((F.col("o_orderkey") % 86_400).cast("string"), 6, "0"), "Z").alias("mark"),
         F.date_format(F.timestamp_seconds(F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey") % 86_400), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("crawled_at"),
     )
 
