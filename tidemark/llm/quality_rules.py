@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, WS, held_out, let, ln_gamma, named, table, text_of, words_of
+from tidemark.llm.common import held_out, let, ln_gamma, named, table, text_of, words_of
 from tidemark.session import materialize
 
 QUERY = "op5_quality_rules"
