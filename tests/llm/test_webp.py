@@ -25,6 +25,18 @@ def test_literals_references_cache(shape, cache, refs):
         assert (webp.decode(webp.encode(image, cache_bits=cache, references=refs)) == image).all()
 
 
+@pytest.mark.parametrize("cache", [0, 3, 9])
+@pytest.mark.parametrize("refs", [False, True])
+def test_one_group_equals_pixel_by_pixel(monkeypatch, cache, refs):
+    images = [photo(40, 61), few(70, 33, 9), few(64, 64, 200), np.repeat(photo(30, 20), 3, axis=1), few(50, 50, 2) | np.uint32(0xFF00FF00)]
+    files = [webp.encode(x, cache_bits=cache, references=refs, green=g) for x in images for g in (False, True)]
+    fast = [webp.decode(f) for f in files]
+    monkeypatch.setattr(webp, "_one_group", lambda *a: None)
+    monkeypatch.setattr(webp, "STRETCH", 64)
+    assert all((a == webp.decode(f)).all() for a, f in zip(fast, files, strict=True))
+    assert all((a == x).all() for a, x in zip(fast[::2], images, strict=True))
+
+
 @pytest.mark.parametrize("mode", range(14))
 def test_predictors(mode):
     image = few(11, 14, 200)
@@ -107,13 +119,13 @@ def test_grey_samples_by_the_named_method(monkeypatch):
     far = np.concatenate([noise[:1920], RNG.integers(0, 256, 192 * 5600).astype(np.uint8), noise[:1920]])  # beyond the format's distances
     assert media.load(media.store(far.tobytes())).tobytes() == far.tobytes()
     # codes of several lengths and copies are what a text is read by
-    codes, plain = [], webp._green_pixels
+    codes, plain = [], webp._one_group
 
-    def spied(bits, green, *rest):
-        codes.append(dict(zip(green.symbols.tolist(), green.sizes.tolist(), strict=True)))
-        return plain(bits, green, *rest)
+    def spied(bits, group, *rest):
+        codes.append(dict(zip(group[0].symbols.tolist(), group[0].sizes.tolist(), strict=True)))
+        return plain(bits, group, *rest)
 
-    monkeypatch.setattr(webp, "_green_pixels", spied)
+    monkeypatch.setattr(webp, "_one_group", spied)
     media.load(media.store(media.payload_of(words.decode())[0]))
     assert len(set(codes[0].values())) > 1 and any(256 <= s < 280 for s in codes[0])
 
@@ -122,7 +134,7 @@ def test_each_transform_is_chosen_where_it_pays(monkeypatch):
     from tidemark.llm import media
 
     ran = set()
-    for name in ("_unpredict", "_unbundle", "_add_green", "_with_cache", "_green_pixels"):
+    for name in ("_unpredict", "_unbundle", "_add_green", "_with_cache", "_one_group"):
         plain = getattr(webp, name)
         monkeypatch.setattr(webp, name, lambda *a, plain=plain, name=name: ran.add(name) or plain(*a))
     ramp = (np.cumsum(RNG.integers(0, 3, 192 * 40)) & 255).astype(np.uint8)
@@ -132,7 +144,7 @@ def test_each_transform_is_chosen_where_it_pays(monkeypatch):
     for payload in (ramp.tobytes(), two.tobytes(), pairs.tobytes()):
         stored = media.store(payload)
         assert media.load(stored).tobytes() == payload and len(stored) < 0.8 * len(payload)
-    assert ran == {"_unpredict", "_unbundle", "_add_green", "_with_cache", "_green_pixels"}
+    assert ran == {"_unpredict", "_unbundle", "_add_green", "_with_cache", "_one_group"}
 
 
 class Bits:

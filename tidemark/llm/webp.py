@@ -3,11 +3,10 @@
 Pixels are uint32 ARGB arrays of shape (height, width). Decoding covers prefix
 codes (simple and normal, with groups chosen by an entropy image), literals,
 back-references, the colour cache, and the predictor, cross-colour,
-subtract-green and palette transforms. Pixels are read one by one, but for main
-images of which only green has more than one symbol (grey samples after
-subtract-green): there the token that would begin at each bit is looked up for
-a stretch of the stream at once, and the tokens that do begin are the chain from
-its first bit.
+subtract-green and palette transforms. Pixels are read one by one where an entropy
+image chooses among groups. In main images of one group the token that would begin
+at each bit is looked up for a stretch of the stream at once, and the tokens that
+do begin are the chain from its first bit.
 """
 
 from __future__ import annotations
@@ -199,13 +198,13 @@ def _read_pixels(bits: Reader, width: int, height: int, main: bool) -> np.ndarra
     groups = [_read_group(bits, len(cache)) for _ in range(1 + max(map(max, of_block)) if of_block else 1)]
     n = width * height
     green, red, blue, alpha, distance = groups[0]
-    if len(groups) == 1 and None not in (red.only, blue.only, alpha.only):
-        rest = (alpha.only << 24) | (red.only << 16) | blue.only
-        if green.only is not None and green.only < 256:
-            return np.full((height, width), rest | (green.only << 8), np.uint32)
+    if len(groups) == 1:
+        constant = None not in (red.only, blue.only, alpha.only)
+        if constant and green.only is not None and green.only < 256:
+            return np.full((height, width), (alpha.only << 24) | (red.only << 16) | (green.only << 8) | blue.only, np.uint32)
         if main and green.only is None:
             start = bits.at
-            out = _green_pixels(bits, green, distance, n, width, rest, cache_bits)
+            out = _one_group(bits, groups[0], n, width, cache_bits)
             if out is not None:
                 return out.reshape(height, width)
             bits.at = start
@@ -258,9 +257,13 @@ def _values(prefix: np.ndarray, window: np.ndarray) -> np.ndarray:
 EXTRA = np.array([max(0, p - 2) >> 1 for p in range(40)], np.uint8)
 
 
-def _green_pixels(bits: Reader, green: Code, distance: Code, n: int, width: int, rest: int, cache_bits: int) -> np.ndarray | None:
-    """Pixels of which only green has a code of more than one symbol; None where
+def _one_group(bits: Reader, group: list[Code], n: int, width: int, cache_bits: int) -> np.ndarray | None:
+    """Pixels of one group, whose green code has more than one symbol; None where
     the cache gives a colour that was not put there."""
+    green, red, blue, alpha, distance = group
+    # channels that are read after green, and what the others always are
+    more_of = [(code, shift) for code, shift in ((red, 16), (blue, 0), (alpha, 24)) if code.only is None]
+    rest = sum(code.only << shift for code, shift in ((red, 16), (blue, 0), (alpha, 24)) if code.only is not None)
     whole = len(bits.data) - 8
     words = np.ndarray((whole,), "<u8", bits.data, 0, (1,))  # at each byte, what follows it
 
@@ -274,9 +277,21 @@ def _green_pixels(bits: Reader, green: Code, distance: Code, n: int, width: int,
         slot = window(at) & ((1 << distance.depth) - 1)
         return distance.symbols[slot], distance.sizes[slot]
 
-    # what a token takes, without its distance; copies have the highest bit
+    # what a token takes, without its distance; copies have the highest bit, literals of several channels the next
     copying = (green.symbols > 255) & (green.symbols < 280)
     table = green.sizes + np.where(copying, 128 + EXTRA[(green.symbols - 256) * copying], 0).astype(np.uint8)
+    if more_of:
+        table += np.where(green.symbols < 256, 64, 0).astype(np.uint8)
+
+    def channels(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(what the other channels add to a literal, where it ends)."""
+        values, at = np.full(len(at), rest, np.uint32), at.astype(np.int64)
+        for code, shift in more_of:
+            slot = window(at) & ((1 << code.depth) - 1)
+            values |= code.symbols[slot].astype(np.uint32) << np.uint32(shift)
+            at += code.sizes[slot]
+        return values, at
+
     kinds, places, made, at = np.arange(8, dtype=np.uint32), [], 0, bits.at
     mask, shorts = np.uint32((1 << green.depth) - 1), np.ndarray((whole,), "<u4", bits.data, 0, (1,))
     while made < n and at < bits.end:
@@ -288,6 +303,10 @@ def _green_pixels(bits: Reader, green: Code, distance: Code, n: int, width: int,
             taken = size[copies] & 127
             far, more = far_of(copies + 8 * first + taken)
             size[copies] = taken + more + EXTRA[far]
+        if more_of:
+            literals = np.flatnonzero(size & 64 if not len(copies) else (table[slot] & 64))
+            begin = literals + 8 * first
+            size[literals] = channels(begin + (size[literals] & 63))[1] - begin
         # two tokens a step: the second adds nothing where it begins beyond the stretch
         step = np.concatenate([size, np.zeros(256, np.uint8)])
         pairs = (size + step[np.arange(len(size)) + size]).tobytes()
@@ -324,26 +343,56 @@ def _green_pixels(bits: Reader, green: Code, distance: Code, n: int, width: int,
     if (far > begins[copy]).any():
         raise WebPError("a back-reference leaves the image")
     symbol = symbol[: last + 1]
-    out = bytearray(n)
+    literal = np.flatnonzero(symbol < 256)
+    if more_of:
+        values, literal_ends = channels(place[literal] + green.sizes[slot[literal]])
+        values |= symbol[literal].astype(np.uint32) << np.uint32(8)
     if cache_bits:
         back = np.zeros(last + 1, np.int64)
         back[copy] = far
-        if not _with_cache(out, symbol.tolist(), fresh.tolist(), back.tolist(), rest, cache_bits):
+    tokens = zip(begins[copy].tolist(), fresh[copy].tolist(), far.tolist(), strict=True)
+    if cache_bits and more_of:
+        argb = np.zeros(last + 1, np.uint32)
+        argb[literal] = values
+        out = np.array(_any_with_cache(n, symbol.tolist(), argb.tolist(), fresh.tolist(), back.tolist(), cache_bits), np.uint32)
+    elif cache_bits:
+        green_only = bytearray(n)
+        if not _with_cache(green_only, symbol.tolist(), fresh.tolist(), back.tolist(), rest, cache_bits):
             return None
+        out = (np.frombuffer(green_only, np.uint8).astype(np.uint32) << 8) | np.uint32(rest)
+    elif more_of:
+        out = np.zeros(n, np.uint32)
+        out[begins[literal]] = values
+        for to, length, far_ in tokens:
+            out[to : to + length] = out[to - far_ : to - far_ + length] if far_ >= length else np.resize(out[to - far_ : to], length)
     else:
-        literal = symbol < 256
-        np.frombuffer(out, np.uint8)[begins[literal]] = symbol[literal]
-        for to, length, back in zip(begins[copy].tolist(), fresh[copy].tolist(), far.tolist(), strict=True):
-            if back >= length:
-                out[to : to + length] = out[to - back : to - back + length]
+        green_only = bytearray(n)
+        np.frombuffer(green_only, np.uint8)[begins[literal]] = symbol[literal]
+        for to, length, far_ in tokens:
+            if far_ >= length:
+                green_only[to : to + length] = green_only[to - far_ : to - far_ + length]
             else:
-                out[to : to + length] = (out[to - back : to] * (length // back + 1))[:length]
+                green_only[to : to + length] = (green_only[to - far_ : to] * (length // far_ + 1))[:length]
+        out = (np.frombuffer(green_only, np.uint8).astype(np.uint32) << 8) | np.uint32(rest)
     bits.at = int(place[last]) + int(green.sizes[slot[last]])
     if len(copy) and copy[-1] == last:
         bits.at = int(after[-1] + more[-1]) + int(EXTRA[far_of(after[-1:])[0][0]])
+    elif more_of and len(literal) and literal[-1] == last:
+        bits.at = int(literal_ends[-1])
     if bits.at > bits.end:
         raise WebPError("the stream ends early")
-    return (np.frombuffer(out, np.uint8).astype(np.uint32) << 8) | np.uint32(rest)
+    return out
+
+
+def _any_with_cache(n: int, symbols: list[int], argb: list[int], fresh: list[int], back: list[int], cache_bits: int) -> list[int]:
+    """Pixels of tokens; every pixel goes into the cache as it comes."""
+    out, cache, at = [0] * n, [0] * (1 << cache_bits), 0
+    for s, value, count, far in zip(symbols, argb, fresh, back, strict=False):
+        for k in range(at, at + count):
+            pixel = out[k] = out[k - far] if far else value if s < 256 else cache[s - 280]
+            cache[_cache_key(pixel, cache_bits)] = pixel
+        at += count
+    return out
 
 
 def _with_cache(out: bytearray, symbols: list[int], fresh: list[int], back: list[int], rest: int, cache_bits: int) -> bool:
