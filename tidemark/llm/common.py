@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -120,3 +124,31 @@ def sieve(rows: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, Dat
     may = F.coalesce(F.getbit(F.col(own), named(at).bitwiseAND(63).cast("int")) == 1, F.lit(False))
     kept = [named(c) for c in rows.columns]
     return joined.filter(may).select(*kept), joined.filter(~may).select(*kept)
+
+
+#: Rows of an Arrow batch that are turned into Python objects at once.
+SLICE = 512
+
+
+def tidy() -> None:
+    """Gives free memory back: a worker is used again, and so would keep for the
+    next stage what the largest task before it needed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
+def by_slices(run):
+    """``run`` over batches, as a task that takes them in slices and ends tidily."""
+
+    @functools.wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(b.slice(k, SLICE) for b in batches for k in range(0, b.num_rows, SLICE))
+        finally:
+            tidy()
+
+    return task

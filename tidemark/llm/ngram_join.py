@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, named, sieve, table
+from tidemark.llm.common import by_slices, fresh, named, sieve, table, tidy
 from tidemark.llm.components import components
 from tidemark.llm.shingles import shingle_sets
 from tidemark.session import discard, materialize
@@ -53,7 +53,7 @@ NUM, DEN = 75, 100
 
 #: Packed shingles held before they are handed on, and documents among these that
 #: make a shingle common (the greatest frequency that the global order tells apart).
-FLUSH, COMMON = 1_500_000, 255
+FLUSH, COMMON = 1_000_000, 170
 
 #: Documents that are compared with one smallest in one task; bytes of the sets in
 #: one trie, and members in one task.
@@ -214,6 +214,16 @@ def _shared(parts: int, buckets: int):
     return run
 
 
+def _tidily(run):
+    def group(t: pa.Table) -> pa.Table:
+        try:
+            return run(t)
+        finally:
+            tidy()
+
+    return group
+
+
 def _survivors(t: pa.Table) -> pa.Table:
     ids, ns, counts, keys = (
         _join(t.column("ids"), _I64), _join(t.column("ns"), _I32), _join(t.column("counts"), _I32), _join(t.column("keys"), _U64)
@@ -363,7 +373,7 @@ def _run_tries(rows: DataFrame) -> DataFrame:
     return (
         rows.repartition("grp", "block", "salt")
         .sortWithinPartitions("grp", "block", "salt", "act", "doc_id")
-        .mapInArrow(_trie_links, "u long, v long")
+        .mapInArrow(by_slices(_trie_links), "u long, v long")
     )
 
 
@@ -429,7 +439,7 @@ def _within(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _classes(sets: DataFrame) -> DataFrame:
     """(node, root) of every document of ``sets`` that links with another."""
-    prefixes = sets.mapInArrow(_prefixes, "doc_id long, key long")
+    prefixes = sets.mapInArrow(by_slices(_prefixes), "doc_id long, key long")
     stars = prefixes.groupBy("key").agg(F.min("doc_id").alias("v"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
     in_groups = materialize(prefixes.join(stars, "key"), "op2-groups")
     pairs = materialize(in_groups.filter("doc_id <> v").select(F.col("doc_id").alias("u"), "v").distinct(), "op2-pairs")
@@ -466,11 +476,11 @@ def _join_rows(texts: DataFrame, sizes: DataFrame) -> DataFrame:
     )
     sets = (
         texts.filter("doc_id is not null")
-        .mapInArrow(_postings(parts), _POSTINGS)
+        .mapInArrow(by_slices(_postings(parts)), _POSTINGS)
         .groupBy("part")
-        .applyInArrow(_shared(parts, parts), "bucket int, ids binary, ns binary, counts binary, keys binary")
+        .applyInArrow(_tidily(_shared(parts, parts)), "bucket int, ids binary, ns binary, counts binary, keys binary")
         .groupBy("bucket")
-        .applyInArrow(_survivors, "doc_id long, n long, keys binary")
+        .applyInArrow(_tidily(_survivors), "doc_id long, n long, keys binary")
         .join(heads.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     )
     sets = materialize(sets, "op2-sets")
@@ -493,7 +503,7 @@ def _join_rows(texts: DataFrame, sizes: DataFrame) -> DataFrame:
 def ngram_join(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sizes = materialize(texts.mapInArrow(_sizes, "doc_id long, n long, f1 long, f2 long"), "op2-sizes")
+    sizes = materialize(texts.mapInArrow(by_slices(_sizes), "doc_id long, n long, f1 long, f2 long"), "op2-sizes")
     shape = F.struct("n", "f1", "f2")
     torn = sizes.filter("doc_id is not null").groupBy("doc_id").agg((F.min(shape) != F.max(shape)).alias("torn"))
     if torn.agg(F.coalesce(F.bool_or("torn"), F.lit(False))).first()[0]:
@@ -508,7 +518,7 @@ def _by_row(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     row = fresh("__row", docs)
     rows = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "op2-rows")
     texts = rows.select(named(row).alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sizes = materialize(texts.mapInArrow(_sizes, "doc_id long, n long, f1 long, f2 long"), "op2-sizes")
+    sizes = materialize(texts.mapInArrow(by_slices(_sizes), "doc_id long, n long, f1 long, f2 long"), "op2-sizes")
     ids = rows.select(named(row).alias("row"), F.col("doc_id").cast("long").alias("__id"))
     joined = _join_rows(texts, sizes).select(F.col("doc_id").alias("of_row"), "n_shingles", F.col("component_id").alias("class"))
     joined = materialize(joined.join(ids, F.col("of_row") == F.col("row")).drop("of_row"), "op2-joined")

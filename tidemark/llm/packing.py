@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import by_slices, table
 
 QUERY = "op6_packing"
 LENGTH, END = 2048, 1
@@ -250,7 +250,7 @@ def pack(
     """A row for each piece; ``ids`` (uint32, little-endian) with ``with_ids``.
     ``held`` tokens are balanced together, ``memory`` bounds what a worker remembers."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = texts.mapInArrow(_packer(tokenizer, length, end, with_ids, held, memory), SCHEMA)
+    out = texts.mapInArrow(by_slices(_packer(tokenizer, length, end, with_ids, held, memory)), SCHEMA)
     return out if with_ids else out.drop("ids")
 
 
