@@ -122,11 +122,11 @@ def test_topcv(one):
 
 
 def test_careerviet(one):
-    body = """<h1>Kế toán</h1><section class="job-detail-content"><ul><li><strong>Lương:</strong><p>18 - 25 Triệu VND</p></li></ul>
+    body = """<h1>Kế toán</h1><section class="job-detail-content"><ul><li><strong>Lương:</strong><p>21 - 35 Triệu VND</p></li></ul>
     <div class="detail-row"><h2>MÔ TẢ CÔNG VIỆC</h2><p>- Fully remote</p><p>x</p></div></section><ul class="welfare-list"><li>A</li><li>A</li></ul>"""
-    ld = LD | {"baseSalary": {"value": {"value": "Cạnh tranh"}}, "datePosted": "2026-12-30T01:02:03Z"}
+    ld = LD | {"baseSalary": {"value": {"value": "thỏa thuận"}}, "datePosted": "2026-12-30T01:02:03Z"}
     (r,) = one("careerviet", body + SCRIPT % json.dumps([{"@type": "X"}, ld]))
-    assert (r["salary_type"], r["salary_min_usd"], r["salary_max_usd"], r["currency"]) == ("RANGE", 720, 1000, "USD")
+    assert (r["salary_type"], r["salary_min_usd"], r["salary_max_usd"], r["currency"]) == ("RANGE", 840, 1400, "USD")
     assert (r["responsibilities"], r["work_arrangement"], r["benefits"], r["posted_days_ago"], r["location"]) == (["Fully remote", "x"], "REMOTE", ["A"], 0, "Q1")
     (r,) = one("careerviet", body + SCRIPT % json.dumps(LD | {"baseSalary": {"currency": "USD", "value": {"minValue": 900, "maxValue": 900}}}))
     assert (r["salary_type"], r["salary_min_usd"]) == ("RANGE", 900)
