@@ -15,10 +15,14 @@ from tidemark.session import discard, materialize, scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Rows of an Arrow batch: these are whole texts, and both sides hold a batch at once.
+BATCH = ("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
 
 def _stage(f: Stage) -> Stage:
     @wraps(f)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set(*BATCH)  # for the session, as what a stage returns is run later
         with scratch(spark, "corpus-pipeline"):
             return f(spark, docs, sf_dir)
 
