@@ -148,3 +148,20 @@ def test_bounds(a):
             assert (100 * o >= 75 * (a + b - o)) == (o >= nj.required(a, b))
             if 100 * o >= 75 * (a + b - o):
                 assert o > a - nj.prefix_length(a)  # the prefix cannot miss it
+
+
+def test_a_large_family_of_several_classes_is_one_group(spark, monkeypatch):
+    """Its largest class only probes, and no set is sent once a shingle."""
+    monkeypatch.setattr(nj, "MEMBERS", 40)
+    sent = []
+    run = nj._run_tries
+    monkeypatch.setattr(nj, "_run_tries", lambda rows: (sent.append(rows.count()), run(rows))[1])
+    base = [f"v{k}" for k in range(80)]
+    rows = []
+    for k in range(120):
+        w = list(base)
+        for j in range(1 if k % 6 else 4):  # each sixth is too far from the others
+            w[(k + 19 * j) % 80] = f"z{(k + j) // 12}"
+        rows.append((k, " ".join(w)))
+    check(spark, rows)
+    assert sent[1] < 120 * 10
